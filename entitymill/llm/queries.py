@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, lines, minhash, mixing, tokencount
+from entitymill.llm import bpe, lines, minhash, mixing, quality, tokencount
 from entitymill.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), k=4)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
+    "op4_quality": op4_quality,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
     "op9_line_dedup": op9_line_dedup,
