@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, lines, minhash, mixing, quality, tokencount
+from entitymill.llm import bpe, lines, minhash, mixing, quality, tokencount, vptree
 from entitymill.llm.common import documents
 
 
@@ -16,6 +16,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), k=4)
 
 
+def op3_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vptree.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -39,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
+    "op3_vptree": op3_vptree,
     "op4_quality": op4_quality,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
@@ -64,4 +70,19 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone)
 FROM m GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op3_vptree": OP3_SQL, "op9_line_dedup": OP9_SQL}
