@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, lines, minhash, mixing, quality, tokencount, vptree
+from entitymill.llm import bpe, html, jpeg, lines, minhash, mixing, quality, tokencount, vptree
 from entitymill.llm.common import documents
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), k=4)
 
@@ -33,6 +37,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.digest_media(documents(spark, sf_dir))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -43,11 +51,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op2_minhash": op2_minhash,
     "op3_vptree": op3_vptree,
     "op4_quality": op4_quality,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
+    "op8_jpeg": op8_jpeg,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
