@@ -12,14 +12,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, lines, mixing
+from entitymill.llm import bpe, lines, minhash, mixing, quality
 from entitymill.llm.common import documents, materialize
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; its labels are those of the same folder."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; a document that they made up wholly goes too."""
+    """Lines that an earlier document holds go; a document of such lines only stays, empty."""
     kept = lines.rewrite_documents(docs)
-    return kept.withColumn("n_chars", F.length("text").cast("long"))
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
+    return minhash.keep_one(docs, k=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +46,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("line_dedup", drop_repeated_lines), ("mixing", mix_sources), ("bpe", encode)]
+STAGES = [
+    ("quality", drop_low_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
 
 ORACLE_SQL = None
 
