@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, html, jpeg, lines, minhash, mixing, quality, tokencount, vptree
+from entitymill.llm import bpe, html, jpeg, lines, minhash, mixing, preference, quality, tokencount, vptree
 from entitymill.llm.common import documents
 
 
@@ -29,6 +29,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.swapped_replies(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return preference.format_pairs(pairs).withColumns({c: shown(c) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf_dir))
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_vptree": op3_vptree,
     "op4_quality": op4_quality,
+    "op5_preference": op5_preference,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
     "op8_jpeg": op8_jpeg,
@@ -95,4 +102,23 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op3_vptree": OP3_SQL, "op9_line_dedup": OP9_SQL}
+_TURN = "'<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)"
+_SPANS = """array_to_string(list_transform(list_filter(range(1, len({c}) + 1), lambda i: {c}[i].role = 'assistant'), lambda i:
+  CAST(CAST(coalesce(list_sum(list_transform({c}[1:i - 1], lambda x: length({turn}))), 0) AS BIGINT) + 5 + length({c}[i].role) AS VARCHAR) || '-' ||
+  CAST(CAST(list_sum(list_transform({c}[1:i], lambda x: length({turn}))) AS BIGINT) AS VARCHAR)), ',')"""
+OP5_SQL = f"""
+WITH t AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, role, text) AS t FROM conversations GROUP BY conv_id),
+p AS (
+  SELECT a.conv_id AS pair_id, a.t AS c, list_concat(a.t[1:len(a.t) - 1], CASE WHEN b.t IS NULL THEN a.t[1:0] ELSE b.t[len(b.t):len(b.t)] END) AS r
+  FROM t a LEFT JOIN t b ON b.conv_id = xor(a.conv_id, 1)),
+n AS (
+  SELECT *, coalesce(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] IS DISTINCT FROM r[i])[1] - 1, least(len(c), len(r))) AS n FROM p),
+s AS (SELECT pair_id, n, c[1:n] AS p, c[n + 1:len(c)] AS c, r[n + 1:len(r)] AS r FROM n)
+SELECT pair_id, CAST(n AS INTEGER) AS n_prompt_turns, array_to_string(list_transform(p, lambda x: {_TURN}), '') AS prompt,
+       array_to_string(list_transform(c, lambda x: {_TURN}), '') AS chosen, array_to_string(list_transform(r, lambda x: {_TURN}), '') AS rejected,
+       {_SPANS.format(c="c", turn=_TURN)} AS chosen_spans, {_SPANS.format(c="r", turn=_TURN)} AS rejected_spans
+FROM s
+"""
+
+ORACLES: dict[str, str] = {"op5_preference": OP5_SQL, "op3_vptree": OP3_SQL, "op9_line_dedup": OP9_SQL}
