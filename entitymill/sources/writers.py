@@ -58,9 +58,10 @@ def shown_time(column: str) -> F.Column:
     return F.coalesce(F.date_format(column, "yyyy-MM-dd HH:mm"), F.lit(""))
 
 
-def shown(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns as an export shows them: missing, zero and false are blank but for flags."""
-    out = []
+def shown(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
+    """Columns as an export shows them: missing, zero and false are blank but for flags. Those to
+    keep stay as they are."""
+    out = [F.col(c) for c in keep or ()]
     for c in columns:
         kind = df.schema[c].dataType.simpleString()
         if kind == "timestamp":

@@ -10,8 +10,17 @@ from entitymill.operators.dedupe import latest
 from entitymill.sources.readers import exists
 
 
-def source(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def source(spark: SparkSession, path: str, times: tuple[str, ...] = ()) -> DataFrame:
+    """The files of a table as a stream; columns in `times` become timestamps with a zone, as event
+    times must be. A table that is a single file is found by its name in its folder."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        stream = reader.parquet(path)
+    else:
+        stream = reader.option("pathGlobFilter", p.getName()).parquet(str(p.getParent().toString()))
+    return stream.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
 
 def _finish(writer, checkpoint: str) -> None:
