@@ -11,6 +11,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space in Unicode's sense, with the four separators that the collectors strip as well.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
@@ -152,7 +153,7 @@ def phone(c: Column) -> Column:
     return F.when(n == 11, cut(3, 7)).when(n == 10, cut(2, 6)).when((n == 12) & d.startswith("0120"), cut(4, 6)).otherwise(s)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
@@ -178,7 +179,7 @@ def url(c: Column) -> Column:
     return F.when((s == "") | s.endswith("/"), s).otherwise(F.concat(s, F.lit("/")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _json(s: pd.Series) -> pd.Series:
     import json
 

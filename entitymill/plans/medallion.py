@@ -116,7 +116,7 @@ def run(spark: SparkSession, folder: str, out: str, now: dt.datetime, csv: bool
         if name == "company_master":
             writers.overwrite(df, f"{out}/{name}")
         else:
-            df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(f"{out}/{name}")
+            df.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
         read = spark.read.schema(df.schema).parquet(f"{out}/{name}" if name == "company_master" else f"{out}/{name}/run_id={run_id}")
         written[name], counts[name] = read, read.count()
     log = fill_rate_log(written, run_id, now)

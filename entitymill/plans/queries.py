@@ -54,10 +54,14 @@ def sql_pick(examples: list[str | None], key: str) -> str:
     return f"([{quoted}])[CAST({key} % {len(examples)} + 1 AS INTEGER)]"
 
 
-#: A customer's name and segment with gaps: blank for some, null for others.
-GAPS = F.expr("CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END")
+#: A customer's segment with gaps: blank for some, null for others.
 SQL_GAPS = "CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END"
 
+
+def gaps() -> Column:
+    return F.expr(SQL_GAPS)
+
+
 # ---------------------------------------------------------------- scans, projection, dedupe
 
 
@@ -77,7 +81,7 @@ FROM customer c JOIN (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION
 def latest_lookup_context(spark, sf):
     last = dedupe.latest(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], "o_orderdate", "o_orderkey")
     rows = table(spark, sf, "customer").join(last, F.col("c_custkey") == F.col("o_custkey"))
-    return rows.select("c_custkey", "o_orderkey", merge.first_present(GAPS, F.col("c_name")).alias("context"))
+    return rows.select("c_custkey", "o_orderkey", merge.first_present(gaps(), F.col("c_name")).alias("context"))
 
 
 @query("SELECT event_type, user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) = 1")
@@ -129,7 +133,7 @@ def ordered_limit(spark, sf):
 SELECT c.c_custkey, coalesce(nullif(CASE WHEN c.c_custkey % 7 = 0 THEN '' WHEN c.c_custkey % 11 = 0 THEN NULL ELSE c.c_mktsegment END, ''), nullif(s.s_name, ''), n.n_name) AS segment, n.n_name AS nation, o.priorities
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey LEFT JOIN o ON o.o_custkey = c.c_custkey""")
 def source_priority_merge(spark, sf):
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", GAPS.alias("own"))
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", gaps().alias("own"))
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
     suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_name")
     orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(merge.distinct_list(F.col("o_orderpriority")).alias("priorities"))
@@ -158,7 +162,7 @@ def media_priority_merge(spark, sf):
 
 @query(f"SELECT c_custkey, coalesce(nullif({SQL_GAPS}, ''), c_name, {SQL_GAPS}) AS segment FROM customer")
 def fill_missing_only(spark, sf):
-    old = table(spark, sf, "customer").select("c_custkey", GAPS.alias("segment"))
+    old = table(spark, sf, "customer").select("c_custkey", gaps().alias("segment"))
     new = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("segment"))
     return merge.fill_missing(old, new, "c_custkey", ["segment"])
 
@@ -362,18 +366,18 @@ _RATE = "CAST(round_even(CAST(filled_count AS DOUBLE) / total_count, 4) AS DOUBL
 u AS (SELECT 'segment' AS field_name, a AS filled_count, t AS total_count FROM n UNION ALL SELECT 'c_name', b, t FROM n)
 SELECT 'customer' AS table_name, field_name, filled_count, total_count, {_RATE} AS fill_rate FROM u""")
 def fill_rate(spark, sf):
-    return quality.fill_rates(table(spark, sf, "customer").select("c_name", GAPS.alias("segment")), "customer")
+    return quality.fill_rates(table(spark, sf, "customer").select("c_name", gaps().alias("segment")), "customer")
 
 
 @query(f"SELECT c_custkey, CAST((c_name <> '')::INTEGER + coalesce(({SQL_GAPS} <> '')::INTEGER, 0) AS BIGINT) AS filled_fields, CAST(round_even(((c_name <> '')::INTEGER + coalesce(({SQL_GAPS} <> '')::INTEGER, 0)) / 2.0, 4) AS DOUBLE) AS fill_rate FROM customer")
 def coverage_by_entity(spark, sf):
-    return quality.coverage_by_entity(table(spark, sf, "customer").select("c_custkey", "c_name", GAPS.alias("segment")), "c_custkey", ["c_name", "segment"])
+    return quality.coverage_by_entity(table(spark, sf, "customer").select("c_custkey", "c_name", gaps().alias("segment")), "c_custkey", ["c_name", "segment"])
 
 
 @query(f"""WITH c AS (SELECT c_nationkey, max(coalesce(({SQL_GAPS} <> '')::INTEGER, 0)) AS s FROM customer GROUP BY 1)
 SELECT 'segment' AS field, CAST(sum(s) AS BIGINT) AS filled_entities, CAST(round_even(CAST(sum(s) AS DOUBLE) / count(*), 4) AS DOUBLE) AS fill_rate FROM c""")
 def coverage_by_field(spark, sf):
-    return quality.coverage_by_field(table(spark, sf, "customer").select("c_nationkey", GAPS.alias("segment")), "c_nationkey", ["segment"])
+    return quality.coverage_by_field(table(spark, sf, "customer").select("c_nationkey", gaps().alias("segment")), "c_nationkey", ["segment"])
 
 
 @query("SELECT o_orderstatus AS status, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1")
@@ -631,7 +635,7 @@ def demo_bronze(spark: SparkSession, sf: str, folder: str) -> None:
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("c_custkey") % 3)
     put = lambda df, n: df.write.parquet(f"{folder}/{n}.parquet")
     put(c.select(key.alias("id"), F.concat(F.lit("株式会社"), name).alias("name"), name.alias("name_normalized"), F.when(F.col("c_custkey") % 4 == 0, key).alias("stock_code")), "companies")
-    info = c.select(key.alias("id"), key.alias("original_id"), name.alias("企業名"), F.lit("東京都").alias("本社都道府県"), F.lit(None).cast("string").alias("代表者名"), pick(["1,042名", "", None], "c_custkey").alias("従業員数"), F.lit("大").alias("企業規模"), GAPS.alias("業種"), F.lit("詳").alias("業種詳細"), F.lit("(03)1234-5678").alias("代表電話番号"), at.alias("scraped_at"))
+    info = c.select(key.alias("id"), key.alias("original_id"), name.alias("企業名"), F.lit("東京都").alias("本社都道府県"), F.lit(None).cast("string").alias("代表者名"), pick(["1,042名", "", None], "c_custkey").alias("従業員数"), F.lit("大").alias("企業規模"), gaps().alias("業種"), F.lit("詳").alias("業種詳細"), F.lit("(03)1234-5678").alias("代表電話番号"), at.alias("scraped_at"))
     put(info.unionByName(info.withColumn("id", F.concat("id", F.lit("b"))).withColumn("企業規模", F.lit("小"))), "company_info")
     put(c.where("c_custkey % 2 = 0").select(key.alias("id"), key.alias("original_id"), F.lit("2012年7月").alias("設立"), F.lit("5億9,414万円").alias("資本金"), at.alias("scraped_at")), "ra_company")
     put(c.select(key.alias("id"), key.alias("original_id"), F.lit("1億円").alias("資本金"), F.lit("277名（連結480名）").alias("従業員数"), at.alias("scraped_at")), "rikunabi_company")
