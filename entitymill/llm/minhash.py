@@ -6,15 +6,21 @@ the slots; level by level, a shingle offers its rank plus a random fraction to t
 permutation names next, and a document stops as soon as no slot can still improve. Bands of slots
 hash classes into buckets.
 
-All pairs of a bucket are never listed. First, each bucket compares its members with one of them;
-verified links are joined into components, and buckets that lie in one component are done. This is
-repeated with other members as centres. What then still shares a bucket across components is
-compared exhaustively, so every pair that shares a bucket is either verified or already joined.
-Links are confirmed on the full sets, exactly. With 32 bands of 5 slots, a pair at similarity 0.8
-shares no bucket with a probability of about 3e-6, less above.
-
-Components come from a union-find inside each partition of links, then from alternating stars over
-the cluster until nothing changes. No links, labels or fingerprints go to the driver.
+All pairs of a bucket are never listed. First, each bucket compares its members with one of them,
+the one that stands in the most and fullest buckets: the original among its copies. Verified links
+are joined into components, and buckets that lie in one component are done. For what is left, two
+counts bound each intersection from above: a document's shingles shared with its bucket's first
+centre, and those that no other open document holds. Two documents of a bucket have in common at most
+the lesser of what they share with the centre, and outside it the lesser of what others hold too; a
+pair for which that is too few is never made. After a round with other centres, the open pairs that
+this bound allows are compared exhaustively. So every pair that shares a bucket
+is verified, already joined, or proven to be no link. Links are confirmed on the full sets, exactly.
+With 32 bands of 5 slots, a pair at similarity 0.8 shares no bucket with a probability of about
+3e-6, less above.
+
+Components come from a union-find over parts of at most UNITE links; if there is more than one part,
+alternating stars over the cluster join the parts' forests until nothing changes. No links, labels
+or fingerprints go to the driver.
 
 Defined results: a null or empty text, or one without words, has the empty set and is linked with
 nothing. Fewer words than a shingle are one shingle. Rows that repeat, also with the same doc_id,
@@ -38,7 +44,9 @@ from entitymill.llm.common import discard, materialize
 
 BANDS, ROWS = 32, 5
 #: Rounds in which each open bucket has one centre, before its open pairs are compared one by one.
-ROUNDS = 3
+ROUNDS = 2
+#: Links that a task joins at a time.
+UNITE = 200_000
 #: Shingles that are sketched together: their permutations stay in a core's cache.
 TOGETHER = 1 << 14
 SLICE = 1 << 20
@@ -127,10 +135,13 @@ def bands(sig: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
+
+
+def is_link(a: int, b: int, both: int, percent: int) -> bool:
     """100 * intersection >= percent * union."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    return 100 * both >= percent * (a + b - both)
 
 
 def _sketch(k: int, n_bands: int, rows: int):
@@ -154,18 +165,20 @@ def _sketch(k: int, n_bands: int, rows: int):
 
 
 def _verify(k: int, percent: int):
-    """Rows (a, text_a, b, text_b), those with equal a close together, to the links among them."""
+    """Rows (a, text_a, b, text_b), those with equal a close together, to the number of shingles in
+    both and whether they are a link."""
 
     def run(batches):
         last, left = None, None
         for batch in batches:
-            links = []
-            for a, text_a, b, text_b in zip(*(batch.column(c) for c in ("a", "text_a", "b", "text_b"))):
+            both, linked = [], []
+            for a, text_a, text_b in zip(*(batch.column(c) for c in ("a", "text_a", "text_b"))):
                 if (a := a.as_py()) != last:
                     last, left = a, shingles(text_a.as_py(), k)
-                if similar(left, shingles(text_b.as_py(), k), percent):
-                    links.append((a, b.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], names=["u", "v"])
+                right = shingles(text_b.as_py(), k)
+                both.append(common(left, right))
+                linked.append(is_link(len(left), len(right), both[-1], percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
 
     return run
 
@@ -188,15 +201,16 @@ def _union_find(batches):
         for u, v in zip(batch.column("u"), batch.column("v")):
             u, v = root(u.as_py()), root(v.as_py())
             parent[max(u, v)] = min(u, v)
-        if len(parent) > 500_000:  # what a task holds is bounded; the rest joins over the cluster
-            yield rows()
-            parent.clear()
     yield rows()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of links (u, v): root is the smallest node it is connected with."""
-    now = materialize(links.mapInArrow(_union_find, "u binary, v binary"), "forest")
+    parts = max(1, -(-links.count() // UNITE))
+    dealt = links.coalesce(1) if parts == 1 else links.repartition(parts)
+    now = materialize(dealt.mapInArrow(_union_find, "u binary, v binary"), "forest")
+    if parts == 1:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     while True:
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -212,11 +226,37 @@ def components(links: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links."""
+def _explode_shingles(k: int):
+    def run(batches):
+        for batch in batches:
+            for node, text in zip(batch.column("node"), batch.column("text")):
+                found = shingles(text.as_py(), k)
+                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(found), pa.binary()), pa.array(found.view(np.int64))], names=["node", "h"])
+
+    return run
+
+
+def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(node, own): how many shingles of a text no other of the texts holds; nodes without any are
+    left out."""
+    seen = texts.mapInArrow(_explode_shingles(k), "node binary, h long")
+    once = seen.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+    return once.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) with both, the size of their intersection, and linked."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "text_a", "b", "text_b").mapInArrow(_verify(k, percent), "u binary, v binary")
+    return pairs.join(right, "b").join(left, "a").select("a", "text_a", "b", "text_b").mapInArrow(_verify(k, percent), "a binary, b binary, both long, linked boolean")
+
+
+def _across(slots: DataFrame, forest: DataFrame) -> DataFrame:
+    """slots with the root of their node, of the buckets that hold nodes of several components."""
+    labels = forest.withColumnRenamed("node", "_n")
+    rows = slots.join(labels, slots["node"] == labels["_n"], "left").select(*slots.columns, F.coalesce("root", "node").alias("root"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return rows.join(mixed, "bucket")
 
 
 def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
@@ -235,42 +275,42 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
     chosen = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
     texts = materialize(chosen.select("node", "text").dropDuplicates(["node"]), "texts")
 
-    near = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    forest, tested = None, None
-    for turn in range(rounds + 1):
-        if forest is None:
-            open_slots = slots.withColumn("root", F.col("node"))
-        else:
-            labels = forest.withColumnRenamed("node", "_n")
-            labelled = slots.join(labels, slots["node"] == labels["_n"], "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-            mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-            open_slots = materialize(labelled.join(mixed, "bucket"), "open")
-        if turn < rounds:
-            centre = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"))).alias("x")
-            other = open_slots.groupBy("bucket").agg(centre).select("bucket", "x.c", "x.cn", "x.cr")
-            pairs = open_slots.join(other, "bucket").where((F.col("root") != F.col("cr")) & near(F.col("n"), F.col("cn"))).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-        else:
-            other = open_slots.select("bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"))
-            pairs = open_slots.join(other, "bucket").where((F.col("node") < F.col("c")) & (F.col("root") != F.col("cr")) & near(F.col("n"), F.col("cn"))).select(F.col("node").alias("a"), F.col("c").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        links = materialize(_linked(pairs, texts, k, percent), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        if forest is not None:
-            links = links.union(forest.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        forest = components(links)
+    fame = slots.join(slots.groupBy("bucket").agg(F.count("*").alias("size")), "bucket").groupBy("node").agg(F.sum("size").alias("fame"))
+    ranked = slots.join(fame, "node")
+    hubs = materialize(ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("node").alias("c"))).alias("x")).select("bucket", "x.c"), "hubs")
+    pairs = slots.join(hubs, "bucket").where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+    tested = materialize(_measured(pairs, texts, k, percent), "measured")
+    forest = components(tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+    # what still lies across components, with what bounds its intersections
+    open_slots = _across(slots, forest).join(hubs, "bucket").withColumn("a", F.least("node", "c")).withColumn("b", F.greatest("node", "c"))
+    open_slots = open_slots.join(tested.select("a", "b", "both"), ["a", "b"], "left").select("bucket", "node", "n", "root", F.when(F.col("node") == F.col("c"), F.col("n")).otherwise(F.col("both")).alias("inside"))
+    open_slots = materialize(open_slots, "open")
+    own = _own_shingles(texts.join(open_slots.select("node").distinct(), "node"), k)
+    outside = F.col("n") - F.col("inside") - F.coalesce("own", F.lit(0))
+    open_slots = open_slots.join(own, "node", "left").withColumn("outside", outside).drop("own")
+    open_slots = materialize(open_slots.where((F.col("inside") + F.col("outside")) * 100 >= F.col("n") * percent), "open")
+
+    reach = F.least("inside", "ci") + F.least("outside", "co")
+    possible = reach * (100 + percent) >= (F.col("n") + F.col("cn")) * percent
+    for turn in range(1, rounds + 1):
+        if turn > 1:
+            open_slots = materialize(_across(open_slots.drop("root"), forest), "open")
+        me = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"), F.col("inside").alias("ci"), F.col("outside").alias("co"))
+        last = turn == rounds
+        other = (open_slots.select("bucket", me.alias("x")) if last else open_slots.groupBy("bucket").agg(F.min(me).alias("x"))).select("bucket", "x.*")
+        apart = (F.col("root") != F.col("cr")) & (F.col("node") < F.col("c") if last else F.lit(True))
+        pairs = open_slots.join(other, "bucket").where(apart & possible).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        found = materialize(_measured(pairs, texts, k, percent), "measured")
+        tested = tested.union(found)
+        links = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        forest = components(links.union(forest.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
     members = classes.select(F.col("node").alias("_n"), F.col("first.doc_id").alias("_d"))
-    if forest is not None:
-        members = members.join(forest, members["_n"] == forest["node"], "left").select("_n", "_d", F.coalesce("root", "_n").alias("root"))
-        smallest = members.groupBy("root").agg(F.min("_d").alias("component_id"))
-        members = members.select("_n", "root").join(smallest, "root").select("_n", "component_id")
-    else:
-        members = members.withColumnRenamed("_d", "component_id")
+    members = members.join(forest, members["_n"] == forest["node"], "left").select("_n", "_d", F.coalesce("root", "_n").alias("root"))
+    smallest = members.groupBy("root").agg(F.min("_d").alias("component_id"))
+    members = members.select("_n", "root").join(smallest, "root").select("_n", "component_id")
     found = sketches.select("doc_id", "t", "n", "node").join(members, F.col("node") == F.col("_n"), "left")
     return found.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
