@@ -5,7 +5,8 @@ boundaries of two neighbours coincide inside their overlap, the scan has resynch
 text is cut there. The pieces between cuts are encoded apart, so that their ids concatenate to
 those of the whole text. The pattern looks ahead only, so what follows a boundary does not depend
 on what precedes it; a boundary at least LOOK characters before a chunk's end does not depend on
-what the chunk leaves out.
+what the chunk leaves out; and one behind a character that is no white space does not depend on
+what follows it, so the piece before it is pre-tokenised alone as it is in the text.
 
 Texts of at most `big` bytes are cut, encoded and hashed in the task that reads them. A longer
 text is encoded once per distinct content, its chunks and pieces dealt over the cluster.
@@ -46,9 +47,10 @@ def _compiled(pattern: str):
 
 
 def boundaries(text: str, start: int, stop: int, pattern: str) -> list[int]:
-    """Ends of the pre-tokens of text[start:stop] that what follows stop cannot move."""
+    """Ends of the pre-tokens of text[start:stop] at which text may be cut."""
     safe = stop if stop == len(text) else stop - LOOK
-    return [m.end() for m in _compiled(pattern).finditer(text, start, stop) if m.end() <= safe]
+    ends = [m.end() for m in _compiled(pattern).finditer(text, start, stop)]
+    return [p for p in ends if p <= safe and not text[p - 1].isspace()]
 
 
 def first_common(tail: list[int], head: list[int]) -> int | None:
@@ -138,8 +140,9 @@ def _scan(pattern: str, chunk: int, overlap: int):
             out = []
             for row in batch.to_pylist():
                 part = row["part"]
+                safe = len(part) - (0 if row["last"] else LOOK)
                 ends = [m.end() for m in _compiled(pattern).finditer(part)]
-                ends = [p for p in ends if row["last"] or p <= len(part) - LOOK]
+                ends = [p for p in ends if p <= safe and not part[p - 1].isspace()]
                 out.append({"key": row["key"], "i": row["i"], "head": [row["start"] + p for p in ends if p <= overlap], "tail": [row["start"] + p for p in ends if p > chunk], "last": row["last"]})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("key", pa.binary()), ("i", pa.int32()), ("head", pa.list_(pa.int32())), ("tail", pa.list_(pa.int32())), ("last", pa.bool_())]))
 
