@@ -434,9 +434,11 @@ def _run_ac(bits: _Bits, flat: np.ndarray, pos, block, first, count, scan: Scan)
         over = k > scan.se
         if over.any():
             at, k = at + over, np.where(over, scan.ss, k)
-            left = at < stop
-            if not left.all():
-                pos, at, stop, k = pos[left], at[left], stop[left], k[left]
+        elif not none.any():
+            continue
+        left = at < stop
+        if not left.all():
+            pos, at, stop, k = pos[left], at[left], stop[left], k[left]
 
 
 def _run_refine(bits: _Bits, flat: np.ndarray, pos, block, first, count, scan: Scan) -> None:
