@@ -74,7 +74,7 @@ def search(tree: dict, x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.
         far = np.sqrt(np.maximum(0, 2 - 2 * (q[who] @ x[rows].T)))
         own = ids[rows][None, :] == q_ids[who][:, None]
         good = np.where(own, np.inf, far)
-        near = good <= best[who, -1:] + TIE
+        near = (good <= best[who, -1:] + TIE) & ~own
         for i in np.flatnonzero(near.any(axis=1)):
             kept[who[i]].append((rows[near[i]], good[i][near[i]]))
         best[who] = np.partition(np.concatenate((best[who], good), axis=1), k - 1, axis=1)[:, :k]
