@@ -616,6 +616,53 @@ def search_snippets(spark, sf):
     return readers.search_snippets(rows).select("company", "snippet_id", "text")
 
 
+def _page_query(name: str, function: Callable[[str], list[tuple]], columns: list[str], extra: str, sql: str | None = None) -> None:
+    def run(spark, sf):
+        rows = table(spark, sf, "pages").select("page_id", F.concat(F.lit(extra), F.coalesce("html", F.lit(""))).alias("html"))
+        return pages.extract(rows, "page_id", "html", function, columns)
+
+    query(sql, name)(run)
+
+
+_OPENING = '<p>募集している求人<b>16</b>件</p><a href="/viewjob/1?x=1">a</a><a href="/viewjob/1/">b</a><table><tr><td><h3>給与</h3></td><td>想定年収 690万円～1,235万円</td></tr></table>'
+_METRICS = "".join(f"<table><tr><th>期</th><th>{m}</th></tr><tr><th>2024年(x)</th><td>1,100</td></tr><tr><th>2023年</th><td>1,000</td></tr></table>" for m in ("売上高", "自己資本率", "ROE", "営業CF"))
+_page_query("opening_counts", lambda p: [(n,)] if (n := pages.opening_count(p)) else [], ["n"], _OPENING, "SELECT page_id, 0 AS pos, '16件' AS n FROM pages")
+_page_query("opening_urls", lambda p: [(u,) for u in pages.opening_urls(p, "https://h")], ["url"], _OPENING, "SELECT page_id, 0 AS pos, 'https://h/viewjob/1?x=1' AS url FROM pages")
+_page_query("opening_fields", lambda p: list(pages.opening_fields(p).items()), ["label", "value"], _OPENING, "SELECT page_id, 0 AS pos, '想定年収' AS label, '690万円～1,235万円' AS value FROM pages")
+_page_query("financial_fields", lambda p: list(pages.financial_fields(p).items()), ["label", "value"], _METRICS)
+_page_query("release_fields", lambda p: list(pages.release_fields(p).items()), ["label", "value"], "<dl><dt>設立</dt><dd>2012年</dd></dl>")
+_page_query("field_text", lambda p: [(pages.field_text(p),)], ["text"], _FIELD_PAGE)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS name, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 4 AS INTEGER) END AS priority FROM events")
+def stored_answers(spark, sf):
+    key = F.col("event_id").cast("string")
+    fenced = F.concat(F.lit('```json\n{"name": "'), key, F.lit('", "priority": '), (F.col("event_id") % 4).cast("string"), F.lit("}\n```"))
+    rows = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, "no json").otherwise(fenced).alias("answer"))
+    return readers.extracted(rows, "answer", "name string, priority int").select("event_id", "answer.name", "answer.priority")
+
+
+@query("""WITH m AS (SELECT user_id AS entity, 'm' AS media, event_type AS canonical, CAST(max(event_id) AS VARCHAR) AS value FROM events WHERE event_type <> 'view' GROUP BY 1, 3),
+s AS (SELECT DISTINCT user_id AS entity, 'm' AS media, t AS canonical, 's' AS value FROM events, (SELECT unnest(['click', 'view', 'zzz']) AS t))
+SELECT * FROM m UNION ALL SELECT * FROM s WHERE canonical IN ('click', 'view') AND NOT EXISTS (SELECT 1 FROM m WHERE m.entity = s.entity AND m.canonical = s.canonical)""")
+def accepted_suggestions(spark, sf):
+    e = table(spark, sf, "events")
+    mapped = e.where("event_type <> 'view'").groupBy(F.col("user_id").alias("entity"), F.lit("m").alias("media"), F.col("event_type").alias("canonical")).agg(F.max("event_id").cast("string").alias("value"))
+    suggested = e.select(F.col("user_id").alias("entity")).distinct().select("entity", F.lit("m").alias("media"), F.explode(F.array(*map(F.lit, ("click", "view", "zzz")))).alias("canonical"), F.lit("s").alias("value"))
+    return mapping.accept_suggestions(mapped, suggested, spark.createDataFrame([("click",), ("view",)], "canonical string"))
+
+
+@query("SELECT event_id, CASE event_id % 5 WHEN 1 THEN '採用/人事直通' WHEN 2 THEN '採用部署代表' WHEN 3 THEN '会社代表' ELSE 'その他' END AS label FROM events")
+def priority_labels(spark, sf):
+    return table(spark, sf, "events").select("event_id", contact.priority_label(F.col("event_id") % 5).alias("label"))
+
+
+@query("SELECT o_orderkey, date_trunc('minute', o_orderdate) - INTERVAL 9 HOUR AS at_utc FROM orders")
+def local_times(spark, sf):
+    at = F.to_utc_timestamp(F.date_trunc("minute", "o_orderdate"), "Asia/Tokyo")
+    return table(spark, sf, "orders").select("o_orderkey", at.cast("timestamp_ntz").alias("at_utc"))
+
+
 # ---------------------------------------------------------------- files and pipelines
 
 
