@@ -237,12 +237,41 @@ def test_schedule_is_even(spark):
 # ---------------------------------------------------------------- pipeline
 
 
-def test_pipeline(spark, tmp_path):
+def test_pipeline(spark):
+    """Each stage against brute force on what the one before kept."""
+    import math
+    from collections import Counter
+
     import corpus_pipeline as c
+    import public_tokenizers as P
+    from test_texts import RANKS, brute_lines
+
+    from entitymill.llm import bpe, quality
+    from entitymill.llm.common import materialize
 
-    assert len(c.STAGES) == 5
-    rows = c.run(spark, "/root/testdata/sf0.001")
-    assert rows.count() > 100 and set(rows.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = lambda df: {r.doc_id: r.text for r in df.collect()}
+    out, before = {}, docs
+    for name, stage in c.STAGES:
+        out[name] = before = materialize(stage(spark, before, sf), name)
+    scored = quality.score_documents(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    good = text(out["quality"])
+    assert set(good) == {r.doc_id for r in scored.where("predicted = 1").collect()}
+    deduped = text(out["line_dedup"])
+    assert deduped == {i: t for i, _, _, t in brute_lines(list(good.items()))}
+    assert all(r.n_chars == len(r.text) for r in out["line_dedup"].collect())
+    groups = brute_components(list(deduped.items()), 5, 80)
+    single = text(out["near_dedup"])
+    assert single == {i: deduped[i] for i, (_, g) in groups.items() if g == i}
+    taken = {r.doc_id: r for r in mixing.mix_documents(out["near_dedup"]).collect()}
+    times = Counter(r.doc_id for r in out["mixing"].collect())
+    assert times == Counter({i: math.ceil(r.taken / r.size) for i, r in taken.items() if r.taken})
+    assert all(t == single[i] for i, t in text(out["mixing"]).items())
+    rows = out["bpe"].collect()
+    assert Counter(r.doc_id for r in rows) == times
+    assert all(r.n_tokens == len(bpe.encoding(RANKS, P.PATTERN).encode_ordinary(single[r.doc_id])) for r in rows)
+    assert Counter(map(tuple, c.run(spark, sf).collect())) == Counter(map(tuple, rows))
 
 
 def test_pipeline_stages_on_empty_documents(spark):
