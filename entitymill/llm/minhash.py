@@ -296,11 +296,18 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
     for turn in range(1, rounds + 1):
         if turn > 1:
             open_slots = materialize(_across(open_slots.drop("root"), forest), "open")
-        me = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"), F.col("inside").alias("ci"), F.col("outside").alias("co"))
         last = turn == rounds
-        other = (open_slots.select("bucket", me.alias("x")) if last else open_slots.groupBy("bucket").agg(F.min(me).alias("x"))).select("bucket", "x.*")
-        apart = (F.col("root") != F.col("cr")) & (F.col("node") < F.col("c") if last else F.lit(True))
-        pairs = open_slots.join(other, "bucket").where(apart & possible).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        mine = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"), F.col("inside").alias("ci"), F.col("outside").alias("co"))
+        apart = F.col("root") != F.col("cr")
+        if last:
+            # a pair is made in the first bucket that it shares, and there alone
+            shared = open_slots.groupBy(F.col("node").alias("_n")).agg(F.collect_set("bucket").alias("own"))
+            here = open_slots.join(shared, F.col("node") == F.col("_n")).drop("_n")
+            other = here.select("bucket", mine.alias("x"), F.col("own").alias("theirs")).select("bucket", "x.*", "theirs")
+            apart = (F.col("node") < F.col("c")) & apart & possible & (F.array_min(F.array_intersect("own", "theirs")) == F.col("bucket"))
+        else:
+            here, other = open_slots, open_slots.groupBy("bucket").agg(F.min(mine).alias("x")).select("bucket", "x.*")
+        pairs = here.join(other, "bucket").where(apart & possible).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = materialize(_measured(pairs, texts, k, percent), "measured")
         tested = tested.union(found)
