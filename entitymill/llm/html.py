@@ -8,11 +8,13 @@ on every page, so hosts of few pages are covered too. An article or main element
 one, bounds the text; prose inside it (paragraphs, headings, lists of sentences) is never template,
 however often it recurs, since copied articles are articles.
 
-Counts are pre-aggregated, so a host with a third of all pages is no hot key; a page meets the list
-of its own template hashes by a join.
+Counts are pre-aggregated, so a host with a third of all pages is no hot key. Pages meet the list of
+their own template hashes by a join; only hashes whose removal changes a text are listed, so where
+marks and elements say it all the list is small enough for Spark to broadcast it by its size, and
+pages are not shuffled.
 
 Defined results: a null or empty html has the empty text. Rows that repeat, also with a null
-page_id, each give a row and are one page for the counts if all their columns are equal. A null or
+page_id, each give a row, and each is a page for the counts. A null or
 odd url is the host "". Unclosed, misnested and cut-off markup is read to its end. Other columns are
 not read. An empty table gives an empty result.
 """
@@ -28,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitymill.llm.common import materialize
+
 #: A subtree is template on a host from so many pages, and so large a share of the host's pages.
 MIN_PAGES, MIN_SHARE = 5, 0.05
 
@@ -229,31 +233,44 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def open_subtrees(root: Node) -> Iterator[Node]:
+    """Elements whose removal would change the text: inside the content, not already removed."""
+    todo = [c for start in content_root(root) for c in start.children]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node) and not node.gone:
+            yield node
+            todo += node.children
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, hosts, found = [], [], []
+        keys, hosts, found, opened = [], [], [], []
         for key, name, page in zip(batch.column("key"), batch.column("host"), batch.column("html")):
             if text := page.as_py():
-                some = set(subtree_hashes(parse(text)).values())
+                root = parse(text)
+                hashes = subtree_hashes(root)
+                matter = {hashes.get(id(n)) for n in open_subtrees(root)}
+                some = set(hashes.values())
                 found += some
+                opened += [h in matter for h in some]
                 keys += [key.as_py()] * len(some)
                 hosts += [name.as_py()] * len(some)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string()), pa.array(found, pa.int64())], names=["key", "host", "hash"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.int64()), pa.array(found, pa.int64()), pa.array(opened, pa.bool_())], names=["key", "host", "hash", "open"])
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(key, host, hash of each subtree of each page; host, hash, pages of what is template)."""
+    """(key, host, hash and open of each subtree of each page; host, hash, pages of what is template)."""
     keyed = _keyed(pages)
-    seen = keyed.mapInArrow(_subtrees, "key long, host string, hash long")
-    size = keyed.groupBy("host", "key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("on_host"))
-    # a page is counted once for each hash: its rows are distinct per row, and equal rows share a key
-    counts = seen.groupBy("host", "hash", "key").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("pages"))
-    many = counts.where(F.col("pages") >= min_pages).join(size, "host").where(F.col("pages") >= F.col("on_host") * min_share)
+    seen = materialize(keyed.mapInArrow(_subtrees, "key long, host long, hash long, open boolean"), "subtrees")
+    size = keyed.groupBy("host").agg(F.count("*").alias("on_host"))
+    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    many = counts.join(size, "host").where(F.col("pages") >= F.col("on_host") * min_share)
     return seen, many.select("host", "hash", "pages")
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"), host(F.col("url")).alias("host"))
+    return pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"), F.xxhash64(host(F.col("url"))).alias("host"))
 
 
 def _texts(kind: str):
@@ -268,6 +285,7 @@ def _texts(kind: str):
 def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text and n_chars of each row of pages (page_id, url, html)."""
     seen, templates = site_templates(pages, min_pages, min_share)
-    own = seen.join(templates.select("host", "hash"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("templates"))
+    own = seen.where("open").join(templates.select("host", "hash"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("templates"))
+    own = materialize(own, "templates")  # its size is known before the join is planned
     kind = pages.schema["page_id"].dataType.simpleString()
     return _keyed(pages).join(own, "key", "left").select("page_id", "url", "html", "templates").mapInArrow(_texts(kind), f"page_id {kind}, url string, text string, n_chars long")
