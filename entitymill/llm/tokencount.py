@@ -30,7 +30,7 @@ from entitymill.llm.common import text_key
 CHUNK, OVERLAP, BIG, SEEN, LIMIT = 16384, 256, 1 << 16, 400_000, 1024
 
 #: The characters with the Unicode property White_Space.
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 STABLE = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 
