@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: White space in Unicode's sense, with the four separators that the collectors strip as well.
+#: White space in Unicode's sense, with the four ASCII separators that Python strips as well.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 #: Texts that stand for missing; full-width digits and letters and their narrow forms.
