@@ -5,17 +5,21 @@ holds (tags, classes, text), and the hashes are counted in Spark per host: a sub
 many pages of its host is template, and is deleted there. What HTML itself or its class names mark as
 not being the article (navigation, headers, footers, asides, forms, adverts, notices, comments) goes
 on every page, so hosts of few pages are covered too. An article or main element, where there is
-one, bounds the text; prose inside it (paragraphs, headings, lists of sentences) is never template,
-however often it recurs, since copied articles are articles.
+one, bounds the text; prose inside it is never template, nor is what wraps it, however often it
+recurs, since copied articles are articles. Prose is text outside links in paragraphs, headings, list
+items and cells, and sentences anywhere; a heading over nothing but links is a label of them.
 
-Counts are pre-aggregated, so a host with a third of all pages is no hot key. Pages meet the list of
+What is counted for a subtree are the distinct contents it stands in: the texts of their pages before
+templates go. Rows that repeat and copies of an article, whatever the site puts around them, are one.
+
+Counts are pre-aggregated, so a host with a third of all pages is no hot key. Rows bound distinct
+contents from above, so these are counted only for hashes with enough rows. Pages meet the list of
 their own template hashes by a join; only hashes whose removal changes a text are listed, so where
 marks and elements say it all the list is small enough for Spark to broadcast it by its size, and
 pages are not shuffled.
 
 Defined results: a null or empty html has the empty text. Rows that repeat, also with a null
-page_id, each give a row, and each is a page for the counts. A null or
-odd url is the host "". Unclosed, misnested and cut-off markup is read to its end. Other columns are
+page_id, each give a row. A null or odd url is the host "". Unclosed, misnested and cut-off markup is read to its end. Other columns are
 not read. An empty table gives an empty result.
 """
 
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 
 from entitymill.llm.common import materialize
 
-#: A subtree is template on a host from so many pages, and so large a share of the host's pages.
+#: A subtree is template on a host from so many contents, and so large a share of the host's contents.
 MIN_PAGES, MIN_SHARE = 5, 0.05
 
 #: Elements of HTML by how they are read.
@@ -61,10 +65,14 @@ MARKS = frozenset(
     "tags copyright disclaimer search complementary contentinfo".split()
 )
 WHOLE = frozenset(("html", "body", "article", "main"))
+#: Blocks whose text is prose without being a sentence.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTS = frozenset("p blockquote pre dd dt figcaption li td th caption summary address".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
+_SENTENCE = re.compile(r"[.!?\u2026](?:[\"'\u00bb\u201c\u201d\u2019)]*)(?:\s|\Z)|[\u3002\uff01\uff1f\u0964]")
 
 
 class Node:
@@ -197,7 +205,14 @@ def main_text(page: str | None, templates: frozenset[int] | set[int] = frozenset
     if not page:
         return ""
     root = parse(page)
-    hashes = subtree_hashes(root) if templates else {}
+    if not templates:
+        return _content_text(root)
+    hashes = subtree_hashes(root)
+    return _content_text(root, {id(x) for x in open_subtrees(root) if hashes.get(id(x)) in templates})
+
+
+def _content_text(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> str:
+    """The text of a tree without the elements removed (by id() of the node)."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -214,7 +229,7 @@ def main_text(page: str | None, templates: frozenset[int] | set[int] = frozenset
                 line.append(item)
             elif item is None:
                 flush()
-            elif item.gone or hashes.get(id(item)) in templates:
+            elif item.gone or id(item) in removed:
                 if item.tag in BLOCKS:
                     flush()
             elif item.tag == "br":
@@ -233,38 +248,82 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def open_subtrees(root: Node) -> Iterator[Node]:
-    """Elements whose removal would change the text: inside the content, not already removed."""
-    todo = [c for start in content_root(root) for c in start.children]
+def prose_holders(start: Node) -> set[int]:
+    """id() of the elements of a content that are prose or wrap it."""
+    order: list[tuple[Node, int]] = []
+    flags: list[list[bool]] = []  # of each element: prose, heading, link
+    todo = [(start, -1, False, start.tag)]
     while todo:
-        node = todo.pop()
-        if isinstance(node, Node) and not node.gone:
-            yield node
-            todo += node.children
+        node, above, linked, block = todo.pop()
+        linked, block = linked or node.tag == "a", node.tag if node.tag in BLOCKS else block
+        at, said = len(order), [False, False, False]
+        order.append((node, above))
+        flags.append(said)
+        for c in node.children:
+            if isinstance(c, Node):
+                if not c.gone:
+                    todo.append((c, at, linked, block))
+            elif c.strip():
+                if linked:
+                    said[2] = True
+                elif block in HEADINGS:
+                    said[1] = True
+                elif block in TEXTS or _SENTENCE.search(c):
+                    said[0] = True
+    out = set()
+    for (node, above), said in zip(reversed(order), reversed(flags)):
+        if said[0] or (said[1] and not said[2]):
+            out.add(id(node))
+        if above >= 0:
+            flags[above][:] = [a or b for a, b in zip(flags[above], said)]
+    return out
+
+
+def open_subtrees(root: Node) -> Iterator[Node]:
+    """Elements that may be removed with a change of the text: inside the content, not already
+    removed, and in an article or main without prose."""
+    for start in content_root(root):
+        prose = prose_holders(start) if start is not root else ()
+        todo = list(start.children)
+        while todo:
+            node = todo.pop()
+            if isinstance(node, Node) and not node.gone:
+                if id(node) not in prose:
+                    yield node
+                todo += node.children
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, hosts, found, opened = [], [], [], []
+        keys, hosts, contents, found, opened = [], [], [], [], []
         for key, name, page in zip(batch.column("key"), batch.column("host"), batch.column("html")):
-            if text := page.as_py():
-                root = parse(text)
-                hashes = subtree_hashes(root)
-                matter = {hashes.get(id(n)) for n in open_subtrees(root)}
-                some = set(hashes.values())
-                found += some
-                opened += [h in matter for h in some]
-                keys += [key.as_py()] * len(some)
-                hosts += [name.as_py()] * len(some)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.int64()), pa.array(found, pa.int64()), pa.array(opened, pa.bool_())], names=["key", "host", "hash", "open"])
+            some: list = [None]  # a row without a hash stands for the page itself
+            matter: set = set()
+            text = ""
+            if page := page.as_py():
+                root = parse(page)
+                hashes, text = subtree_hashes(root), _content_text(root)
+                matter = {hashes.get(id(n)) for n in open_subtrees(root)} - {None}
+                some += set(hashes.values())
+            content = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+            found += some
+            opened += [h in matter for h in some]
+            keys += [key.as_py()] * len(some)
+            hosts += [name.as_py()] * len(some)
+            contents += [content] * len(some)
+        columns = [*(pa.array(x, pa.int64()) for x in (keys, hosts, contents, found)), pa.array(opened, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "host", "content", "hash", "open"])
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(key, host, hash and open of each subtree of each page; host, hash, pages of what is template)."""
-    keyed = _keyed(pages)
-    seen = materialize(keyed.mapInArrow(_subtrees, "key long, host long, hash long, open boolean"), "subtrees")
-    size = keyed.groupBy("host").agg(F.count("*").alias("on_host"))
-    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    """(key, host, content, hash and open of each subtree that may be template, of each page; host,
+    hash, pages of what is template: so many distinct contents)."""
+    seen = materialize(_keyed(pages).mapInArrow(_subtrees, "key long, host long, content long, hash long, open boolean"), "subtrees")
+    size = seen.where("hash IS NULL").select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("on_host"))
+    often = seen.where("hash IS NOT NULL").groupBy("host", "hash").agg(F.count("*").alias("rows"), F.max("open").alias("open"))
+    often = materialize(often.where((F.col("rows") >= min_pages) & F.col("open")).select("host", "hash"), "often")
+    seen = seen.join(often, ["host", "hash"])
+    counts = seen.select("host", "hash", "content").distinct().groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     many = counts.join(size, "host").where(F.col("pages") >= F.col("on_host") * min_share)
     return seen, many.select("host", "hash", "pages")
 

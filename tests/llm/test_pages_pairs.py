@@ -36,6 +36,19 @@ def test_templates(spark):
     assert html.extract_pages(df.limit(0)).count() == 0
 
 
+def test_copies_are_no_templates(spark):
+    """Copies of an article, repeated rows, and prose in lists and cells stay; a box of links goes."""
+    copy = "<nav>n{}</nav><article><div><p>text</p></div><div>label</div><ul><li>one</li></ul></article>"
+    rows = [(i, "http://copies.com/", copy.format(i)) for i in range(6)]
+    rows += [(10, "http://rows.com/", "<div>Same box</div><p>x</p>")] * 6
+    cells = "<article><p>own {}</p><table><tr><td>0</td></tr></table><ul><li>Yes</li></ul><div>A sentence.</div><div><h2>Start</h2></div><div><h3>More</h3><ul><li><a href=\"/\">home</a></ul></div></article>"
+    rows += [(20 + i, "http://cells.com/", cells.format(i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in html.extract_pages(df).collect())
+    want = [(i, "text\n\nlabel\n\none") for i in range(6)] + [(10, "Same box\n\nx")] * 6
+    assert got == want + [(20 + i, f"own {i}\n\n0\n\nYes\n\nA sentence.\n\nStart") for i in range(6)]
+
+
 # ---------------------------------------------------------------- near duplicates
 
 
