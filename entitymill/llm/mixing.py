@@ -2,7 +2,9 @@
 
 The mix is a sequence of slots of equal numbers of words. Slot t has the point frac(t * g), g near
 the golden ratio's inverse; mapped through the cumulative shares of the sources, it names a source,
-and every prefix of the schedule holds each source close to its share. The slots of a source are
+and every prefix of the schedule holds each source close to its share. Each source has its target's
+number of slots, rounded up, however rare it is: what the points deal to a source beyond that goes to
+sources that they leave short, and its last slot takes the remaining words. The slots of a source are
 ranked in order. The documents of a source, shuffled by a hash, form a stream that is read again
 from its start when it ends; the stream is cut into blocks of as many words as a slot. Slot number
 r of a source takes its block number r. Everything runs in the JVM.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -31,8 +33,9 @@ WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 SLOT_WORDS, SLOTS = 4096, 1 << 17
 #: Rows that a bucket of a prefix sum should hold.
 BUCKET_ROWS = 20_000
-#: 2**31 and the odd number nearest to it over the golden ratio.
-MODULUS, STEP = 1 << 31, 1327217885
+#: Neighbours in Fibonacci's sequence. Their ratio is the golden one up to MODULUS slots,
+#: which no point repeats before, and their product fits 63 bits.
+MODULUS, STEP = 2971215073, 1836311903
 
 
 def prefix_sum(df: DataFrame, group: str, bucket: str, order: list, value: str, out: str) -> DataFrame:
@@ -88,6 +91,31 @@ def schedule(goal: DataFrame, n_slots: int) -> DataFrame:
     return prefix_sum(dealt, "source", "bucket", [F.col("slot")], "one", "rank").select("slot", "source", "rank")
 
 
+def full_schedule(goal: DataFrame, per: int) -> DataFrame:
+    """slot, source and rank of a schedule in which each source has as many slots of `per` words as
+    hold its target, the last one perhaps in part; goal: source, target."""
+    wanted = goal.where("target > 0").select("source", F.ceil(target_words() / per).alias("n"))
+    wanted = materialize(wanted, "slots")
+    n_slots = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = materialize(schedule(wanted.select("source", F.col("n").cast("double").alias("target")), n_slots), "schedule")
+    have = dealt.groupBy(F.col("source").alias("_s")).agg(F.count("*").alias("have"))
+    counts = wanted.join(have, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "n", F.coalesce("have", F.lit(0)).alias("have"))
+    ranked = dealt.join(counts.select(F.col("source").alias("_s"), "n"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    # a few slots for each source: the only windows without a key stand on these tables
+    surplus = ranked.where("rank >= n").select("slot", F.row_number().over(W.orderBy("slot")).alias("i"))
+    short = counts.where("have < n").select("source", F.explode(F.sequence(F.col("have"), F.col("n") - 1)).alias("rank"))
+    short = short.select("source", "rank", F.row_number().over(W.orderBy("rank", F.col("source").asc_nulls_last())).alias("i"))
+    filled = surplus.join(short, "i").select("slot", "source")
+    every = ranked.where("rank < n").select("slot", "source").union(filled)
+    every = every.withColumn("one", F.lit(1)).withColumn("bucket", F.floor(F.col("slot") / BUCKET_ROWS))
+    return prefix_sum(every, "source", "bucket", [F.col("slot")], "one", "rank").select("slot", "source", "rank")
+
+
+def target_words() -> Column:
+    """Words of a target: rounded up, but for the error of its sum."""
+    return F.ceil(F.col("target") * (1 - 1e-14))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, slot_words: int = SLOT_WORDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with size, source_size and target; the schedule; the segments that slots take).
 
@@ -98,7 +126,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     goal = materialize(targets(sizes, weights, share, epochs), "targets")
     total = share * words
     per = max(1, min(slot_words, math.ceil(total / slots)))
-    plan = schedule(goal, math.ceil(total / per))
+    plan = full_schedule(goal, per)
 
     shuffled = F.xxhash64("doc_id", "source")
     buckets = max(1, math.ceil(n_rows / BUCKET_ROWS))
@@ -107,9 +135,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     tie = W.partitionBy("source", "bucket").orderBy("start", shuffled, "doc_id", "size")
     rows = rows.withColumn("nth", F.row_number().over(tie))
     rows = rows.join(goal.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    # the stream is read up to `epochs` times; slots beyond its last word take what there is
+    # the stream is read up to `epochs` times, and no further than the target
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
-    spans = rows.where("size > 0").withColumn("e", epoch).withColumn("a", F.col("start") + F.col("e") * F.col("source_size")).withColumn("b", F.col("a") + F.col("size"))
+    spans = rows.where("size > 0").withColumn("e", epoch).withColumn("a", F.col("start") + F.col("e") * F.col("source_size")).withColumn("b", F.least(F.col("a") + F.col("size"), target_words())).where("a < b")
     spans = spans.withColumn("rank", F.explode(F.sequence(F.floor(F.col("a") / per), F.floor((F.col("b") - 1) / per))))
     segments = spans.select(
         "doc_id", "source", "bucket", "nth", "rank",

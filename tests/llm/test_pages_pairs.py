@@ -247,6 +247,33 @@ def test_schedule_is_even(spark):
         assert [r.rank for r in plan if r.source == s] == list(range(sum(r.source == s for r in plan)))
 
 
+def test_mix_takes_rare_sources(spark):
+    """Sources far smaller than a slot are taken to their targets, as is every other source."""
+    sizes = {"big": 600, **{f"rare{i:02}": 1 for i in range(12)}, None: 1}
+    rows = [(f"{s} {i}", " ".join(["w"] * 10 if s == "big" else ["w"] * 3), s) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    got = mixing.mix_documents(df, slot_words=512, slots=1).collect()
+    taken, target = defaultdict(int), {}
+    for g in got:
+        taken[g.doc_id.split()[0]] += g.taken
+        target[g.doc_id.split()[0]] = g.target
+    assert len(target) == 14 and min(target.values()) > 0
+    assert all(0 <= taken[s] - target[s] < 1 + 1e-6 for s in target)
+    _, plan, segments = mixing.mix(df, slot_words=512, slots=1)
+    plan = sorted(plan.collect(), key=lambda r: r.slot)
+    assert [r.slot for r in plan] == list(range(len(plan))) and len({r.source for r in plan}) == 14
+    for s in sizes:
+        assert [r.rank for r in plan if r.source == s] == list(range(sum(r.source == s for r in plan)))
+    assert segments.groupBy("source", "rank").agg(F.sum("words").alias("w")).agg(F.max("w")).first()[0] <= 512
+
+
+def test_schedule_is_golden_at_many_slots():
+    """Gaps between the points stay below twice a slot's width, also for millions of slots."""
+    n = 3_000_000
+    points = np.sort(np.arange(n, dtype=np.int64) * mixing.STEP % mixing.MODULUS) / mixing.MODULUS
+    assert np.diff(points, append=points[0] + 1).max() * n < 2
+
+
 # ---------------------------------------------------------------- pipeline
 
 
