@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitymill.llm.common import discard, materialize
+from entitymill.llm.common import WORD, discard, materialize
 
 BANDS, ROWS = 32, 5
 #: Rounds in which each open bucket has one centre, before its open pairs are compared one by one.
@@ -260,7 +260,8 @@ def _across(slots: DataFrame, forest: DataFrame) -> DataFrame:
 
 
 def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, t (hash of the text), n_shingles and component_id of each row of docs."""
+    """doc_id, t (hash of the text), n_shingles, component_id and root of each row of docs. Rows are
+    of one component if their roots are equal; root is null for a row without shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
     sketches = materialize(source.mapInArrow(_sketch(k, n_bands, rows), f"doc_id {kind}, t long, n long, node binary, bands array<long>"), "sketches")
@@ -317,9 +318,9 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
     members = classes.select(F.col("node").alias("_n"), F.col("first.doc_id").alias("_d"))
     members = members.join(forest, members["_n"] == forest["node"], "left").select("_n", "_d", F.coalesce("root", "_n").alias("root"))
     smallest = members.groupBy("root").agg(F.min("_d").alias("component_id"))
-    members = members.select("_n", "root").join(smallest, "root").select("_n", "component_id")
+    members = members.select("_n", "root").join(smallest, "root").select("_n", "component_id", "root")
     found = sketches.select("doc_id", "t", "n", "node").join(members, F.col("node") == F.col("_n"), "left")
-    return found.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return found.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, **how) -> DataFrame:
@@ -329,8 +330,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, **how) -> Da
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, **how) -> DataFrame:
-    """docs, all columns, one row of each component: that of its smallest doc_id."""
+    """docs, all columns, one row of each component: that of its smallest doc_id, a null one only if
+    there is no other. Rows without words are linked with nothing and all stay."""
     rows = near_duplicate_rows(docs, k, percent, **how)
-    kept = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id").agg(F.min(F.struct("n_shingles", "t")).alias("x"))
-    kept = kept.select(F.col("doc_id").alias("_d"), F.col("x.t").alias("_t"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_d"]) & (F.xxhash64(docs["text"]) == kept["_t"])).drop("_d", "_t").dropDuplicates(["doc_id"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "t")).alias("x")
+    kept = rows.where("root IS NOT NULL").groupBy("root").agg(first)
+    kept = kept.select("root", F.col("x.doc_id").alias("first_id"), F.col("x.t").alias("first_t"))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    found = docs.where(worded).select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("t"))
+    found = found.join(kept, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("t") == F.col("first_t")))
+    return found.select("root", "row").dropDuplicates(["root"]).select("row.*").union(docs.where(~worded))

@@ -108,6 +108,17 @@ def test_near_duplicate_edges(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_keep_one_of_each_component(spark):
+    """Texts that are linked with nothing stay, also with a null doc_id or one that others have."""
+    texts = ["a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x", "y z a c e g"]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4])]
+    rows += [(None, None), (None, None), (None, ""), (8, " \t"), (8, " \t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_root", F.lit(0)).withColumn("root", F.lit(0))
+    kept = minhash.keep_one(df, k=4)
+    want = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4]), *rows[-5:]]
+    assert kept.columns == df.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_superminhash_estimates():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2**63, 3000).astype(np.uint64)
