@@ -1,26 +1,35 @@
 """Main text of web pages by site template removal.
 
-A page is read into a tree of elements. Every element that is not plain prose is hashed with all it
-holds (tags, classes, text), and the hashes are counted in Spark per host: a subtree that recurs on
-many pages of its host is template, and is deleted there. What HTML itself or its class names mark as
-not being the article (navigation, headers, footers, asides, forms, adverts, notices, comments) goes
-on every page, so hosts of few pages are covered too. An article or main element, where there is
-one, bounds the text; prose inside it is never template, nor is what wraps it, however often it
-recurs, since copied articles are articles. Prose is text outside links in paragraphs, headings, list
-items and cells, and sentences anywhere; a heading over nothing but links is a label of them.
-
-What is counted for a subtree are the distinct contents it stands in: the texts of their pages before
-templates go. Rows that repeat and copies of an article, whatever the site puts around them, are one.
+A page is read into a tree of elements, in one pass. Elements are hashed with all they hold (tags,
+classes, text), and the hashes are counted in Spark per host: a subtree that recurs on many pages of
+its host is template, and is deleted there. Three kinds are counted:
+
+* boxes, which hold no prose: on MIN_PAGES pages and a share of the host's that falls with its size;
+* prose (paragraphs, headings, items) in pages that have no article or main element: the same;
+* prose in an article or main: only at the same place (among the first or the last EDGE blocks) on
+  INNER_PAGES pages and most of the host's, as lines under every article are.
+
+What is counted for a box are the distinct contents it stands in: the texts of their pages before
+templates go. For prose it is the longest other block of its page. So rows that repeat and copies of
+an article, whatever the site puts around them, are one, and copied articles stay whole; prose that
+outweighs what differs between its pages stays too, since near copies look like that.
+
+What HTML itself or its class words mark as not being the article (navigation, headers, footers,
+asides, forms, adverts, notices, comments) goes on every page, so hosts of few pages are covered too,
+and so is what differs from page to page. A mark does not remove an element that holds all articles
+of its page; words of state (has-sidebar, menu-open) are no marks; the words of LOOSE are marks only
+of what is mostly links or has no sentence. An article or main element, where there is one, bounds
+the text. In pages without one, lists of nothing but links are menus.
 
 Counts are pre-aggregated, so a host with a third of all pages is no hot key. Rows bound distinct
-contents from above, so these are counted only for hashes with enough rows. Pages meet the list of
-their own template hashes by a join; only hashes whose removal changes a text are listed, so where
-marks and elements say it all the list is small enough for Spark to broadcast it by its size, and
-pages are not shuffled.
+contents from above, so these are counted only for hashes with enough rows. Each page is read once;
+only pages that hold a template whose removal changes their text are read again, with the list of
+their own templates.
 
 Defined results: a null or empty html has the empty text. Rows that repeat, also with a null
-page_id, each give a row. A null or odd url is the host "". Unclosed, misnested and cut-off markup is read to its end. Other columns are
-not read. An empty table gives an empty result.
+page_id, each give a row. A null or odd url is the host "". Unclosed, misnested and cut-off markup is
+read to its end; a quote that is never closed ends with its tag. A count equal to a threshold is
+enough. Other columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,142 +46,214 @@ from pyspark.sql import functions as F
 
 from entitymill.llm.common import materialize
 
-#: A subtree is template on a host from so many contents, and so large a share of the host's contents.
-MIN_PAGES, MIN_SHARE = 5, 0.05
+#: A subtree is template on a host from so many contents, and so large a share of the host's contents;
+#: above SHARE_TO contents of a host the share falls with their root.
+MIN_PAGES, MIN_SHARE, SHARE_TO = 5, 0.05, 1000
+#: Prose of an article is template among so many of its first or last blocks, from so many contents
+#: and so large a share.
+EDGE, INNER_PAGES, INNER_SHARE = 3, 8, 0.67
+BOX, PROSE_OUTSIDE, PROSE_INSIDE = 0, 1, 2
 
 #: Elements of HTML by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
+HEAD = frozenset("base link meta title style script noscript template".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt figcaption b i em strong span a br q cite code sub sup small u mark".split())
+INLINE = frozenset("b i em strong span a br q cite code sub sup small u mark font abbr time s del ins kbd var samp label".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt figcaption".split())
 GONE = frozenset(
     "head script style noscript template svg math iframe object embed canvas audio video map nav header footer aside form "
     "button select option textarea input label fieldset menu dialog title xmp noembed noframes".split()
 )
-#: An opening tag of the key closes open elements of the value, up to the nearest of its container.
+#: Elements of GONE that some sites put around a whole page.
+WRAPS = frozenset("form fieldset label dialog".split())
+#: An opening tag of the key closes open elements of the value, inside the nearest of its container.
 CLOSES = {
-    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}), "thead": ({"thead", "tbody", "tr", "td"}, {"table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
+    "option": (("option",), ("select",)), "thead": (("thead", "tbody", "tr", "td", "th"), ("table",)), "tbody": (("thead", "tbody", "tr", "td", "th"), ("table",)),
 }
 #: Words in class, id or role that mark what is not the article.
 MARKS = frozenset(
     "ad ads advert advertisement adverts adbox banner promo promoted sponsor sponsored sidebar aside rail menu nav navbar navigation breadcrumb "
     "breadcrumbs pagination pager footer header masthead cookie cookies consent gdpr notice notices popup modal overlay subscribe subscription "
-    "newsletter signup login share sharing social comment comments commentlist disqus replies reply respond related recommended widget toolbar "
-    "tags copyright disclaimer search complementary contentinfo".split()
+    "newsletter signup login comment comments commentlist disqus replies respond complementary contentinfo".split()
 )
+#: Words that mark it only where the element reads like it.
+LOOSE = frozenset("share sharing social related recommended widget toolbar tags reply copyright disclaimer search".split())
+#: Words that make of a mark a state of the page: before it, and behind it.
+STATES, ENDS = frozenset("has with no without is not hide show".split()), frozenset("open opened closed fixed visible hidden enabled disabled active on off".split())
 WHOLE = frozenset(("html", "body", "article", "main"))
 #: Blocks whose text is prose without being a sentence.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTS = frozenset("p blockquote pre dd dt figcaption li td th caption summary address".split())
+LISTS = frozenset("ul ol dl table div".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A quoted value ends where an attribute can end; a quote that does not open one is a character.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"(?=[\s/>]|\Z)|'[^']*+'(?=[\s/>]|\Z)|[\"'])*+)(?:>|\Z)",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"(?<![\w\-])(class|id|role|hidden|aria-hidden)(?![\w\-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
-_SENTENCE = re.compile(r"[.!?\u2026](?:[\"'\u00bb\u201c\u201d\u2019)]*)(?:\s|\Z)|[\u3002\uff01\uff1f\u0964]")
+_SENTENCE = re.compile(r"[.!?…](?:[\"'»“”’)]*)(?:\s|\Z)|[。！？।]")
 
 
 class Node:
-    __slots__ = ("tag", "gone", "children", "mark")
+    __slots__ = ("tag", "gone", "children", "mark", "loose")
+
+    def __init__(self, tag: str, gone: bool, mark: str, loose: bool = False):
+        self.tag, self.gone, self.mark, self.loose, self.children = tag, gone, mark, loose, []
+
 
-    def __init__(self, tag: str, gone: bool, mark: str):
-        self.tag, self.gone, self.mark, self.children = tag, gone, mark, []
+def _is_mark(name: str, words: frozenset[str]) -> bool:
+    parts = [w for w in re.split(r"[_\-]+", name) if w]
+    return not (words.isdisjoint(parts) or not STATES.isdisjoint(parts[:-1]) or parts[-1] in ENDS)
 
 
-def _marked(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether the element is marked as not the article, and its class and id."""
+def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
+    """Whether the element is marked as not the article, whether loosely so, and its class and id."""
     if not attributes or tag in WHOLE:
-        return tag in GONE, ""
-    gone, said = tag in GONE, []
+        return tag in GONE, False, ""
+    gone, loose, said = tag in GONE, False, []
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         said.append(value)
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             gone = gone or tag in BLOCKS
         elif name.lower() in ("class", "id", "role"):
-            gone = gone or not MARKS.isdisjoint(re.split(r"[\s_\-]+", value))
-    return gone, " ".join(said)
+            names = value.split()
+            gone = gone or any(_is_mark(n, MARKS) for n in names)
+            loose = loose or any(_is_mark(n, LOOSE) for n in names)
+    return gone, loose and not gone, " ".join(said)
+
+
+class _Stack:
+    """Open elements, with the depths of each tag and of blocks, so that no step searches them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.depths, self.blocks = [root], {}, []
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.depths.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCKS:
+            self.blocks.append(at)
+
+    def cut(self, depth: int) -> None:
+        """Closes all from this depth on."""
+        while len(self.nodes) > depth:
+            node = self.nodes.pop()
+            self.depths[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def depth(self, tag: str) -> int:
+        """Depth of the innermost open element of a tag, 0 if there is none."""
+        found = self.depths.get(tag)
+        return found[-1] if found else 0
+
+    def first_inside(self, tag: str, limit: int) -> int | None:
+        found = self.depths.get(tag, [])
+        at = bisect_right(found, limit)
+        return found[at] if at < len(found) else None
 
 
 def parse(text: str) -> Node:
     """The tree of a page; text nodes are strings with their references decoded."""
     root = Node("html", False, "")
-    stack, at, n = [root], 0, len(text)
+    stack, at, n = _Stack(root), 0, len(text)
     while at < n:
         found = _TOKEN.search(text, at)
         begin = found.start() if found else n
         if begin > at:
-            stack[-1].children.append(html.unescape(text[at:begin]))
+            said = text[at:begin]
+            if stack.depth("head") and said.strip():
+                stack.cut(stack.depth("head"))
+            stack.nodes[-1].children.append(html.unescape(said))
         if not found:
             break
         at, tag = found.end(), (found[2] or "").lower()
         if not tag:
             continue
+        innermost = stack.blocks[-1] if stack.blocks else 0
         if found[1]:
-            if tag == "p" and not any(x.tag == "p" for x in stack):
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCKS and stack[i].tag in BLOCKS:
-                    break  # a closing inline tag does not end a block
+            # a closing inline tag does not end a block
+            if (depth := stack.depth(tag)) and (tag in BLOCKS or tag == "head" or depth > innermost):
+                stack.cut(depth)
             continue
-        if tag in ("html", "body") or (tag == "head" and len(stack) > 1):
-            if stack[-1].tag == "head":
-                stack.pop()
+        if stack.depth("head") and tag not in HEAD:
+            stack.cut(stack.depth("head"))
+        if tag in ("html", "body") or (tag == "head" and len(stack.nodes) > 1):
             continue
-        if tag in BLOCKS:
-            # a block ends an open paragraph and what is open inside it
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
+        if tag in BLOCKS and stack.blocks and stack.nodes[innermost].tag == "p":
+            stack.cut(innermost)  # a block ends an open paragraph and what is open inside it
         if tag in CLOSES:
-            ends, limit = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limit:
-                    break
-                if stack[i].tag in ends:
-                    del stack[i:]
-                    break
-        gone, mark = _marked(tag, found[3])
-        node = Node(tag, gone, mark)
-        stack[-1].children.append(node)
+            ends, limits = CLOSES[tag]
+            limit = max(map(stack.depth, limits))
+            if inside := [d for e in ends if (d := stack.first_inside(e, limit))]:
+                stack.cut(min(inside))
+        gone, loose, mark = _marked(tag, found[3])
+        node = Node(tag, gone, mark, loose)
+        stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(text, at)
             inner = text[at : end.start() if end else n]
             node.children.append(html.unescape(inner) if tag in ("title", "textarea") else inner)
             at = end.end() if end else n
-        elif tag not in VOID and not found[3].endswith("/"):
-            stack.append(node)
-        elif tag not in VOID and tag in BLOCKS:
-            stack.append(node)
+        elif tag not in VOID and (tag in BLOCKS or not found[3].endswith("/")):
+            stack.push(node)
+    _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Decides on marks that depend on what an element holds."""
+    order = list(_walk(root))
+    at = {id(x): i for i, x in enumerate(order)}
+    # by element, with all it holds: articles, mains, text, linked text, whether it has a sentence
+    sums = [[x.tag == "article", x.tag == "main", 0, 0, False, 0] for x in order]
+    for i in range(len(order) - 1, -1, -1):
+        node, mine = order[i], sums[i]
+        for c in node.children:
+            if isinstance(c, Node):
+                theirs = sums[at[id(c)]]
+                if c.gone and not theirs[0] and not theirs[1]:
+                    continue
+                mine[:4] = [a + b for a, b in zip(mine, theirs[:4])]
+                mine[4] = mine[4] or theirs[4]
+                mine[5] += theirs[5] + (c.tag == "a")
+            elif words := c.strip():
+                mine[2] += len(words)
+                mine[4] = mine[4] or (node.tag != "a" and bool(_SENTENCE.search(words)))
+        if node.tag == "a":
+            mine[3] = mine[2]
+    articles, mains = sums[0][:2]
+    for node, (a, m, size, linked, sentence, links) in zip(order, sums):
+        whole = bool((a and a == articles) or (m and m == mains))
+        if node.gone and whole and (node.tag not in GONE or node.tag in WRAPS):
+            node.gone = False
+        elif node.loose and not whole:
+            node.gone = 2 * linked >= size or not sentence
+        elif not articles and not mains and node.tag in LISTS and links >= 3 and linked == size:
+            node.gone = True
+
+
 def subtree_hashes(root: Node) -> dict[int, int]:
-    """64-bit hash of every element that is not plain prose, by id() of its node; children first."""
+    """64-bit hash of every element but inline ones, by id() of its node."""
     out: dict[int, int] = {}
-    todo = [(root, False)]
     made: dict[int, bytes] = {}
-    while todo:
-        node, seen = todo.pop()
-        if not seen:
-            todo.append((node, True))
-            todo += [(c, False) for c in node.children if isinstance(c, Node)]
-            continue
-        state = hashlib.blake2b(f"{node.tag}|{node.mark}".encode(), digest_size=8)
+    for node in reversed(list(_walk(root))):
+        state = hashlib.blake2b(f"{node.tag}|{node.mark}".encode("utf-8", "replace"), digest_size=8)
         for c in node.children:
-            state.update(made[id(c)] if isinstance(c, Node) else b"\x00" + _SPACE.sub(" ", c).strip().encode("utf-8", "replace"))
+            state.update(made.pop(id(c)) if isinstance(c, Node) else b"\x00" + _SPACE.sub(" ", c).strip().encode("utf-8", "replace"))
         made[id(node)] = digest = state.digest()
-        if node.tag not in PROSE and node.tag not in WHOLE:
+        if node.tag not in INLINE and node.tag not in WHOLE:
             out[id(node)] = int.from_bytes(digest, "big", signed=True)
     return out
 
@@ -182,13 +264,12 @@ def content_root(root: Node) -> list[Node]:
         found, todo = [], [root]
         while todo:
             node = todo.pop()
-            for c in reversed(node.children):
-                if isinstance(c, Node) and not c.gone and c.tag != wanted:
-                    todo.append(c)
-            found += [c for c in node.children if isinstance(c, Node) and c.tag == wanted and not c.gone]
+            if node.tag == wanted and not node.gone:
+                found.append(node)
+            elif not node.gone:
+                todo += [c for c in reversed(node.children) if isinstance(c, Node)]
         if found:
-            order = {id(x): i for i, x in enumerate(_walk(root))}
-            return sorted(found, key=lambda x: order[id(x)])
+            return found
     return [root]
 
 
@@ -206,13 +287,12 @@ def main_text(page: str | None, templates: frozenset[int] | set[int] = frozenset
         return ""
     root = parse(page)
     if not templates:
-        return _content_text(root)
-    hashes = subtree_hashes(root)
-    return _content_text(root, {id(x) for x in open_subtrees(root) if hashes.get(id(x)) in templates})
+        return "\n\n".join(_blocks(root))
+    return "\n\n".join(_blocks(root, {id(node) for node, _, keys in candidates(root) if not templates.isdisjoint(keys)}))
 
 
-def _content_text(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> str:
-    """The text of a tree without the elements removed (by id() of the node)."""
+def _blocks(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> list[str]:
+    """The blocks of text of a tree without the elements removed (by id() of the node)."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -240,7 +320,7 @@ def _content_text(root: Node, removed: frozenset[int] | set[int] = frozenset())
                     todo.append(None)
                 todo += reversed(item.children)
         flush()
-    return "\n\n".join(blocks)
+    return blocks
 
 
 def host(url: Column) -> Column:
@@ -279,72 +359,109 @@ def prose_holders(start: Node) -> set[int]:
     return out
 
 
-def open_subtrees(root: Node) -> Iterator[Node]:
-    """Elements that may be removed with a change of the text: inside the content, not already
-    removed, and in an article or main without prose."""
+def _key(digest: int, side: str, place: int) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{digest}|{side}|{place}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def candidates(root: Node) -> Iterator[tuple[Node, int, list[int]]]:
+    """Elements that may be template and change the text (inside the content, not already removed),
+    their kind, and the hashes under which they are counted."""
+    hashes = subtree_hashes(root)
     for start in content_root(root):
-        prose = prose_holders(start) if start is not root else ()
-        todo = list(start.children)
+        inside = start is not root
+        prose = prose_holders(start) if inside else ()
+        order, todo, leaves = [], list(reversed(start.children)), []
         while todo:
             node = todo.pop()
             if isinstance(node, Node) and not node.gone:
-                if id(node) not in prose:
-                    yield node
-                todo += node.children
+                order.append(node)
+                todo += reversed(node.children)
+        for node in order:
+            if id(node) not in hashes:
+                continue
+            if id(node) not in prose:
+                yield node, PROSE_OUTSIDE if not inside and node.tag in PROSE else BOX, [hashes[id(node)]]
+            elif not any(isinstance(c, Node) and c.tag in BLOCKS for c in node.children):
+                leaves.append(node)
+        n = len(leaves)
+        for i in {*range(min(EDGE, n)), *range(max(0, n - EDGE), n)} if n > 1 else ():
+            digest = hashes[id(leaves[i])]
+            yield leaves[i], PROSE_INSIDE, [*([_key(digest, "first", i)] if i < EDGE else []), *([_key(digest, "last", n - i)] if n - i <= EDGE else [])]
+
+
+def _text_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _words(node: Node) -> str:
+    return _SPACE.sub(" ", "".join(c for x in _walk(node) if not x.gone for c in x.children if isinstance(c, str))).strip()
+
+
+def read_page(page: str) -> tuple[str, int, list[tuple[int, int, int]]]:
+    """The text without regard to templates, the hash of that, and (hash, content, kind) of each
+    subtree that may be template."""
+    root = parse(page)
+    blocks = _blocks(root)
+    text = "\n\n".join(blocks)
+    content, out = _text_hash(text), set()
+    longest = [_text_hash(b) for b in sorted(set(blocks), key=lambda b: (-len(b), b))[:2]] + [0, 0]
+    for node, kind, keys in candidates(root):
+        around = content if kind == BOX else longest[1] if _text_hash(_words(node)) == longest[0] else longest[0]
+        out.update((k, around, kind) for k in keys)
+    return text, content, sorted(out)
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_TREE = "struct<hash:long,content:long,kind:int>"
+_SUBTREE = pa.list_(pa.struct([("hash", pa.int64()), ("content", pa.int64()), ("kind", pa.int32())]))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, hosts, contents, found, opened = [], [], [], [], []
-        for key, name, page in zip(batch.column("key"), batch.column("host"), batch.column("html")):
-            some: list = [None]  # a row without a hash stands for the page itself
-            matter: set = set()
-            text = ""
-            if page := page.as_py():
-                root = parse(page)
-                hashes, text = subtree_hashes(root), _content_text(root)
-                matter = {hashes.get(id(n)) for n in open_subtrees(root)} - {None}
-                some += set(hashes.values())
-            content = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
-            found += some
-            opened += [h in matter for h in some]
-            keys += [key.as_py()] * len(some)
-            hosts += [name.as_py()] * len(some)
-            contents += [content] * len(some)
-        columns = [*(pa.array(x, pa.int64()) for x in (keys, hosts, contents, found)), pa.array(opened, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "host", "content", "hash", "open"])
-
-
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(key, host, content, hash and open of each subtree that may be template, of each page; host,
-    hash, pages of what is template: so many distinct contents)."""
-    seen = materialize(_keyed(pages).mapInArrow(_subtrees, "key long, host long, content long, hash long, open boolean"), "subtrees")
-    size = seen.where("hash IS NULL").select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("on_host"))
-    often = seen.where("hash IS NOT NULL").groupBy("host", "hash").agg(F.count("*").alias("rows"), F.max("open").alias("open"))
-    often = materialize(often.where((F.col("rows") >= min_pages) & F.col("open")).select("host", "hash"), "often")
-    seen = seen.join(often, ["host", "hash"])
-    counts = seen.select("host", "hash", "content").distinct().groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    many = counts.join(size, "host").where(F.col("pages") >= F.col("on_host") * min_share)
-    return seen, many.select("host", "hash", "pages")
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            rows = [read_page(p) if p else ("", _text_hash(""), []) for p in part.column("html").to_pylist()]
+            trees = [[{"hash": h, "content": c, "kind": k} for h, c, k in r[2]] for r in rows]
+            columns = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array(trees, _SUBTREE)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "key", "host")), *columns], names=["page_id", "url", "key", "host", "text", "content", "trees"])
+
+
+def read_pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, key, host, text without regard to templates, content, and the subtrees of each page."""
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return materialize(_keyed(pages).mapInArrow(_read, f"page_id {kind}, url string, key long, host long, text string, content long, trees array<{_TREE}>"), "subtrees")
+
+
+def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """host, hash, pages of what is template: so many distinct contents. seen: from read_pages."""
+    size = seen.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("on_host"))
+    trees = seen.select("host", F.explode("trees").alias("x")).select("host", "x.hash", "x.content", "x.kind")
+    often = trees.groupBy("host", "hash", "kind").agg(F.count("*").alias("rows")).where(F.col("rows") >= F.when(F.col("kind") == PROSE_INSIDE, INNER_PAGES).otherwise(min_pages))
+    often = materialize(often.select("host", "hash", "kind"), "often")
+    trees = trees.join(often, ["host", "hash", "kind"])
+    counts = trees.distinct().groupBy("host", "hash", "kind").agg(F.count("*").alias("pages"))
+    n = F.col("on_host")
+    outer = F.greatest(F.lit(min_pages), F.least(n * min_share, F.sqrt(n * F.lit(float(SHARE_TO))) * min_share))
+    need = F.when(F.col("kind") == PROSE_INSIDE, F.greatest(F.lit(INNER_PAGES), n * INNER_SHARE)).otherwise(outer)
+    return counts.join(size, "host").where(F.col("pages") >= need).select("host", "hash", "pages")
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"), F.xxhash64(host(F.col("url"))).alias("host"))
 
 
-def _texts(kind: str):
-    def run(batches):
-        for batch in batches:
-            texts = [main_text(page.as_py(), frozenset(t.as_py() or ())) for page, t in zip(batch.column("html"), batch.column("templates"))]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-    return run
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [main_text(page, frozenset(t)) for page, t in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text and n_chars of each row of pages (page_id, url, html)."""
-    seen, templates = site_templates(pages, min_pages, min_share)
-    own = seen.where("open").join(templates.select("host", "hash"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("templates"))
-    own = materialize(own, "templates")  # its size is known before the join is planned
+    seen = read_pages(pages)
+    templates = site_templates(seen, min_pages, min_share).select("host", "hash")
+    own = seen.select("key", "host", F.explode("trees.hash").alias("hash")).join(templates, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("templates"))
+    own = materialize(own, "templates")  # its size is known before the joins are planned
     kind = pages.schema["page_id"].dataType.simpleString()
-    return _keyed(pages).join(own, "key", "left").select("page_id", "url", "html", "templates").mapInArrow(_texts(kind), f"page_id {kind}, url string, text string, n_chars long")
+    again = _keyed(pages).join(own, "key").select("page_id", "url", "html", "templates").mapInArrow(_texts, f"page_id {kind}, url string, text string")
+    every = seen.join(own, "key", "left_anti").select("page_id", "url", "text").unionByName(again)
+    return every.withColumn("n_chars", F.length("text").cast("long"))

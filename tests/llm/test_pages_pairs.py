@@ -1,6 +1,8 @@
 """HTML, near duplicates, neighbours, preferences, mixing, pipeline: brute force and edge cases."""
 
 import random
+import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -49,6 +51,78 @@ def test_copies_are_no_templates(spark):
     assert got == want + [(20 + i, f"own {i}\n\n0\n\nYes\n\nA sentence.\n\nStart") for i in range(6)]
 
 
+def test_markup_never_leaks_and_articles_stay():
+    cases = {
+        '<a href="x>text</a><p class="y">more</p>': "text\n\nmore",
+        '<p title="a > b">ok<p title=it\'s>fine</p>': "ok\n\nfine",
+        '<div class="content has-sidebar"><article><p>keep</p></article></div>': "keep",
+        '<div id="page-header-fixed"><main><p>keep</p></main></div>': "keep",
+        '<div class="sidebar"><article>teaser</article></div><article>real</article>': "real",
+        '<article><p>x.</p><div class="related-work"><p>They did it.</p></div><div class="related"><a href=1>a</a> <a href=2>b</a></div></article>': "x.\n\nThey did it.",
+        "<form id=f><div class=menu><a>m</a></div><article>in form</article></form>": "in form",
+        "<head><title>t</title><p>no body tag</p>": "no body tag",
+        "<ul><li><a>a</a><li><a>b</a><li><a>c</a></ul><p>text with <a>a link</a></p>": "text with a link",
+        "<!--> a <!-- b --!> c": "a c",
+        "<table><tr><td>1<td>2<tr><td>3</table>": "1\n\n2\n\n3",
+    }
+    assert {page: html.main_text(page) for page in cases} == cases
+
+
+def test_parse_is_linear():
+    def seconds(n):
+        page = "<em><div>" + "<div>" * n + "x" + "</span></b></section>" * n + "<b>" * n + "</em></em>" * n
+        start = time.perf_counter()
+        assert html.main_text(page) == "x"
+        return time.perf_counter() - start
+
+    assert seconds(16000) < 20 * max(seconds(2000), 0.01)
+
+
+def brute_pages(rows):
+    """Texts by counts in dictionaries, over the whole table."""
+    seen, counts, sizes = [], defaultdict(set), defaultdict(set)
+    for page_id, url, page in rows:
+        found = re.match(r"(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", url or "", re.I)
+        site = found[1].lower() if found else ""
+        text, content, trees = html.read_page(page) if page else ("", html._text_hash(""), [])
+        sizes[site].add(content)
+        seen.append((site, {h for h, _, _ in trees}))
+        for h, around, kind in trees:
+            counts[site, h, kind].add(around)
+    templates = set()
+    for (site, h, kind), contents in counts.items():
+        n = len(sizes[site])
+        need = max(8, 0.67 * n) if kind == html.PROSE_INSIDE else max(5, min(0.05 * n, 0.05 * (1000 * n) ** 0.5))
+        if len(contents) >= need:
+            templates.add((site, h))
+    return sorted(((p, u, html.main_text(page, {h for h in own if (site, h) in templates})) for (p, u, page), (site, own) in zip(rows, seen)), key=str)
+
+
+def test_counts_decide_without_an_article(spark):
+    """Pages without article, main or class words: only what recurs tells the site from the text."""
+    boxes = "<div><p>The best site of all. Read on.</p></div><div><span>Shop</span></div>"
+    rows = [(i, "http://plain.com/", f"<div>{boxes}<div><p>Text {i} of its own.</p><p>And a longer part of it, {'more ' * i}as pages have.</p></div><div><p>Call us today.</p></div></div>") for i in range(9)]
+    rows += [(20 + i, "http://few.com/", f"<div>{boxes}<p>Text {i}.</p></div>") for i in range(4)]
+    share = "<article><p>Own start {0}, longer than that line.</p><p>Own {1}end.</p><p>Tell your friends.</p></article>"
+    rows += [(40 + i, "http://lines.com/", share.format(i, "so " * i)) for i in range(10)]
+    # near copies of one article, without an article element: one long paragraph is in all
+    rows += [(60 + i, "http://copies.com/", f"<p>{'Long and the same. ' * 9}</p><p>Same again.</p><p>Edit {i}.</p>") for i in range(8)]
+    got = sorted(((r.page_id, r.url, r.text) for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()), key=str)
+    assert got == brute_pages(rows)
+    text = {i: t for i, _, t in got}
+    assert text[3] == "Text 3 of its own.\n\nAnd a longer part of it, more more more as pages have."
+    assert text[22] == "The best site of all. Read on.\n\nShop\n\nText 2."
+    assert text[42] == "Own start 2, longer than that line.\n\nOwn so so end."
+    assert text[63].startswith("Long and the same.") and text[63].endswith("Edit 3.")
+
+
+def test_pages_against_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
+    got = sorted(((r.page_id, r.url, r.text) for r in html.extract_pages(pages).collect()), key=str)
+    assert got == brute_pages(rows)
+
+
 # ---------------------------------------------------------------- near duplicates
 
 
