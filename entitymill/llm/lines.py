@@ -1,9 +1,14 @@
 """Line dedup: lines that several documents hold stay only in the smallest doc_id.
 
-Lines are exploded as 128-bit hashes of their keys, counted per distinct document, and joined back
-to the positions at which they must go; the texts themselves are shuffled once, to meet the list of
-their dropped positions. A line that a third of all documents hold is pre-aggregated before each
-shuffle of the count, and the join back is one that AQE splits. All of it runs in the JVM.
+Lines are exploded once, as 128-bit hashes of their keys with document and position, and written to
+the shared folder. Distinct documents are counted per hash, with what a task sees of a hash combined
+before each shuffle. The lines that must go are found by a join of the written lines with the keys
+over the threshold; the texts are shuffled once, to meet the list of their dropped positions.
+
+A line that a third of all documents hold would be one task of that join. Keys with more lines than
+HOT, and more than one in HOT_KEYS of all lines, are therefore joined by broadcast: there are fewer
+than HOT_KEYS of them whatever the size of the table. All other keys meet in a shuffle join. Both give
+the same rows. All of it runs in the JVM.
 
 Defined results: a null or empty text is one empty line. Rows that share a doc_id are one document
 for the count, and rows that repeat are each returned. A null doc_id is one document, ordered after
@@ -15,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitymill.llm.common import ascii_lower, text_key
+from entitymill.llm.common import ascii_lower, materialize
 
 MIN_CHARS, MIN_DOCS = 10, 2
+#: Keys are joined by broadcast above so many lines, if they are also more than one in HOT_KEYS of all.
+HOT, HOT_KEYS = 1000, 50_000
 STRIP = " \t\x0b\x0c\r"
 
 
@@ -30,42 +37,45 @@ def _text(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def _lines(docs: DataFrame, min_chars: int, *more: Column) -> DataFrame:
-    """A row for each line whose key is long enough: doc_id, position, hash of the key."""
+def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """A row for each line whose key is long enough: doc_id, t (hash of the text), position, hash of
+    the key. Written once."""
     key = line_key(F.col("line"))
-    return (
-        docs.select("doc_id", *more, F.posexplode(F.split(_text(F.col("text")), "\n", -1)).alias("pos", "line"))
-        .select("doc_id", *[c for c in ("t",) if more], "pos", key.alias("k"))
+    rows = (
+        docs.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(F.split(_text(F.col("text")), "\n", -1)).alias("pos", "line"))
+        .select("doc_id", "t", "pos", key.alias("k"))
         .where(F.length("k") >= min_chars)
-        .select("doc_id", *[c for c in ("t",) if more], "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), "k").alias("h2"))
+        .select("doc_id", "t", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), "k").alias("h2"))
     )
+    return materialize(rows, "lines")
 
 
-def repeated_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """h1, h2, keeper (a struct that orders null last) and n_docs of keys in min_docs documents."""
+def repeated_keys(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """h1, h2, keeper (a struct that orders null last), n_docs and n_lines of keys in min_docs documents."""
     who = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     return (
-        _lines(docs, min_chars)
-        .groupBy("h1", "h2", "doc_id")
-        .agg(F.lit(1).alias("one"))
+        lines.groupBy("h1", "h2", "doc_id")
+        .agg(F.count("*").alias("n"))
         .groupBy("h1", "h2")
-        .agg(F.count("*").alias("n_docs"), F.min(who).alias("keeper"))
+        .agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_lines"), F.min(who).alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
     )
 
 
-def with_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
+    """doc_id, t and pos of the lines that go."""
+    shared = materialize(repeated_keys(lines, min_docs).select("h1", "h2", "keeper", "n_lines"), "keys")
+    hot = max(hot, lines.count() // HOT_KEYS)
+    few = F.broadcast(shared.where(F.col("n_lines") > hot).select("h1", "h2", "keeper"))  # below HOT_KEYS rows
+    rest = lines.join(few.select("h1", "h2"), ["h1", "h2"], "left_anti").join(shared.where(F.col("n_lines") <= hot).select("h1", "h2", "keeper"), ["h1", "h2"])
+    found = lines.join(few, ["h1", "h2"]).unionByName(rest)
+    return found.where(~F.col("doc_id").eqNullSafe(F.col("keeper.id"))).select("doc_id", "t", "pos")
+
+
+def with_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
     """docs, all columns, with `_lines` (all lines) and `_kept` (positions that stay, in order)."""
-    shared = repeated_keys(docs, min_chars, min_docs).select("h1", "h2", "keeper")
-    key = F.xxhash64(F.col("text")).alias("t")
-    drops = (
-        _lines(docs, min_chars, key)
-        .join(shared, ["h1", "h2"])
-        .where(~F.col("doc_id").eqNullSafe(F.col("keeper.id")))
-        .groupBy("doc_id", "t")
-        .agg(F.collect_set("pos").alias("_drop"))
-        .select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "_drop")
-    )
+    drops = dropped_lines(line_table(docs, min_chars), min_docs, hot).groupBy("doc_id", "t").agg(F.collect_set("pos").alias("_drop"))
+    drops = materialize(drops.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "_drop"), "drops")
     joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["_d"]) & (F.xxhash64(docs["text"]) == drops["_t"]), "left")
     lines = joined.withColumn("_lines", F.split(_text(docs["text"]), "\n", -1))
     return lines.withColumn(
@@ -84,9 +94,9 @@ def kept_text() -> Column:
     )
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text."""
-    rows = with_dropped(docs.select("doc_id", "text"), min_chars, min_docs)
+    rows = with_dropped(docs.select("doc_id", "text"), min_chars, min_docs, hot)
     return rows.select(
         "doc_id",
         F.size("_lines").cast("long").alias("n_lines"),

@@ -68,6 +68,54 @@ def test_token_counts(spark):
     assert tokencount.count_tokens(docs.limit(0), JSON).count() == 0
 
 
+def small_vocabulary(folder, name, use_regex=True, added=()):
+    """Bytes, a word, and a full stop that merges with the new line after it."""
+    from tokenizers import AddedToken, models, pre_tokenizers
+
+    letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+    every = [*letters, "ab", ".\u010a"]
+    t = Tokenizer(models.BPE({x: i for i, x in enumerate(every)}, [("a", "b"), (".", "\u010a")]))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=use_regex)
+    t.add_tokens([AddedToken(a, normalized=False) for a in added])
+    t.enable_truncation(5)
+    t.enable_padding(length=9)
+    t.save(str(folder / name))
+    return str(folder / name)
+
+
+def test_token_counts_of_other_vocabularies(spark, tmp_path, monkeypatch):
+    texts = ["ab.\nab", "ab.\n" * 900, " ab ab" * 500, "x" * 3000 + ".\n ab", None, ""]
+    docs = frame(spark, texts)
+    files = {name: small_vocabulary(tmp_path, name, **how) for name, how in (("regex.json", {}), ("joined.json", {"use_regex": False}), ("added.json", {"added": ["b a", "."]}))}
+    assert [tokencount.bounded(f) for f in files.values()] == [True, False, False] and tokencount.bounded(JSON)
+
+    def check(path):
+        t = Tokenizer.from_file(path)
+        t.no_truncation(), t.no_padding()
+        want = {i: len(t.encode(x or "", add_special_tokens=False)) for i, x in enumerate(texts)}
+        assert {r.doc_id: r.n_tokens for r in tokencount.count_tokens(docs, path, chunk=100, overlap=8, big=200).collect()} == want
+
+    for path in files.values():
+        check(path)
+    # splices at which the neighbours disagree are not used, even where the vocabulary was taken for bounded
+    monkeypatch.setattr(tokencount, "bounded", lambda path: True)
+    t = Tokenizer.from_file(files["joined.json"])
+    t.no_truncation(), t.no_padding()
+    big = frame(spark, ["ab.\n" * 900])
+    assert tokencount.count_tokens(big, files["joined.json"], chunk=100, overlap=8, big=200).first().n_tokens == len(t.encode("ab.\n" * 900))
+
+
+def test_units_seen_are_bounded(monkeypatch):
+    t = Tokenizer.from_file(JSON)
+    monkeypatch.setattr(tokencount, "SEEN", 50)
+    tokencount._seen(JSON).clear()
+    for seed in range(5):
+        text = words(300, seed) + " " + " ".join(str(i * seed) for i in range(100)) + " " + "long" * 100
+        assert tokencount.count_text(text, JSON) == len(t.encode(text, add_special_tokens=False))
+        assert max(map(len, tokencount._seen(JSON)), default=0) <= tokencount.LONG
+    tokencount._seen(JSON).clear()
+
+
 def strip_key(line):
     return line.strip(" \t\n\r\x0b\x0c").translate({c: c + 32 for c in range(65, 91)})
 
@@ -91,8 +139,9 @@ def test_lines(spark):
     rows = [(3, "Common line here\nown line three\nCOMMON LINE HERE \nshort"), (1, "  common line here\x0b\nÉtoile commune ici"), (2, None), (4, ""), (None, "common line here\nétoile commune ici"), (5, "short\n\n\x1cabcdefghij\n"),
             (6, "own twice in one doc\nown twice in one doc"), (7, "same text line"), (7, "same text line"), (8, "Étoile commune ici\n" + "z" * 50000), (7, "other text, same text line\nsame text line")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h1", F.lit("clash")).withColumn("pos", F.lit(1))
-    got = sorted((tuple(r) for r in lines.dedup_lines(df).collect()), key=str)
-    assert got == brute_lines(rows)
+    for how in ({}, {"hot": 1}, {"hot": 3}):  # no, all and some shared keys by broadcast
+        got = sorted((tuple(r) for r in lines.dedup_lines(df, **how).collect()), key=str)
+        assert got == brute_lines(rows)
     kept = lines.rewrite_documents(df)
     assert kept.columns == df.columns and kept.where("text is null").count() == 1 and kept.where("h1 = 'clash'").count() == len(rows)
     assert lines.dedup_lines(df.limit(0)).count() == 0
