@@ -1,11 +1,20 @@
 """Nearest neighbours by cosine, from vantage-point trees over shards.
 
-Rows are dealt to shards of about SHARD rows. A shard's tree splits at each vantage point by
-distance on the unit sphere, a metric that orders like the cosine. Queries are packed into blocks,
-and each block visits each tree: all queries of a block that reach a node are measured together.
-A subtree is left out for a query if the triangle inequality puts it further away than `factor`
-times its k-th best distance so far: with factor 1 nothing near is lost and the search is exact,
-smaller factors prune more and may lose neighbours.
+Distances are those on the unit sphere, a metric that orders like the cosine. The top levels of one
+vantage-point tree, built on at most SAMPLE vectors, cut the space into at most REGIONS regions; a
+region's rows are dealt by hash to shards of about SHARD rows, and each shard has its own tree. Of
+each region the least and largest distance of its rows from each vantage point above it are kept.
+
+A query visits its own region first. That bounds how far its k-th neighbour can be, and all other
+regions, and in a shard all subtrees, are left out if the triangle inequality puts them further away
+than `factor` times that bound: with factor 1 nothing near is lost and the search is exact, smaller
+factors prune more and may lose neighbours. Queries meet a shard in slices of at most about SLICE: a
+slice gets the shard's tree once.
+
+Equal vectors have equal neighbours. So the index holds the k + 1 smallest vec_ids of each distinct
+vector, which is all that can be an answer, and each distinct vector is searched for once, with one
+neighbour more than asked; a query then leaves itself out. A vector that a third of all rows hold is
+reduced to that before the shuffle.
 
 What a search keeps is scored again on the original vectors in double precision, row by row, so
 that equal vectors have equal scores wherever they stand; ties go to the smaller vec_id.
@@ -21,6 +30,7 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +40,10 @@ from pyspark.sql import Window as W
 
 from entitymill.llm.common import materialize
 
-SHARD, BLOCK, LEAF, TIE = 8192, 1024, 64, 1e-6
+SHARD, SLICE, LEAF, TIE = 8192, 8192, 64, 1e-6
+#: Vectors, and components of all of them, on which regions are built; regions and vector lengths that
+#: have regions at most (other lengths have one region each).
+SAMPLE, SAMPLE_SIZE, REGIONS, LENGTHS = 8192, 1 << 22, 1024, 16
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -65,20 +78,18 @@ def build(x: np.ndarray, leaf: int = LEAF, seed: int = 5) -> dict[str, np.ndarra
     return {"order": order, "nodes": np.array(nodes, np.int32).reshape(-1, 4), "reach": np.array(reach).reshape(-1, 4)}
 
 
-def search(tree: dict, x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, factor: float) -> list[np.ndarray]:
-    """For each query, the rows of x whose distance ties with or beats the k-th best found."""
-    best, kept = np.full((len(q), k), np.inf), [[] for _ in q]
+def search(tree: dict, x: np.ndarray, q: np.ndarray, k: int, factor: float, bound: np.ndarray) -> list[np.ndarray]:
+    """For each query, the rows of x whose distance ties with or beats the k-th best found, and is
+    not above its bound."""
+    best, kept = np.repeat(bound[:, None], k, axis=1), [[] for _ in q]
     order, nodes, reach = tree["order"], tree["nodes"], tree["reach"]
 
     def offer(who: np.ndarray, rows: np.ndarray) -> np.ndarray:
         far = np.sqrt(np.maximum(0, 2 - 2 * (q[who] @ x[rows].T)))
-        own = ids[rows][None, :] == q_ids[who][:, None]
-        good = np.where(own, np.inf, far)
-        near = (good <= best[who, -1:] + TIE) & ~own
+        near = far <= best[who, -1:] + TIE
         for i in np.flatnonzero(near.any(axis=1)):
-            kept[who[i]].append((rows[near[i]], good[i][near[i]]))
-        best[who] = np.partition(np.concatenate((best[who], good), axis=1), k - 1, axis=1)[:, :k]
-        best[who] = np.sort(best[who], axis=1)
+            kept[who[i]].append((rows[near[i]], far[i][near[i]]))
+        best[who] = np.sort(np.partition(np.concatenate((best[who], far), axis=1), k - 1, axis=1)[:, :k], axis=1)
         return far
 
     def visit(node: int, who: np.ndarray) -> None:
@@ -105,6 +116,55 @@ def search(tree: dict, x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.
     return out
 
 
+@dataclass
+class Top:
+    """The top of a tree over one vector length: node i (from 1, children 2i and 2i + 1) has
+    vantage[i - 1] and radius[i - 1]. Rows of region r are within low[r] and high[r] of the vantage
+    points above it, level by level."""
+
+    vantage: np.ndarray
+    radius: np.ndarray
+    depth: int
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
+
+    def above(self) -> np.ndarray:
+        """Numbers of the nodes above each region, from the root."""
+        leaf = np.arange(1 << self.depth) + (1 << self.depth)
+        return np.stack([leaf >> (self.depth - i) for i in range(self.depth)], axis=1)
+
+    def route(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Region of each row of unit vectors x, and its distances from the vantage points above."""
+        node, far = np.ones(len(x), np.int64), np.zeros((len(x), self.depth))
+        for i in range(self.depth):
+            far[:, i] = np.sqrt(((x - self.vantage[node - 1]) ** 2).sum(axis=1))
+            node = 2 * node + (far[:, i] > self.radius[node - 1])
+        return node - (1 << self.depth), far
+
+    def least(self, q: np.ndarray) -> np.ndarray:
+        """A lower bound of the distance of each query from the rows of each region."""
+        far = np.sqrt(np.maximum(0, (q * q).sum(axis=1)[:, None] + (self.vantage**2).sum(axis=1)[None, :] - 2 * q @ self.vantage.T))
+        far = far[:, self.above() - 1]
+        return np.maximum(self.low - far, far - self.high).max(axis=2)
+
+
+def top_of(x: np.ndarray, depth: int, seed: int = 11) -> Top:
+    """Splits unit vectors at median distances from vantage points drawn among them."""
+    rng, top = np.random.default_rng(seed), Top(np.zeros(((1 << depth) - 1, x.shape[1])), np.zeros((1 << depth) - 1), depth)
+    rows = {1: np.arange(len(x))}
+    for node in range(1, 1 << depth):
+        own = rows.pop(node)
+        if len(own):
+            v = x[rng.choice(own)]
+            far = np.sqrt(((x[own] - v) ** 2).sum(axis=1))
+            top.vantage[node - 1], top.radius[node - 1] = v, np.median(far)
+            outer = far > top.radius[node - 1]
+        else:
+            outer = np.zeros(0, bool)
+        rows[2 * node], rows[2 * node + 1] = own[~outer], own[outer]
+    return top
+
+
 def cosine(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Cosines of one original vector with original rows, each by the same operations."""
     q, rows = q.astype(np.float64), rows.astype(np.float64)
@@ -121,42 +181,77 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
         return {k: z[k] for k in z.files}
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    table = table.combine_chunks()
-    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table["embedding"].chunks])
-    order = np.argsort(ids := table["vec_id"].to_numpy(), kind="stable")
-    return ids[order], flat.reshape(len(ids), -1)[order]
+def _vectors(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in chunks]).reshape(n, -1)
+
+
+_TREE = pa.schema([("dim", pa.int32()), ("region", pa.int64()), ("part", pa.int64()), ("tree", pa.binary())])
+_FOUND = pa.schema([("q", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def _index(table: pa.Table) -> pa.Table:
-    ids, raw = _matrix(table)
+    ids, raw = table["vec_id"].to_numpy(), _vectors(table["embedding"], len(table))
+    order = np.argsort(ids, kind="stable")
+    ids, raw = ids[order], raw[order]
     blob = _pack(ids=ids, raw=raw, **build(unit(raw)))
-    return pa.table({"dim": table["dim"][:1], "shard": table["shard"][:1], "tree": [blob]}, schema=pa.schema([("dim", pa.int32()), ("shard", pa.int64()), ("tree", pa.binary())]))
+    return pa.table([table["dim"][:1], table["region"][:1], table["part"][:1], pa.array([blob], pa.binary())], schema=_TREE)
 
 
-def _block(table: pa.Table) -> pa.Table:
-    ids, raw = _matrix(table)
-    return pa.table({"dim": table["dim"][:1], "queries": [_pack(ids=ids, raw=raw)]}, schema=pa.schema([("dim", pa.int32()), ("queries", pa.binary())]))
+def _search(k: int, factor: float):
+    def run(trees: pa.Table, queries: pa.Table) -> pa.Table:
+        out: tuple[list, list, list] = ([], [], [])
+        if len(trees) and len(queries):
+            asked, raw = queries["q"].to_numpy(), _vectors(queries["embedding"], len(queries))
+            for blob in trees["tree"]:
+                tree = _unpack(blob.as_py())
+                hits = search(tree, unit(tree["raw"]), unit(raw), k, factor, queries["bound"].to_numpy())
+                for number, q, rows in zip(asked, raw, hits):
+                    score, ids = cosine(q, tree["raw"][rows]), tree["ids"][rows]
+                    best = np.lexsort((ids, -score))[:k]
+                    out[0].extend([number] * len(best))
+                    out[1].extend(ids[best])
+                    out[2].extend(score[best])
+        return pa.table([pa.array(c, f.type) for c, f in zip(out, _FOUND)], schema=_FOUND)
+
+    return run
 
 
-def _search(k: int, factor: float):
+def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch by vector length."""
+    dims = batch.column("dim").to_numpy()
+    for dim in np.unique(dims):
+        yield int(dim), batch.take(pa.array(np.flatnonzero(dims == dim)))
+
+
+def _route(tops):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, tree = None, {}
         for batch in batches:
-            for dim, shard, blob, queries in zip(*(batch.column(c) for c in ("dim", "shard", "tree", "queries"))):
-                if (dim.as_py(), shard.as_py()) != key:
-                    key, tree = (dim.as_py(), shard.as_py()), _unpack(blob.as_py())
-                    points = unit(tree["raw"])
-                asked = _unpack(queries.as_py())
-                hits = search(tree, points, tree["ids"], unit(asked["raw"]), asked["ids"], k, factor)
-                out: tuple[list, list, list] = ([], [], [])
-                for q_id, q, rows in zip(asked["ids"], asked["raw"], hits):
-                    score, ids = cosine(q, tree["raw"][rows]), tree["ids"][rows]
-                    top = np.lexsort((ids, -score))[:k]
-                    out[0].extend([q_id] * len(top))
-                    out[1].extend(ids[top])
-                    out[2].extend(score[top])
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            for dim, part in _grouped(batch):
+                region, far = np.zeros(part.num_rows, np.int64), np.zeros((part.num_rows, 0))
+                if top := tops.value.get(dim):
+                    region, far = top.route(unit(_vectors(part.column("embedding"), part.num_rows)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(region), pa.array(list(far), pa.list_(pa.float64()))], names=[*part.schema.names, "region", "far"])
+
+    return run
+
+
+def _others(tops, factor: float):
+    """Queries with the regions besides their own that they must visit."""
+
+    def run(batches):
+        for batch in batches:
+            for dim, whole in _grouped(batch):
+                if not (top := tops.value.get(dim)):
+                    continue
+                for at in range(0, whole.num_rows, 256):
+                    part = whole.slice(at, 256)
+                    bound = factor * part.column("bound").to_numpy()[:, None] + TIE
+                    visit = top.least(unit(_vectors(part.column("embedding"), part.num_rows))) <= bound
+                    visit[np.arange(part.num_rows), part.column("region").to_numpy()] = False
+                    who, region = np.nonzero(visit)
+                    rows = part.take(pa.array(who))
+                    yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("q", "dim", "embedding", "bound")), pa.array(region.astype(np.int64))], names=["q", "dim", "embedding", "bound", "region"])
 
     return run
 
@@ -169,15 +264,79 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dim", F.size("embedding"))
 
 
-def nearest(vectors: DataFrame, asked: Column, k: int = 5, factor: float = 1.0, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def _best(found: DataFrame, key: str, k: int) -> DataFrame:
+    order = W.partitionBy(key).orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+class Index:
+    """Regions, shards and trees of a table of valid vectors, for searches for k neighbours."""
+
+    def __init__(self, rows: DataFrame, k: int, shard: int = SHARD, regions: int = REGIONS):
+        self.k, self.spark = k, rows.sparkSession
+        alike = W.partitionBy("embedding").orderBy("vec_id")
+        few = materialize(rows.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k).drop("_n"), "distinct")
+        tops = self._tops(few, shard, regions)
+        sent = self.spark.sparkContext.broadcast(tops)
+        self.kind = rows.schema["embedding"].dataType.simpleString()
+        placed = materialize(few.mapInArrow(_route(sent), f"vec_id long, embedding {self.kind}, dim int, region long, far array<double>"), "placed")
+        levels = max((t.depth for t in tops.values()), default=0)
+        spans = [f(F.get("far", F.lit(i))).alias(f"{n}{i}") for i in range(levels) for n, f in (("low", F.min), ("high", F.max))]
+        self.regions = materialize(placed.groupBy("dim", "region").agg(F.ceil(F.count("*") / shard).alias("parts"), *spans), "regions")
+        for dim, top in tops.items():
+            top.low, top.high = np.full((1 << top.depth, top.depth), np.inf), np.full((1 << top.depth, top.depth), -np.inf)
+            for r in self.regions.where(F.col("dim") == dim).collect():  # at most `regions` rows
+                top.low[r.region], top.high[r.region] = ([r[f"{n}{i}"] for i in range(top.depth)] for n in ("low", "high"))
+        self.tops = self.spark.sparkContext.broadcast(tops)
+        part = F.pmod(F.xxhash64("vec_id"), "parts").alias("part")
+        dealt = placed.join(self.regions.select("dim", "region", "parts"), ["dim", "region"]).select("vec_id", "embedding", "dim", "region", part)
+        self.trees = materialize(dealt.groupBy("dim", "region", "part").applyInArrow(_index, "dim int, region long, part long, tree binary"), "trees")
+
+    def _tops(self, rows: DataFrame, shard: int, regions: int) -> dict[int, Top]:
+        sizes = rows.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") > shard).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()
+        out = {}
+        for dim, n in sizes:
+            limit = max(1, min(SAMPLE, SAMPLE_SIZE // dim))
+            table = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(limit).select("embedding").toArrow()
+            x = unit(_vectors(table["embedding"], len(table)))
+            depth = min(math.ceil(math.log2(n / shard)), int(math.log2(regions)), int(math.log2(max(1, len(x) // 4))))
+            if depth:
+                out[dim] = top_of(x, depth)
+        return out
+
+    def place(self, queries: DataFrame) -> DataFrame:
+        """queries (q, embedding, dim) with their region."""
+        asked = queries.select(F.col("q").alias("vec_id"), "embedding", "dim").mapInArrow(_route(self.tops), f"vec_id long, embedding {self.kind}, dim int, region long, far array<double>")
+        return asked.select(F.col("vec_id").alias("q"), "embedding", "dim", "region")
+
+    def others(self, queries: DataFrame, factor: float) -> DataFrame:
+        """The visits to other regions of queries (q, embedding, dim, region, bound)."""
+        return queries.select("q", "dim", "embedding", "bound", "region").mapInArrow(_others(self.tops, factor), f"q long, dim int, embedding {self.kind}, bound double, region long")
+
+    def visit(self, visits: DataFrame, factor: float) -> DataFrame:
+        """q, vec_id and score of what visits (q, embedding, dim, region, bound) find, k for each shard."""
+        counts = visits.groupBy("dim", "region").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+        plan = materialize(self.regions.select("dim", "region", "parts").join(counts, ["dim", "region"]), "slices")
+        to = visits.join(plan, ["dim", "region"]).withColumn("slice", F.pmod(F.xxhash64("q"), "slices"))
+        to = to.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("dim", "region", "part", "slice", "q", "embedding", "bound")
+        trees = self.trees.join(plan.select("dim", "region", "slices"), ["dim", "region"]).select("dim", "region", "part", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "tree")
+        key = ["dim", "region", "part", "slice"]
+        return trees.groupBy(*key).cogroup(to.groupBy(*key)).applyInArrow(_search(self.k, factor), "q long, vec_id long, score double")
+
+
+def nearest(vectors: DataFrame, asked: Column, k: int = 5, factor: float = 1.0, shard: int = SHARD, regions: int = REGIONS) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest of each vector for which `asked` holds."""
     rows = materialize(valid_vectors(vectors), "vectors")
-    n, n_asked = rows.agg(F.count("*"), F.count_if(asked)).first()
-    shards, blocks = max(1, math.ceil(n / shard)), max(1, math.ceil(n_asked / block))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    trees = materialize(dealt.groupBy("dim", "shard").applyInArrow(_index, "dim int, shard long, tree binary"), "trees")
-    packed = rows.where(asked).withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks))).groupBy("dim", "block").applyInArrow(_block, "dim int, queries binary")
-    visits = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
-    found = trees.join(visits.hint("shuffle_merge"), ["dim", "shard"]).select("dim", "shard", "tree", "queries").mapInArrow(_search(k, factor), "query_id long, vec_id long, score double")
-    best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    index = Index(rows, k + 1, shard, regions)
+    asked_rows = materialize(rows.where(asked), "asked")
+    alike = materialize(asked_rows.groupBy("embedding", "dim").agg(F.min("vec_id").alias("q")), "alike")
+    queries = materialize(index.place(alike), "queries")
+    first = materialize(_best(index.visit(queries.withColumn("bound", F.lit(float("inf"))), factor), "q", k + 1), "first")
+    far = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score"))) + TIE
+    bound = first.groupBy(F.col("q").alias("_q")).agg(F.when(F.count("*") > k, far).otherwise(F.lit(float("inf"))).alias("bound"))
+    others = materialize(index.others(queries.join(bound, F.col("q") == F.col("_q")), factor), "visits")
+    found = first.select("q", "vec_id", "score").unionByName(index.visit(others, factor))
+    found = materialize(_best(found, "q", k + 1).select("q", "vec_id", "score"), "found")
+    who = asked_rows.select(F.col("vec_id").alias("query_id"), "embedding").join(alike, "embedding").select("query_id", "q")
+    answers = who.join(found, "q").where(F.col("vec_id") != F.col("query_id"))
+    return _best(answers, "query_id", k).select("query_id", "rank", "vec_id", "score")

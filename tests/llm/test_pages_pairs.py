@@ -237,12 +237,33 @@ def test_neighbours(spark, shard):
     rows += [(500, None), (505, []), (510, [0.0] * 8), (515, [1.0, None] * 4), (520, [float("nan")] * 8), (525, [float("inf")] * 8), (None, [1.0] * 8), (530, [1.0, 2.0]), (531, [2.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash")).withColumn("dim", F.lit(0))
     asked = F.col("vec_id") % 5 == 0
-    got = sorted((x.query_id, x.rank, x.vec_id, round(x.score, 9)) for x in vptree.nearest(df, asked, 5, shard=shard, block=32).collect())
+    got = sorted((x.query_id, x.rank, x.vec_id, round(x.score, 9)) for x in vptree.nearest(df, asked, 5, shard=shard).collect())
     want = brute_neighbours(rows, 5)
     assert [g[:3] for g in got] == [w[:3] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want], atol=1e-7)
     near = {(x.query_id, x.vec_id) for x in vptree.nearest(df, asked, 5, factor=0.8, shard=shard).collect()}
     assert len(near & {(w[0], w[2]) for w in want}) >= 0.9 * len(want)
     assert vptree.nearest(df.limit(0), asked, 5).count() == 0
+    few = vptree.nearest(df.where("vec_id in (5, 6, 7, 400, 530)"), asked, 5, shard=shard).collect()
+    assert {(x.query_id, x.vec_id) for x in few} == {(5, 6), (5, 7), (5, 400), (400, 5), (400, 6), (400, 7)}
+
+
+def test_regions_are_pruned(spark):
+    """Clustered vectors: at factor one the search is exact and leaves out most regions."""
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(16, 12))
+    rows = [(i, [float(np.float32(x)) for x in centres[i % 16] + r.normal(size=12) * 0.02]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = F.col("vec_id") % 5 == 0
+    want = brute_neighbours(rows, 5)
+    got = sorted((x.query_id, x.rank, x.vec_id) for x in vptree.nearest(df, asked, 5, shard=60).collect())
+    assert got == [w[:3] for w in want]
+    index = vptree.Index(vptree.valid_vectors(df), 6, shard=60)
+    n_regions, n_queries = index.regions.count(), 320
+    asked_rows = index.place(vptree.valid_vectors(df).where(asked).select(F.col("vec_id").alias("q"), "embedding", "dim"))
+    far = max(np.sqrt(2 - 2 * w[3]) for w in want)
+    others = index.others(asked_rows.withColumn("bound", F.lit(float(far))), 1.0).count()
+    assert n_regions >= 16 and others < 0.35 * n_regions * n_queries
+    assert index.trees.select("dim", "region", "part").distinct().count() == index.trees.count()
 
 
 # ---------------------------------------------------------------- preferences
