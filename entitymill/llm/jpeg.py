@@ -9,7 +9,8 @@ intervals of all files of a batch side by side: in each step, every interval yie
 The format's unit is the coefficient. `write_payloads` stores byte b as coefficient b + 2 with
 quantisers of 1, in 4:2:0 images: DC and AC 1-5 in two approximations, AC 6-63 in one band. That is
 lossless; a comment segment holds the payload's length. A payload above TILE bytes is a sequence of
-images, so memory is bounded by TILE whatever the text's length.
+images. Files and tensors are made, read back and digested for TOGETHER bytes at a time, so beside the
+rows that Arrow hands over memory is bounded, whatever a text's length.
 
 Defined results: a null or empty text has 0 bytes and a payload of 64 bytes 0. Equal texts have
 equal values. Rows that repeat, also with a null doc_id, each give a row. Other columns are not
@@ -609,38 +610,54 @@ def _tiles(data: bytes) -> list[bytes]:
     return [data[i : i + TILE] for i in range(0, len(data), TILE)]
 
 
-def _batches(payloads: list[bytes]) -> Iterator[list[int]]:
-    """Numbers of payloads that are worked on together."""
+def _together(tiles: Iterator[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
+    """Tiles in lists of at most TOGETHER bytes, or one tile."""
     some, size = [], 0
-    for i, p in enumerate(payloads):
-        if some and size + len(p) > TOGETHER:
+    for tile in tiles:
+        if some and size + len(tile[1]) > TOGETHER:
             yield some
             some, size = [], 0
-        some.append(i)
-        size += len(p)
+        some.append(tile)
+        size += len(tile[1])
     if some:
         yield some
 
 
+class _Sum:
+    """Digests of one text's stored tiles, as they come."""
+
+    def __init__(self, n: int):
+        self.n, self.size, self.stored, self.tail, self.marks = n, 0, 0, b"", []
+        self.back, self.media = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, back: bytes, file: bytes, mark: str) -> None:
+        self.back.update(back)
+        self.media.update(file)
+        self.size, self.stored, self.tail = self.size + len(back), self.stored + len(file), back[-64:]
+        self.marks.append(mark)
+
+    def row(self) -> tuple:
+        return self.n, self.size, self.back.hexdigest(), zlib.crc32(self.tail), self.stored, self.media.hexdigest(), "+".join(self.marks)
+
+
 def _digest(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = [payload(t.as_py()) for t in batch.column("text")]
-    tiles = [(i, t) for i, (_, p) in enumerate(texts) for t in _tiles(p)]
-    media, back, marks = ([[] for _ in texts] for _ in range(3))
-    for some in _batches([t for _, t in tiles]):
-        stored = write_payloads([tiles[j][1] for j in some])
+    sums: list[_Sum] = []
+
+    def tiles() -> Iterator[tuple[int, bytes]]:
+        for i, t in enumerate(batch.column("text")):
+            n, data = payload(t.as_py())
+            sums.append(_Sum(n))
+            for at in range(0, len(data), TILE):
+                yield i, data[at : at + TILE]
+
+    for some in _together(tiles()):
+        stored = write_payloads([t for _, t in some])
         images, coef = read_files(stored)
-        for j, file, image, tensor in zip(some, stored, images, tensors(images, coef)):
-            i = tiles[j][0]
-            media[i].append(file)
-            back[i].append(read_payload(image, coef))
-            marks[i].append(feature(tensor))
-    rows = [(n, b"".join(p), b"".join(m), "+".join(f)) for (n, _), p, m, f in zip(texts, back, media, marks)]
-    sha = lambda x: hashlib.sha256(x).hexdigest()
-    columns = [
-        pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()), pa.array([sha(r[1]) for r in rows], pa.string()),
-        pa.array([zlib.crc32(r[1][-64:]) for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()), pa.array([sha(r[2]) for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *(c.split()[0] for c in _DIGEST.split(", "))])
+        for (i, _), file, image, tensor in zip(some, stored, images, tensors(images, coef)):
+            sums[i].add(read_payload(image, coef), file, feature(tensor))
+    rows = list(zip(*(x.row() for x in sums))) or [()] * 7
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, rows, kinds)], names=["doc_id", *(c.split()[0] for c in _DIGEST.split(", "))])
 
 
 _DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
