@@ -3,29 +3,37 @@
 The longest common prefix of turns of the chosen and the rejected conversation is rendered once, as
 the prompt; what follows on either side is a completion. A completion's mask is the list of
 character spans that carry loss: the texts of the assistant's turns with their end mark. A turn is
-rendered by a fixed template, so prompt and completion concatenate to the rendered conversation.
+rendered by a fixed template, so prompt and completion concatenate to the rendered conversation. Places
+of spans come from sums of lengths in two levels, so their cost does not grow with a conversation's
+square.
 
 A conversation is gathered by one shuffle on its id and is then worked on within its row, all in
 the JVM. What a row holds is one conversation, as the result's row does.
 
 Defined results: a null role or text counts as "". Rows that repeat are turns of their own; equal
 turn numbers are ordered by role and text. If one conversation is a prefix of the other, or both
-are equal, the completion of the shorter is empty and has no spans. A null conv_id is one
-conversation, without a partner. Other columns are not read. An empty table gives an empty result.
+are equal, the completion of the shorter is empty and has no spans. A row with a null conv_id belongs
+to no other: it is a conversation of one turn, without a partner. Other columns are not read. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, MIDDLE, CLOSE, LEARNED = "<|", "|>\n", "<|end|>\n", "assistant"
+#: Turns whose lengths are added up together.
+BLOCK = 256
 
 
 def conversations(turns: DataFrame) -> DataFrame:
     """conv_id and turns, an array of (role, text) in order."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+    rows = turns.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+    rows = rows.unionByName(turns.where(F.col("conv_id").isNull()).select("conv_id", F.array(turn).alias("t")))
     return rows.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
 
 
@@ -37,18 +45,37 @@ def _rendered(turns: Column) -> Column:
     return F.array_join(F.transform(turns, render), "")
 
 
-def _spans(turns: Column) -> Column:
-    """(start, end) of what carries loss in the rendered turns."""
-    size = lambda x: F.length(render(x))
-    numbered = F.transform(turns, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    learned = F.filter(numbered, lambda n: n["x"]["role"] == LEARNED)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value made once although it is used inside of lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
-    def span(n: Column) -> Column:
-        before = F.aggregate(F.slice(turns, F.lit(1), n["i"]), F.lit(0), lambda total, x: total + size(x))
-        head = len(OPEN) + len(MIDDLE) + F.length(n["x"]["role"])
-        return F.struct((before + head).alias("start"), (before + size(n["x"])).alias("end"))
+def _total(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0), lambda a, x: a + x)
 
-    return F.transform(learned, span)
+
+def _spans(turns: Column) -> Column:
+    """(start, end) of what carries loss in the rendered turns."""
+    fixed = len(OPEN) + len(MIDDLE) + len(CLOSE)
+    sizes = F.transform(turns, lambda x: F.length(x["role"]) + F.length(x["text"]) + fixed)
+    numbered = F.filter(F.transform(turns, lambda x, i: F.struct(x["role"].alias("role"), i.alias("i"))), lambda n: n["role"] == LEARNED)
+
+    def with_starts(sizes: Column, starts: Column) -> Column:
+        def span(n: Column) -> Column:
+            block = F.floor(n["i"] / BLOCK).cast("int")
+            before = F.get(starts, block) + _total(F.slice(sizes, block * BLOCK + 1, n["i"] % BLOCK))
+            head = len(OPEN) + len(MIDDLE) + F.length(n["role"])
+            return F.struct((before + head).alias("start"), (before + F.get(sizes, n["i"])).alias("end"))
+
+        return F.transform(numbered, span)
+
+    def with_sizes(sizes: Column) -> Column:
+        n_blocks = F.ceil(F.size(sizes) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: _total(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+        starts = F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        return _let(starts, lambda starts: with_starts(sizes, starts))
+
+    return _let(sizes, with_sizes)
 
 
 def format_pairs(pairs: DataFrame) -> DataFrame:

@@ -108,7 +108,7 @@ _SPANS = """array_to_string(list_transform(list_filter(range(1, len({c}) + 1), l
   CAST(CAST(list_sum(list_transform({c}[1:i], lambda x: length({turn}))) AS BIGINT) AS VARCHAR)), ',')"""
 OP5_SQL = f"""
 WITH t AS (
-  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, role, text) AS t FROM conversations GROUP BY conv_id),
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, role, text) AS t FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM conversations) GROUP BY conv_id, own),
 p AS (
   SELECT a.conv_id AS pair_id, a.t AS c, list_concat(a.t[1:len(a.t) - 1], CASE WHEN b.t IS NULL THEN a.t[1:0] ELSE b.t[len(b.t):len(b.t)] END) AS r
   FROM t a LEFT JOIN t b ON b.conv_id = xor(a.conv_id, 1)),
