@@ -12,9 +12,10 @@ are joined into components, and buckets that lie in one component are done. For
 counts bound each intersection from above: a document's shingles shared with its bucket's first
 centre, and those that no other open document holds. Two documents of a bucket have in common at most
 the lesser of what they share with the centre, and outside it the lesser of what others hold too; a
-pair for which that is too few is never made. After a round with other centres, the open pairs that
-this bound allows are compared exhaustively. So every pair that shares a bucket
-is verified, already joined, or proven to be no link. Links are confirmed on the full sets, exactly.
+pair for which that is too few is never made. After rounds with other centres, more of them where
+open buckets are still large, the open pairs that this bound allows are compared exhaustively. So
+every pair that shares a bucket is verified, already joined, or proven to be no link. Links are
+confirmed on the full sets, exactly.
 With 32 bands of 5 slots, a pair at similarity 0.8 shares no bucket with a probability of about
 3e-6, less above.
 
@@ -24,8 +25,9 @@ or fingerprints go to the driver.
 
 Defined results: a null or empty text, or one without words, has the empty set and is linked with
 nothing. Fewer words than a shingle are one shingle. Rows that repeat, also with the same doc_id,
-are each returned. A component's id is its smallest doc_id; a null doc_id is never that if another
-is there. Other columns are not read. An empty table gives an empty result.
+are each returned; unlike texts that share a doc_id have the same id, but are linked, and counted as
+one component, only if their sets say so. A component's id is its smallest doc_id; a null doc_id is
+never that if another is there. Other columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,8 +45,9 @@ from pyspark.sql import functions as F
 from entitymill.llm.common import WORD, discard, materialize
 
 BANDS, ROWS = 32, 5
-#: Rounds in which each open bucket has one centre, before its open pairs are compared one by one.
-ROUNDS = 2
+#: The open pairs are compared one by one in this round, or up to MORE times as many rounds later, as
+#: long as rows of open buckets meet more than PER_ROW others on average. Rounds before have centres.
+ROUNDS, MORE, PER_ROW = 2, 4, 64
 #: Links that a task joins at a time.
 UNITE = 200_000
 #: Shingles that are sketched together: their permutations stay in a core's cache.
@@ -208,7 +211,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of links (u, v): root is the smallest node it is connected with."""
     parts = max(1, -(-links.count() // UNITE))
     dealt = links.coalesce(1) if parts == 1 else links.repartition(parts)
-    now = materialize(dealt.mapInArrow(_union_find, "u binary, v binary"), "forest")
+    now = materialize(dealt.mapInArrow(_union_find, "u binary, v binary").distinct(), "forest")
     if parts == 1:
         return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     while True:
@@ -219,10 +222,10 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         after = materialize(small, "stars")
-        same = [x.agg(F.count("*"), F.coalesce(F.sum(F.hash("u", "v").cast("long")), F.lit(0))).first() for x in (now, after)]
+        done = now.count() == after.count() and after.join(now, ["u", "v"], "left_anti").isEmpty()  # both are distinct
         discard(now)
         now = after
-        if same[0] == same[1]:
+        if done:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
@@ -256,7 +259,14 @@ def _across(slots: DataFrame, forest: DataFrame) -> DataFrame:
     labels = forest.withColumnRenamed("node", "_n")
     rows = slots.join(labels, slots["node"] == labels["_n"], "left").select(*slots.columns, F.coalesce("root", "node").alias("root"))
     mixed = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    return rows.join(mixed, "bucket")
+    return rows.join(materialize(mixed, "mixed"), "bucket")
+
+
+def _few_pairs(open_slots: DataFrame) -> bool:
+    """Whether the rows of open buckets meet few others: else one more round of centres comes first."""
+    sizes = open_slots.groupBy("bucket").agg(F.count("*").alias("n"))
+    rows, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0))).first()
+    return pairs <= PER_ROW * rows
 
 
 def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
@@ -269,15 +279,16 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
     classes = materialize(sketches.where("node IS NOT NULL").groupBy("node").agg(first, F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     slots = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    crowded = slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    # counts are written before they are joined: a join of two plain shuffles can split a hot bucket
+    crowded = materialize(slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
     slots = materialize(slots.join(crowded, "bucket"), "slots")
 
     wanted = slots.select("node").distinct().join(classes, "node").select("node", F.col("first.doc_id").alias("_d"), F.col("first.t").alias("_t"))
     chosen = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
     texts = materialize(chosen.select("node", "text").dropDuplicates(["node"]), "texts")
 
-    fame = slots.join(slots.groupBy("bucket").agg(F.count("*").alias("size")), "bucket").groupBy("node").agg(F.sum("size").alias("fame"))
-    ranked = slots.join(fame, "node")
+    ranked = slots.join(slots.groupBy("node").agg(F.sum("size").alias("fame")), "node")
+    slots = slots.drop("size")
     hubs = materialize(ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("node").alias("c"))).alias("x")).select("bucket", "x.c"), "hubs")
     pairs = slots.join(hubs, "bucket").where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
     tested = materialize(_measured(pairs, texts, k, percent), "measured")
@@ -294,10 +305,12 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
 
     reach = F.least("inside", "ci") + F.least("outside", "co")
     possible = reach * (100 + percent) >= (F.col("n") + F.col("cn")) * percent
-    for turn in range(1, rounds + 1):
+    turn = 0
+    while True:
+        turn += 1
         if turn > 1:
             open_slots = materialize(_across(open_slots.drop("root"), forest), "open")
-        last = turn == rounds
+        last = turn >= rounds and (turn >= MORE * rounds or _few_pairs(open_slots))
         mine = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("cr"), F.col("inside").alias("ci"), F.col("outside").alias("co"))
         apart = F.col("root") != F.col("cr")
         if last:
@@ -314,10 +327,12 @@ def near_duplicate_rows(docs: DataFrame, k: int, percent: int = 80, n_bands: int
         tested = tested.union(found)
         links = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         forest = components(links.union(forest.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        if last:
+            break
 
     members = classes.select(F.col("node").alias("_n"), F.col("first.doc_id").alias("_d"))
-    members = members.join(forest, members["_n"] == forest["node"], "left").select("_n", "_d", F.coalesce("root", "_n").alias("root"))
-    smallest = members.groupBy("root").agg(F.min("_d").alias("component_id"))
+    members = materialize(members.join(forest, members["_n"] == forest["node"], "left").select("_n", "_d", F.coalesce("root", "_n").alias("root")), "members")
+    smallest = materialize(members.groupBy("root").agg(F.min("_d").alias("component_id")), "smallest")
     members = members.select("_n", "root").join(smallest, "root").select("_n", "component_id", "root")
     found = sketches.select("doc_id", "t", "n", "node").join(members, F.col("node") == F.col("_n"), "left")
     return found.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
