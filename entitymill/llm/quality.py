@@ -7,7 +7,8 @@ network with one hidden layer learns the labels on a second part of the sample,
 meets its own index vector, and a temperature found on a third part calibrates its probabilities.
 
 The sample is at most SAMPLE labelled rows, those with the smallest hashes of doc_id; rows that are
-held out are never among them. A row gives at most 2 * BUCKETS pairs to the driver. Scoring is one pass
+held out are never among them. Word vectors are summed and documents pooled on the executors: the
+driver gets the vectors of the words (BUCKETS) and 2 * DIM numbers for each row of the sample. Scoring is one pass
 over the documents with the model (about 8 MB) broadcast. Only the text is an input of the score.
 
 Defined results: a null or empty text has the zero vector and is scored like any other. A null
@@ -28,9 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitymill.llm.common import materialize
+
 SAMPLE, BUCKETS, DIM, HIDDEN, NONZERO = 8000, 1 << 15, 64, 32, 8
 EPOCHS, RATE, BATCH, DECAY, THRESHOLD, FOLDS = 60, 3e-3, 64, 1e-4, 0.3, 5
 SLICE = 1 << 20
+#: Tasks that sum word vectors, and buckets whose sums travel together.
+PARTS, STRIPE = 16, 1024
 
 _SHAPE = bytes(ord("A") if 65 <= i <= 90 else ord("9") if 48 <= i <= 57 else ord("a") if 97 <= i <= 122 else i for i in range(256))
 _BEYOND = bytes(range(128, 256))
@@ -106,26 +111,52 @@ def _constant(share: float) -> Model:
     return Model(np.zeros((BUCKETS, DIM), np.float32), np.zeros(2 * DIM), np.ones(2 * DIM), np.zeros((2 * DIM, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))), 1.0)
 
 
-def fit(sample: list[tuple], seed: int = 7) -> Model:
-    """sample: (word buckets, counts, sign buckets, counts, label) of each row, in a fixed order."""
-    labels = np.array([row[4] for row in sample], float)
-    if len(sample) < 10 or labels.min() == labels.max():
-        return _constant(labels.mean() if len(sample) else 0.5)
-    rng = np.random.default_rng(seed)
-    part = rng.permutation(len(sample)) % 10  # 0-4: word vectors, 5-8: network, 9: temperature
-    words = np.zeros((BUCKETS, DIM), np.float32)
-    for i in np.flatnonzero(part < 5):
-        index = np.zeros(DIM, np.float32)
-        index[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
-        for buckets, counts in (sample[i][:2], sample[i][2:4]):
-            words[buckets] += np.log1p(counts)[:, None].astype(np.float32) * index
-    words /= np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-9)
-    model = _constant(0.5)
+def index_vector(key: int) -> np.ndarray:
+    """The sparse ternary vector of the text with this hash."""
+    rng, out = np.random.default_rng(key % (1 << 64)), np.zeros(DIM, np.int64)
+    out[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
+    return out
+
+
+def _sparse(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(found, return_counts=True)
+
+
+def _partial_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of index vectors by bucket, in whole numbers so that their order does not matter."""
+    total = np.zeros((BUCKETS, DIM), np.int64)
+    for batch in batches:
+        for key, text in zip(batch.column("h"), batch.column("text")):
+            index = index_vector(key.as_py())
+            for found in tokens(text.as_py()):
+                buckets, counts = _sparse(found)
+                total[buckets] += np.round(np.log1p(counts) * 65536).astype(np.int64)[:, None] * index
+    for i in range(0, BUCKETS, STRIPE):
+        if total[i : i + STRIPE].any():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[i : i + STRIPE].tobytes()], pa.binary())], names=["first", "sums"])
+
+
+def _add_vectors(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), np.int64) for x in table["sums"])
+    return pa.table({"first": table["first"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """BUCKETS x DIM vectors of length 1 (0 for words not seen) from texts (h, text)."""
+    sums = texts.repartition(PARTS, "h").mapInArrow(_partial_vectors, "first int, sums binary").groupBy("first").applyInArrow(_add_vectors, "first int, sums binary")
+    words = np.zeros((BUCKETS, DIM))
+    for row in sums.collect():  # BUCKETS / STRIPE rows
+        words[row.first : row.first + STRIPE] = np.frombuffer(row.sums, np.int64).reshape(-1, DIM)
+    return (words / np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def fit(words: np.ndarray, x: np.ndarray, labels: np.ndarray, calibrate: np.ndarray, seed: int = 7) -> Model:
+    """x: pooled vectors of the rows that teach the network, or (calibrate) its temperature."""
+    net = ~calibrate
+    if net.sum() < 5 or labels[net].min() == labels[net].max():
+        return _constant(labels.mean() if len(labels) else 0.5)
+    rng, model = np.random.default_rng(seed), _constant(0.5)
     model.words = words
-    x = np.stack([np.concatenate((pool(words, *row[:2]), pool(words, *row[2:4]))) for row in sample])
-    net, cal = (part >= 5) & (part < 9), part == 9
-    if labels[net].min() == labels[net].max():
-        return _constant(labels.mean())
     model.mean, model.scale = x[net].mean(axis=0), x[net].std(axis=0) + 1e-6
     xs, ys = (x[net] - model.mean) / model.scale, labels[net]
     p = [rng.normal(0, (2 * DIM) ** -0.5, (2 * DIM, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
@@ -143,36 +174,43 @@ def fit(sample: list[tuple], seed: int = 7) -> Model:
                 m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
                 p[i] -= RATE * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
     model.w1, model.b1, model.w2, model.b2 = p[0], p[1], p[2], float(p[3][0])
-    if cal.any():
-        z, y = model.logits(x[cal]), labels[cal]
+    if calibrate.any():
+        z, y = model.logits(x[calibrate]), labels[calibrate]
         loss = lambda t: np.mean(np.logaddexp(0, z / t) - y * z / t)
         model.temperature = float(min(np.geomspace(0.25, 8, 41), key=loss))
     return model
 
 
-def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [tokens(t.as_py()) for t in batch.column("text")]
-        columns = [np.unique(row[i], return_counts=True)[j].astype(np.int32) for row in found for i in (0, 1) for j in (0, 1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("quality"), *(pa.array(columns[i::4], pa.list_(pa.int32())) for i in range(4))],
-            names=["doc_id", "quality", *FEATURES],
-        )
-
-
-FEATURES = ("words", "word_counts", "signs", "sign_counts")
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, h, text, quality and part (0 to 9) of at most `sample` labelled rows that aren't held out."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # at most `sample` rows
+    # where a doc_id has several texts, one is chosen by their hashes, the same in every run
+    least = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "quality")).alias("x"))
+    part = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(10)).cast("int").alias("part")
+    return materialize(least.select("doc_id", "x.h", "x.text", "x.quality", part), "sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labels.quality from at most `sample` labelled rows of docs that aren't held out."""
+    rows = labelled_sample(docs, labels, sample)
+    # parts 0-4: word vectors, 5-8: network, 9: temperature
+    words = word_vectors(rows.where("part < 5"))
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def pooled(batches):
+        for batch in batches:
+            x = [np.concatenate([pool(shared.value, *_sparse(f)) for f in tokens(t.as_py())]) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "quality", "part")), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "quality", "part", "x"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # at most `sample` rows
-    found = texts.mapInArrow(_sparse, f"doc_id {kind}, quality int, " + ", ".join(f"{c} array<int>" for c in FEATURES))
-    table = found.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
-    lists = lambda c: [x.values.to_numpy() for x in table[c]]
-    return fit(list(zip(*map(lists, FEATURES), [q.as_py() for q in table["quality"]])))
+    table = rows.where("part >= 5").mapInArrow(pooled, f"doc_id {kind}, quality int, part int, x array<double>").orderBy("doc_id").toArrow()
+    every = rows.groupBy("quality").agg(F.count("*").alias("n")).collect()
+    if len(every) < 2 or sum(r.n for r in every) < 10:
+        return _constant(sum(r.n for r in every if r.quality == 1) / max(1, sum(r.n for r in every)) if every else 0.5)
+    x = np.array(table["x"].to_pylist(), float).reshape(len(table), 2 * DIM)
+    return fit(words, x, table["quality"].to_numpy().astype(float), table["part"].to_numpy() == 9)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -293,6 +293,25 @@ def test_swapped_replies(spark):
     assert preference.format_pairs(preference.swapped_replies(df.limit(0))).count() == 0
 
 
+def test_long_and_null_conversations(spark):
+    """Spans behind many turns are where brute force finds them; rows without a conv_id stay apart."""
+    r = random.Random(5)
+    turns = [(1, i, r.choice(["user", "assistant"]), "é" * r.randrange(0, 40)) for i in range(700)] + [(None, 0, "user", "a" * 5000), (None, 0, "assistant", "b"), (None, 0, "assistant", "b")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = preference.format_pairs(preference.swapped_replies(df)).collect()
+    own = [x for x in got if x.pair_id is None]
+    assert sorted(x.chosen for x in own) == sorted([preference.OPEN + "user|>\n" + "a" * 5000 + "<|end|>\n"] + ["<|assistant|>\nb<|end|>\n"] * 2)
+    assert all(x.rejected == "" and x.rejected_spans == [] for x in own)
+    whole = preference.format_pairs(df.where("conv_id = 1").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t")).select(F.col("conv_id").alias("pair_id"), F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("chosen"), F.array().cast("array<struct<role:string,text:string>>").alias("rejected"))).first()
+    spans, at = [], 0
+    for _, _, role, text in turns[:700]:
+        shown = f"<|{role}|>\n{text}<|end|>\n"
+        if role == "assistant":
+            spans.append((at + len("<|assistant|>\n"), at + len(shown)))
+        at += len(shown)
+    assert [tuple(x) for x in whole.chosen_spans] == spans and len(whole.chosen) == at
+
+
 # ---------------------------------------------------------------- mixing
 
 
