@@ -5,7 +5,8 @@ classes, text), and the hashes are counted in Spark per host: a subtree that rec
 its host is template, and is deleted there. Three kinds are counted:
 
 * boxes, which hold no prose: on MIN_PAGES pages and a share of the host's that falls with its size;
-* prose (paragraphs, headings, items) in pages that have no article or main element: the same;
+* items and cells, where answers like "yes" recur, and prose (paragraphs, headings) in pages that have
+  no article or main element: on MIN_PAGES pages and a fixed share;
 * prose in an article or main: only at the same place (among the first or the last EDGE blocks) on
   INNER_PAGES pages and most of the host's, as lines under every article are.
 
@@ -48,11 +49,11 @@ from entitymill.llm.common import materialize
 
 #: A subtree is template on a host from so many contents, and so large a share of the host's contents;
 #: above SHARE_TO contents of a host the share falls with their root.
-MIN_PAGES, MIN_SHARE, SHARE_TO = 5, 0.05, 1000
+MIN_PAGES, MIN_SHARE, SHARE_TO = 5, 0.05, 50
 #: Prose of an article is template among so many of its first or last blocks, from so many contents
 #: and so large a share.
 EDGE, INNER_PAGES, INNER_SHARE = 3, 8, 0.67
-BOX, PROSE_OUTSIDE, PROSE_INSIDE = 0, 1, 2
+BOX, PROSE_OUTSIDE, PROSE_INSIDE, ITEM = 0, 1, 2, 3
 
 #: Elements of HTML by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -90,6 +91,7 @@ WHOLE = frozenset(("html", "body", "article", "main"))
 #: Blocks whose text is prose without being a sentence.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTS = frozenset("p blockquote pre dd dt figcaption li td th caption summary address".split())
+ITEMS = frozenset("li td th tr dd dt".split())
 LISTS = frozenset("ul ol dl table div".split())
 
 # A quoted value ends where an attribute can end; a quote that does not open one is a character.
@@ -380,7 +382,8 @@ def candidates(root: Node) -> Iterator[tuple[Node, int, list[int]]]:
             if id(node) not in hashes:
                 continue
             if id(node) not in prose:
-                yield node, PROSE_OUTSIDE if not inside and node.tag in PROSE else BOX, [hashes[id(node)]]
+                kind = ITEM if node.tag in ITEMS else PROSE_OUTSIDE if not inside and node.tag in PROSE else BOX
+                yield node, kind, [hashes[id(node)]]
             elif not any(isinstance(c, Node) and c.tag in BLOCKS for c in node.children):
                 leaves.append(node)
         n = len(leaves)
@@ -406,7 +409,7 @@ def read_page(page: str) -> tuple[str, int, list[tuple[int, int, int]]]:
     content, out = _text_hash(text), set()
     longest = [_text_hash(b) for b in sorted(set(blocks), key=lambda b: (-len(b), b))[:2]] + [0, 0]
     for node, kind, keys in candidates(root):
-        around = content if kind == BOX else longest[1] if _text_hash(_words(node)) == longest[0] else longest[0]
+        around = content if kind in (BOX, ITEM) else longest[1] if _text_hash(_words(node)) == longest[0] else longest[0]
         out.update((k, around, kind) for k in keys)
     return text, content, sorted(out)
 
@@ -441,7 +444,8 @@ def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     counts = trees.distinct().groupBy("host", "hash", "kind").agg(F.count("*").alias("pages"))
     n = F.col("on_host")
     outer = F.greatest(F.lit(min_pages), F.least(n * min_share, F.sqrt(n * F.lit(float(SHARE_TO))) * min_share))
-    need = F.when(F.col("kind") == PROSE_INSIDE, F.greatest(F.lit(INNER_PAGES), n * INNER_SHARE)).otherwise(outer)
+    need = F.when(F.col("kind") == PROSE_INSIDE, F.greatest(F.lit(INNER_PAGES), n * INNER_SHARE))
+    need = need.when(F.col("kind") == BOX, outer).otherwise(F.greatest(F.lit(min_pages), n * min_share))
     return counts.join(size, "host").where(F.col("pages") >= need).select("host", "hash", "pages")
 
 

@@ -92,7 +92,7 @@ def brute_pages(rows):
     templates = set()
     for (site, h, kind), contents in counts.items():
         n = len(sizes[site])
-        need = max(8, 0.67 * n) if kind == html.PROSE_INSIDE else max(5, min(0.05 * n, 0.05 * (1000 * n) ** 0.5))
+        need = max(8, 0.67 * n) if kind == html.PROSE_INSIDE else max(5, min(0.05 * n, 0.05 * (50 * n) ** 0.5) if kind == html.BOX else 0.05 * n)
         if len(contents) >= need:
             templates.add((site, h))
     return sorted(((p, u, html.main_text(page, {h for h in own if (site, h) in templates})) for (p, u, page), (site, own) in zip(rows, seen)), key=str)
