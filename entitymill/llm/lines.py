@@ -73,34 +73,30 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, hot: int = HOT) ->
 
 
 def with_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
-    """docs, all columns, with `_lines` (all lines) and `_kept` (positions that stay, in order)."""
+    """docs, all columns, with `_drop`: the positions of the lines that go, null if none does."""
     drops = dropped_lines(line_table(docs, min_chars), min_docs, hot).groupBy("doc_id", "t").agg(F.collect_set("pos").alias("_drop"))
     drops = materialize(drops.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "_drop"), "drops")
-    joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["_d"]) & (F.xxhash64(docs["text"]) == drops["_t"]), "left")
-    lines = joined.withColumn("_lines", F.split(_text(docs["text"]), "\n", -1))
-    return lines.withColumn(
-        "_kept",
-        F.when(F.col("_drop").isNull(), F.sequence(F.lit(0), F.size("_lines") - 1)).otherwise(
-            F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-        ),
-    ).drop("_d", "_t", "_drop")
+    same = docs["doc_id"].eqNullSafe(drops["_d"]) & (F.xxhash64(docs["text"]) == drops["_t"])
+    return docs.join(drops, same, "left").drop("_d", "_t")
 
 
 def kept_text() -> Column:
-    """The text of what stays, of rows of with_dropped."""
-    whole = F.size("_kept") == F.size("_lines")
-    return F.when(whole, _text(F.col("text"))).otherwise(
-        F.array_join(F.transform("_kept", lambda i: F.get(F.col("_lines"), i)), "\n")
-    )
+    """The text of what stays, of rows of with_dropped. Only texts that lose lines are split."""
+    text = _text(F.col("text"))
+    every = F.split(text, "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_drop"))
+    joined = F.get(F.transform(F.array(every), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n")), F.lit(0))
+    return F.when(F.col("_drop").isNull(), text).otherwise(joined)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text."""
     rows = with_dropped(docs.select("doc_id", "text"), min_chars, min_docs, hot)
+    breaks = F.length(_text(F.col("text"))) - F.length(F.translate(_text(F.col("text")), "\n", ""))
     return rows.select(
         "doc_id",
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
+        (breaks + 1).cast("long").alias("n_lines"),
+        F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"),
         kept_text().alias("kept_text"),
     )
 
