@@ -83,16 +83,16 @@ def with_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 def kept_text() -> Column:
     """The text of what stays, of rows of with_dropped. Only texts that lose lines are split."""
     text = _text(F.col("text"))
-    every = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_drop"))
-    joined = F.get(F.transform(F.array(every), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n")), F.lit(0))
+    kept = lambda every: F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_drop"))
+    # the lambda's variable holds the lines, which are split once
+    joined = F.get(F.transform(F.array(F.split(text, "\n", -1)), lambda every: F.array_join(F.transform(kept(every), lambda i: F.get(every, i)), "\n")), F.lit(0))
     return F.when(F.col("_drop").isNull(), text).otherwise(joined)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text."""
     rows = with_dropped(docs.select("doc_id", "text"), min_chars, min_docs, hot)
-    breaks = F.length(_text(F.col("text"))) - F.length(F.translate(_text(F.col("text")), "\n", ""))
+    breaks = F.length(_text(F.col("text"))) - F.length(F.replace(_text(F.col("text")), F.lit("\n"), F.lit("")))
     return rows.select(
         "doc_id",
         (breaks + 1).cast("long").alias("n_lines"),
