@@ -132,18 +132,21 @@ def _partial_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 buckets, counts = _sparse(found)
                 total[buckets] += np.round(np.log1p(counts) * 65536).astype(np.int64)[:, None] * index
     for i in range(0, BUCKETS, STRIPE):
-        if total[i : i + STRIPE].any():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[i : i + STRIPE].tobytes()], pa.binary())], names=["first", "sums"])
+        part = total[i : i + STRIPE]
+        if len(some := np.flatnonzero(part.any(axis=1)).astype(np.int32)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([some.tobytes()], pa.binary()), pa.array([part[some].tobytes()], pa.binary())], names=["first", "buckets", "sums"])
 
 
 def _add_vectors(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in table["sums"])
+    total = np.zeros((STRIPE, DIM), np.int64)
+    for some, sums in zip(table["buckets"], table["sums"]):
+        total[np.frombuffer(some.as_py(), np.int32)] += np.frombuffer(sums.as_py(), np.int64).reshape(-1, DIM)
     return pa.table({"first": table["first"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
 
 def word_vectors(texts: DataFrame) -> np.ndarray:
     """BUCKETS x DIM vectors of length 1 (0 for words not seen) from texts (h, text)."""
-    sums = texts.repartition(PARTS, "h").mapInArrow(_partial_vectors, "first int, sums binary").groupBy("first").applyInArrow(_add_vectors, "first int, sums binary")
+    sums = texts.repartition(PARTS, "h").mapInArrow(_partial_vectors, "first int, buckets binary, sums binary").groupBy("first").applyInArrow(_add_vectors, "first int, sums binary")
     words = np.zeros((BUCKETS, DIM))
     for row in sums.collect():  # BUCKETS / STRIPE rows
         words[row.first : row.first + STRIPE] = np.frombuffer(row.sums, np.int64).reshape(-1, DIM)
@@ -201,16 +204,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def pooled(batches):
         for batch in batches:
-            x = [np.concatenate([pool(shared.value, *_sparse(f)) for f in tokens(t.as_py())]) for t in batch.column("text")]
+            x = [None if p < 5 else np.concatenate([pool(shared.value, *_sparse(f)) for f in tokens(t.as_py())]) for p, t in zip(batch.column("part").to_pylist(), batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "quality", "part")), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "quality", "part", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = rows.where("part >= 5").mapInArrow(pooled, f"doc_id {kind}, quality int, part int, x array<double>").orderBy("doc_id").toArrow()
-    every = rows.groupBy("quality").agg(F.count("*").alias("n")).collect()
-    if len(every) < 2 or sum(r.n for r in every) < 10:
-        return _constant(sum(r.n for r in every if r.quality == 1) / max(1, sum(r.n for r in every)) if every else 0.5)
-    x = np.array(table["x"].to_pylist(), float).reshape(len(table), 2 * DIM)
-    return fit(words, x, table["quality"].to_numpy().astype(float), table["part"].to_numpy() == 9)
+    table = rows.mapInArrow(pooled, f"doc_id {kind}, quality int, part int, x array<double>").orderBy("doc_id").toArrow()
+    shared.destroy()
+    quality, part = table["quality"].to_numpy().astype(float), table["part"].to_numpy()
+    if len(quality) < 10 or quality.min() == quality.max():
+        return _constant(quality.mean() if len(quality) else 0.5)
+    x = np.array([v for v in table["x"].to_pylist() if v is not None], float).reshape(-1, 2 * DIM)
+    return fit(words, x, quality[part >= 5], part[part >= 5] == 9)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
