@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -22,14 +25,24 @@ _FENCE = {"ul", "ol", "dl", "table", "tbody", "thead", "div", "section", "articl
 
 
 class Element:
+    __slots__ = ("tag", "attrs", "parent", "children")
+
     def __init__(self, tag: str, attrs: dict, parent: "Element | None"):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
+    def nodes(self) -> Iterator["Element | str"]:
+        """Everything inside, in page order, without recursion: pages may nest without end."""
+        todo = list(reversed(self.children))
+        while todo:
+            yield (node := todo.pop())
+            if isinstance(node, Element):
+                todo += reversed(node.children)
+
     def walk(self) -> Iterator["Element"]:
-        for c in self.children:
-            if isinstance(c, Element):
-                yield c
-                yield from c.walk()
+        return (n for n in self.nodes() if isinstance(n, Element))
+
+    def strings(self) -> Iterator[str]:
+        return (n for n in self.nodes() if isinstance(n, str))
 
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
@@ -47,13 +60,6 @@ class Element:
             e = e.parent
         return e
 
-    def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, Element):
-                yield from c.strings()
-            else:
-                yield c
-
     def text(self, sep: str = "") -> str:
         return sep.join(t for s in self.strings() if (t := s.strip()))
 
@@ -62,13 +68,20 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("", {}, None)
+        self.open: Counter[str] = Counter()
+
+    def _leave(self, to: Element) -> None:
+        while self.at is not to:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag in _ENDS:
+        ends = _ENDS.get(tag, ())
+        if any(self.open[t] for t in ends):
             e = self.at
             while e.parent is not None and e.tag not in _FENCE:
-                if e.tag in _ENDS[tag]:
-                    self.at = e.parent
+                if e.tag in ends:
+                    self._leave(e.parent)
                     if tag != "tr":
                         break
                 e = e.parent
@@ -76,16 +89,17 @@ class _Builder(HTMLParser):
         self.at.children.append(e)
         if tag not in _VOID:
             self.at = e
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.at.children.append(Element(tag, dict(attrs), self.at))
 
     def handle_endtag(self, tag):
-        e = self.at
-        while e.parent is not None and e.tag != tag:
-            e = e.parent
-        if e.parent is not None:
-            self.at = e.parent
+        if self.open[tag]:
+            e = self.at
+            while e.tag != tag:
+                e = e.parent
+            self._leave(e.parent)
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -95,8 +109,12 @@ def tree(page: str, without: tuple[str, ...] = ()) -> Element:
     builder = _Builder()
     builder.feed(page or "")
     builder.close()
-    for e in [builder.root, *builder.root.walk()]:
-        e.children = [c for c in e.children if not (isinstance(c, Element) and c.tag in without)]
+    if without:
+        todo = [builder.root]
+        while todo:
+            e = todo.pop()
+            e.children = [c for c in e.children if not (isinstance(c, Element) and c.tag in without)]
+            todo += [c for c in e.children if isinstance(c, Element)]
     return builder.root
 
 
@@ -128,19 +146,36 @@ def structured_fields(page: str) -> dict[str, str]:
     return {k: v for k, v in _pairs(content_root(tree(page, CHROME))) if k and v}
 
 
-def release_fields(page: str) -> dict[str, str]:
-    """Fields of a press site, with its first three releases as JSON."""
-    root = tree(page, ("script", "style", "noscript", "header", "footer", "nav"))
-    out = {k: v for k, v in _pairs(root) if k and v}
-    releases = []
+#: Chrome of a press site; releases that are kept.
+PRESS_CHROME, RELEASES = ("script", "style", "noscript", "header", "footer", "nav"), 3
+
+
+def _releases(root: Element) -> list[tuple[str, str]]:
+    """(title, date) of the first releases: articles with a heading."""
+    out = []
     for article in root.all("article"):
         title = article.one("h2", "h3", "h4")
         when = article.one("time") or next((e for e in article.walk() if "date" in (e.attrs.get("class") or "").lower()), None)
-        if title is not None and len(releases) < 3:
-            releases.append({"title": title.text(), "date": when.text() if when is not None else ""})
+        if title is not None and len(out) < RELEASES:
+            out.append((title.text(), when.text() if when is not None else ""))
+    return out
+
+
+def release_fields(page: str) -> dict[str, str]:
+    """Fields of a press site, with its first releases as JSON."""
+    root = tree(page, PRESS_CHROME)
+    out = {k: v for k, v in _pairs(root) if k and v}
+    releases = [{"title": t, "date": d} for t, d in _releases(root)]
     return out | ({"__press_releases__": json.dumps(releases, ensure_ascii=False)} if releases else {})
 
 
+def release_text(page: str, limit: int = 6000) -> str:
+    """Fields and first releases of a press site as lines for reading, cut to a limit."""
+    root = tree(page, PRESS_CHROME)
+    lines = [f"[FIELD: {k}] {v}" for k, v in _pairs(root) if k]
+    return "\n".join([*lines, *(f"[PR: {t} | {d}]" for t, d in _releases(root))])[:limit]
+
+
 def field_text(page: str, limit: int = 6000) -> str:
     """Fields as lines for reading, cut to a limit."""
     root = tree(page, CHROME)
@@ -154,182 +189,193 @@ def releases_in_text(text: str) -> list[tuple[str, str]]:
     return [(a.strip(), b.strip()) for a, b in re.findall(r"\[PR: (.*?) \| (.*?)\]", text)]
 
 
+#: Wordings of a number of openings, first choice first; forms of links to an opening
+#: (a part of the path, its end); rows of an opening's table.
+COUNT_WORDINGS = (r"募集している求人(\d+)件", r"公開求人数[^\d]*(\d+)\s*件", r"公開中の求人[^\d]*(\d+)\s*件", r"求人数[^\d]*(\d+)\s*件")
+OPENING_LINKS = (("/kensaku/kyujin/", ".html"), ("/viewjob/", ""))
+SALARY_ROW, FEATURES_ROW, SALARY_FIELD = "給与", "仕事の特徴", "想定年収"
+SALARY = r"想定年収\s*([\d,]+万円[～〜\-－][\d,]+万円)"
+SIMILAR_HEAD, SIMILAR_LEVELS, LEVELS = "この求人に似た求人を探す", "業界", 5
+SIMILAR_FIELDS = {"職種": "職種_求人", "勤務地": "勤務地_求人", "スキル": "スキル", "こだわり": "こだわり"}
+
+
 def opening_count(page: str) -> str | None:
     """The number of openings that the page states, by the first wording that is there."""
     text = "".join(tree(page).strings())
-    for pattern in (r"募集している求人(\d+)件", r"公開求人数[^\d]*(\d+)\s*件", r"公開中の求人[^\d]*(\d+)\s*件", r"求人数[^\d]*(\d+)\s*件"):
-        if m := re.search(pattern, text):
-            return f"{m[1]}件"
-    return None
+    hits = (re.search(wording, text) for wording in COUNT_WORDINGS)
+    return next((f"{hit[1]}件" for hit in hits if hit), None)
 
 
-def opening_urls(page: str, base: str) -> list[str]:
-    """Links to openings in both forms, absolute, once each apart from query and last slash."""
-    out: dict[str, str] = {}
-    for a in tree(page).all("a"):
-        href = a.attrs.get("href") or ""
-        if not (("/kensaku/kyujin/" in href and href.endswith(".html")) or "/viewjob/" in href):
-            continue
-        full = base + href if href.startswith("/") else href
-        if full.startswith("http"):
-            out.setdefault(full.split("?")[0].rstrip("/"), full)
-    return list(out.values())
+def opening_urls(page: str, base: str, forms: tuple = OPENING_LINKS) -> list[str]:
+    """Absolute links to openings; of those that differ in query or last slash only, the first."""
+    links = [a.attrs.get("href") or "" for a in tree(page).all("a")]
+    links = [base + u if u.startswith("/") else u for u in links if any(part in u and u.endswith(end) for part, end in forms)]
+    by_key = {u.split("?")[0].rstrip("/"): u for u in reversed(links) if u.startswith("http")}
+    order = dict.fromkeys(u.split("?")[0].rstrip("/") for u in links if u.startswith("http"))
+    return [by_key[k] for k in order]
 
 
 def opening_fields(page: str) -> dict[str, str]:
-    """Salary range and features of an opening."""
-    out = {}
+    """Salary range and features of an opening, from rows with a heading: their second cell, or the
+    only one."""
+    cells = {}
     for row in tree(page).all("tr"):
-        h3, cells = row.one("h3"), row.all("td")
-        if h3 is None or not cells:
-            continue
-        cell, label = cells[min(1, len(cells) - 1)], h3.text()
-        if label == "給与" and (m := re.search(r"想定年収\s*([\d,]+万円[～〜\-－][\d,]+万円)", "".join(cell.strings()))):
-            out["想定年収"] = m[1]
-        if label == "仕事の特徴" and (tags := [t for s in cell.all("span") if (t := s.text())]):
-            out["仕事の特徴"] = ", ".join(tags)
+        head, data = row.one("h3"), row.all("td")
+        if head is not None and data:
+            cells.setdefault(head.text(), []).append(data[:2][-1])
+    salaries = [m[1] for c in cells.get(SALARY_ROW, ()) if (m := re.search(SALARY, "".join(c.strings())))]
+    features = [", ".join(tags) for c in cells.get(FEATURES_ROW, ()) if (tags := [t for x in c.all("span") if (t := x.text())])]
+    return ({SALARY_FIELD: salaries[-1]} if salaries else {}) | ({FEATURES_ROW: features[-1]} if features else {})
+
+
+def similar_fields(page: str) -> dict[str, str]:
+    """Fields of the table behind the heading on similar openings, the trade by levels; none without
+    that table."""
+    head = next((e for e in tree(page).all("h2") if SIMILAR_HEAD in "".join(e.strings())), None)
+    behind = head.parent.children[head.parent.children.index(head) + 1 :] if head is not None else []
+    tables = (e if e.tag == "table" else e.one("table") for e in behind if isinstance(e, Element))
+    if (table := next((t for t in tables if t is not None), None)) is None:
+        return {}
+    rows = {th.text(): td for r in table.all("tr") if (th := r.one("th")) is not None and (td := r.one("td")) is not None}
+    trade = [a.text() for a in rows[SIMILAR_LEVELS].all("a")] if SIMILAR_LEVELS in rows else []
+    out = {f"{SIMILAR_LEVELS}_階層{i + 1}": t for i, t in enumerate((trade + [""] * LEVELS)[:LEVELS])}
+    return out | {field: rows[label].text() if label in rows else "" for label, field in SIMILAR_FIELDS.items()}
+
+
+#: Metrics of the tables of a financial page, by place; the metric whose growth is told.
+METRICS = (("売上高", "営業利益"), ("自己資本率",), ("ROE",), ("営業CF", "フリーCF"))
+SALES, SALES_GROWTH, PERIODS = "売上高", "売上成長率", 3
+
+
+def metric_rows(page: str) -> list[tuple[str, str, str]]:
+    """(metric, period, value) of the tables of a financial page, newest first; none if one is missing.
+    A metric is the column whose heading names it; a heading that names several counts for the first."""
+    tables, out = tree(page).all("table"), []
+    for table, metrics in zip(tables, METRICS) if len(tables) >= len(METRICS) else ():
+        head, *rows = table.all("tr") or [Element("tr", {}, None)]
+        names = [next((m for m in metrics if m in h.text()), None) for h in head.all("th")]
+        body = [(th, r.all("td")) for r in rows if (th := r.one("th")) is not None]
+        for metric in dict.fromkeys(n for n in names if n):
+            column = len(names) - 2 - names[::-1].index(metric)  # the last such heading; the first is the period's
+            values = [(re.sub(r"\(.*?\)", "", th.text()).strip(), cells[column].text()) for th, cells in body if 0 <= column < len(cells)]
+            out += [(metric, period, value) for period, value in values[:PERIODS]]
     return out
 
 
-def metric_table(table: Element, metrics: tuple[str, ...], periods: int = 3) -> dict[str, list[tuple[str, str]]]:
-    """(period, value) of each metric that a heading names, newest first."""
-    rows = table.all("tr")
-    heads = [h.text() for h in rows[0].all("th")] if rows else []
-    place = {}
-    for i, head in enumerate(heads):
-        for m in metrics:
-            if m in head:
-                place[m] = i - 1
-                break
-    out: dict[str, list] = {m: [] for m in place}
-    for row in rows[1:]:
-        th, cells = row.one("th"), row.all("td")
-        for m, i in place.items():
-            if th is not None and 0 <= i < len(cells) and len(out[m]) < periods:
-                out[m].append((re.sub(r"\(.*?\)", "", th.text()).strip(), cells[i].text()))
-    return out
+def _number(value: str) -> float | None:
+    try:
+        return float(value.replace(",", "").replace("―", "0"))
+    except ValueError:
+        return None
 
 
 def financial_fields(page: str) -> dict[str, str]:
-    """Metrics by period of the four tables of a financial page, with growth of sales."""
-    tables, out = tree(page).all("table"), {}
-    if len(tables) < 4:
-        return out
-    roles = (("売上高", "営業利益"), ("自己資本率",), ("ROE",), ("営業CF", "フリーCF"))
-    for i, metrics in enumerate(roles):
-        found = metric_table(tables[i], metrics)
-        out |= {f"{m}_{period}": v for m, values in found.items() for period, v in values}
-        sales = found.get("売上高", [])
-        for (period, now), (_, before) in zip(sales, sales[1:]):
-            try:
-                a, b = (float(x.replace(",", "").replace("―", "0")) for x in (now, before))
-            except ValueError:
-                continue
-            if b:
-                out[f"売上成長率_{period}"] = f"{(a - b) / abs(b) * 100:.1f}%"
-    return out
-
-
-def _named(rows: list[tuple[str, str, str]], least: int = 2, once: bool = False) -> list[tuple[str, str, str]]:
-    out, seen = [], set()
-    for row in rows:
-        if len(row[0]) >= least and not (once and row[0] in seen):
-            seen.add(row[0])
-            out.append(row)
-    return out
-
-
-def _title_of(page: str) -> list[str]:
-    root = tree(page)
-    meta = [e.attrs.get("content") or "" for e in root.all("meta") if e.attrs.get("property") == "og:title"]
-    return [t for t in (*meta[:1], *(e.text() for e in root.all("title")[:1])) if t]
-
-
-def _by_class(*tags: str, least: int = 2, once: bool = False, **how) -> Callable[[str], list[tuple[str, str, str]]]:
-    return lambda page: _named([(e.text(), "", "") for e in tree(page).all(*tags, **how)], least, once)
-
-
-def _labbase(page):
-    skip = ("検索条件", "新着企業", "おすすめ", "人気企業")
-    heads = [s.one("h3") for s in tree(page).all("section")]
-    return _named([(h.text(), "", "") for h in heads if h is not None and h.text() not in skip], once=True)
-
-
-def _talentbook(page):
-    return next(([(n, "", "")] for t in _title_of(page) if len(n := t.split(" | ")[0].strip()) >= 2), [])
-
-
-def _onecareer(page):
-    return next(([(m[1].strip(), "", "")] for t in _title_of(page) if (m := re.match(r"^(.+?)の新卒採用", t))), [])
+    """Metrics by period, with the growth of sales on the period before."""
+    rows = metric_rows(page)
+    sales = [(period, _number(value)) for metric, period, value in rows if metric == SALES]
+    growth = {f"{SALES_GROWTH}_{p}": f"{(a - b) / abs(b) * 100:.1f}%" for (p, a), (_, b) in zip(sales, sales[1:]) if a is not None and b}
+    return {f"{metric}_{period}": value for metric, period, value in rows} | growth
+
+
+@dataclass(frozen=True)
+class Site:
+    """How a listing is read: a row for each `card`, with the first of `name` that has a text, `title`
+    and `date`. A place is a path of steps `tag`, `tag.class` or `tag[part of class]`, each the first
+    inside the one before; "." is the card, "^tag" its nearest such ancestor, and "*" at the end takes
+    the first match that `words` and `parts` don't rule out. Without a card, `heads` is a pattern for
+    the page's titles, or `text` one for its text."""
+
+    card: tuple[str, ...] = ()
+    name: tuple[str, ...] = (".",)
+    title: str = ""
+    date: str = ""
+    dates: str = ""
+    century: str = ""
+    last_date: bool = False
+    heads: str = ""
+    text: str = ""
+    words: tuple[str, ...] = ()
+    parts: tuple[str, ...] = ()
+    least: int = 2
+    once: bool = False
+
+
+#: Places, patterns and words of the sites.
+SITES: dict[str, Site] = {
+    "labbase": Site(("section",), ("h3",), words=("検索条件", "新着企業", "おすすめ", "人気企業"), once=True),
+    "talentbook": Site(heads=r"^(.*?)(?: \| |$)"),
+    "type_shinsotsu": Site((".card-company", ".card"), (".card-head-title", "h3"), least=1),
+    "onecareer": Site(heads=r"^(.+?)の新卒採用", least=0),
+    "levtech_rookie": Site(("div.companyCard",), ("p.name",)),
+    "bizreach_campus": Site(("[company]",), parts=("ビズリーチ",)),
+    "offerbox": Site(("p.link-list__tit",)),
+    "en_tenshoku": Site(("div.companyName",), ("span.company", "."), title="^div div.jobName"),
+    "kimisuka": Site(text=r"(?:株式会社[\w・ー]+|[\w・ー]+株式会社)", least=4, once=True),
+    "caritasu": Site(("div.c_panelCompanyInfoMain__ttlBox",), once=True),
+    "career_ticket": Site(("li.p-companyCard",), ("p.p-companyCard__ttl",)),
+    "bizreach": Site(("li[JobListItem]",), ("[grow-1] p[bold]", "p[bold] *"), title="h3[JobTitle]", words=("気になる",), parts=("万円",), least=1),
+    "en_ambi": Site(("div.jobUnit",), ("span.companyName",), title="a.catch", date="div.term span.data", dates=r"(\d{2})/(\d{2})/(\d{2})", century="20", last_date=True, least=1),
+    "type_chuto": Site(("p.company",), title="^article h3.mod-job-info-text", date="^article p.end-date", dates=r"(\d{4})\.(\d{2})\.(\d{2})"),
+}
 
 
-def _type_shinsotsu(page):
-    root = tree(page)
-    cards = root.all(cls="card-company") or root.all(cls="card")
-    heads = [c.one(cls="card-head-title") or c.one("h3") for c in cards]
-    return _named([(h.text(), "", "") for h in heads if h is not None], 1)
+def _matches(scope: Element, step: str) -> list[Element]:
+    tag, cls, part = re.fullmatch(r"(\w*)(?:\.([\w\-]+))?(?:\[([\w\-]+)\])?", step).groups()
+    return scope.all(*([tag] if tag else []), cls=cls, part=part)
 
 
-def _cards(card: str, name: tuple, **how):
-    return lambda page: _named([(e.text(), "", "") for c in tree(page).all(*([] if not card else [card]), **how) if (e := c.one(*name[:1], cls=name[1])) is not None])
+def _ruled_out(site: Site, name: str) -> bool:
+    return name in site.words or any(p in name for p in site.parts)
 
 
-def _bizreach_campus(page):
-    return [r for r in _by_class(part="company")(page) if "ビズリーチ" not in r[0]]
+def _text_at(site: Site, card: Element, path: str) -> str | None:
+    """The text at a path from a card; None if there is no such place."""
+    at: Element | None = card
+    steps = path.split()
+    for i, step in enumerate(steps):
+        if at is None or step == ".":
+            break
+        if i + 1 < len(steps) and steps[i + 1] == "*":
+            return next((t for e in _matches(at, step) if (t := e.text()) and not _ruled_out(site, t)), None)
+        at = at.up(step[1:]) if step[0] == "^" else next(iter(_matches(at, step)), None)
+    return at.text() if at is not None else None
 
 
-def _en_tenshoku(page):
-    out = []
-    for box in tree(page).all("div", cls="companyName"):
-        name, around = box.one("span", cls="company"), box.up("div")
-        title = around.one("div", cls="jobName") if around is not None else None
-        out.append(((name or box).text(), title.text() if title is not None else "", ""))
-    return _named(out)
+def _date(site: Site, text: str) -> str:
+    found = re.findall(site.dates, text)
+    return site.century + "-".join(found[-1 if site.last_date else 0]) if found else ""
 
 
-def _kimisuka(page):
-    found = re.findall(r"(?:株式会社[\w・ー]+|[\w・ー]+株式会社)", "".join(tree(page).strings()))
-    return _named([(n, "", "") for n in found], 4, once=True)
+def _names(site: Site, root: Element) -> Iterator[tuple[str, str, str]]:
+    if site.heads:
+        heads = [e.attrs.get("content") or "" for e in root.all("meta") if e.attrs.get("property") == "og:title"][:1]
+        heads += [e.text() for e in root.all("title")[:1]]
+        names = (m[1].strip() for h in heads if h and (m := re.match(site.heads, h)))
+        yield from ((n, "", "") for n in [n for n in names if len(n) >= site.least][:1])
+    elif site.text:
+        yield from ((n, "", "") for n in re.findall(site.text, "".join(root.strings())))
+    else:
+        starred = any("*" in path for path in site.name)
+        cards = next((c for step in site.card if (c := _matches(root, step))), [])
+        for card in cards:
+            found = (_text_at(site, card, path) for path in site.name)
+            # a place that is there counts for the text; one that may be empty gives way to the next
+            name = next((t for t in found if t or (t is not None and not starred)), None if not starred else "")
+            if name is not None and (starred or not _ruled_out(site, name)):
+                yield name, _text_at(site, card, site.title) or "" if site.title else "", _date(site, _text_at(site, card, site.date) or "") if site.date else ""
 
 
-def _bizreach(page):
-    out = []
-    for card in tree(page).all("li", part="JobListItem"):
-        title, grow = card.one("h3", part="JobTitle"), card.one(part="grow-1")
-        bold = grow.one("p", part="bold") if grow is not None else None
-        name = bold.text() if bold is not None else ""
-        name = name or next((t for p in card.all("p", part="bold") if (t := p.text()) and t != "気になる" and "万円" not in t), "")
-        out.append((name, title.text() if title is not None else "", ""))
-    return _named(out, 1)
+def listing(site: Site, page: str) -> list[tuple[str, str, str]]:
+    """(name, title, date) rows of a listing, without names that are too short, or that were there before."""
+    rows = [r for r in _names(site, tree(page)) if len(r[0]) >= site.least]
+    first: dict[str, tuple[str, str, str]] = {}
+    for r in rows:
+        first.setdefault(r[0], r)
+    return list(first.values()) if site.once else rows
 
 
-def _en_ambi(page):
-    out = []
-    for unit in tree(page).all("div", cls="jobUnit"):
-        name, title, term = unit.one("span", cls="companyName"), unit.one("a", cls="catch"), unit.one("div", cls="term")
-        data = term.one("span", cls="data") if term is not None else None
-        dates = re.findall(r"(\d{2})/(\d{2})/(\d{2})", data.text()) if data is not None else []
-        out.append((name.text() if name is not None else "", title.text() if title is not None else "", "20" + "-".join(dates[-1]) if dates else ""))
-    return _named(out, 1)
-
-
-def _type_chuto(page):
-    out = []
-    for e in tree(page).all("p", cls="company"):
-        card = e.up("article")
-        title, end = (card.one("h3", cls="mod-job-info-text"), card.one("p", cls="end-date")) if card is not None else (None, None)
-        when = re.search(r"(\d{4})\.(\d{2})\.(\d{2})", end.text()) if end is not None else None
-        out.append((e.text(), title.text() if title is not None else "", "-".join(when.groups()) if when else ""))
-    return _named(out)
-
-
-#: Listing parsers by site: page to (name, title, date) rows.
-LISTINGS: dict[str, Callable[[str], list[tuple[str, str, str]]]] = {
-    "labbase": _labbase, "talentbook": _talentbook, "type_shinsotsu": _type_shinsotsu, "onecareer": _onecareer,
-    "levtech_rookie": _cards("div", ("p", "name"), cls="companyCard"), "bizreach_campus": _bizreach_campus, "offerbox": _by_class("p", cls="link-list__tit"),
-    "en_tenshoku": _en_tenshoku, "kimisuka": _kimisuka, "caritasu": _by_class("div", cls="c_panelCompanyInfoMain__ttlBox", once=True),
-    "career_ticket": _cards("li", ("p", "p-companyCard__ttl"), cls="p-companyCard"), "bizreach": _bizreach, "en_ambi": _en_ambi, "type_chuto": _type_chuto,
-}
+#: Listing readers by site: page to (name, title, date) rows.
+LISTINGS: dict[str, Callable[[str], list[tuple[str, str, str]]]] = {name: partial(listing, site) for name, site in SITES.items()}
 
 
 def fields_of(page: str) -> list[tuple[str, str]]:

@@ -57,6 +57,23 @@ def test_listings():
         assert pages.LISTINGS[site](page) == wanted, site
 
 
+def test_deep_and_broken_pages():
+    deep = "<div>" * 5000 + "<dl><dt>a</dt><dd>b</dd></dl>" + "</span></div>" * 5000
+    assert pages.structured_fields(deep) == {"a": "b"} and pages.field_text(deep) == "[FIELD: a] b"
+    for page in ("", "<", "<dl><dt>a", "<table><tr><th>", "</div></p>", "<p class=>x", "<!-- open"):
+        for read in (pages.structured_fields, pages.release_fields, pages.field_text, pages.release_text, pages.opening_count, pages.opening_fields, pages.similar_fields, pages.financial_fields, *pages.LISTINGS.values()):
+            read(page)
+
+
+def test_press_text_and_similar_openings():
+    page = "<dl><dt>代表</dt><dd>甲</dd><dt>空</dt><dd></dd></dl>" + "".join(f"<article><h2>t{i}</h2><time>d{i}</time></article>" for i in range(4))
+    assert pages.release_text(page) == "[FIELD: 代表] 甲\n[FIELD: 空] \n[PR: t0 | d0]\n[PR: t1 | d1]\n[PR: t2 | d2]"
+    assert pages.releases_in_text(pages.release_text(page)) == [("t0", "d0"), ("t1", "d1"), ("t2", "d2")]
+    page = "<table><tr><th>職種</th><td>no</td></tr></table><h2>この求人に似た求人を探す</h2><div><table><tr><th>職種</th><td>営業</td></tr><tr><th>業界</th><td><a>IT</a> &gt; <a>Web</a></td></tr></table></div>"
+    assert pages.similar_fields(page) == {"業界_階層1": "IT", "業界_階層2": "Web", "業界_階層3": "", "業界_階層4": "", "業界_階層5": "", "職種_求人": "営業", "勤務地_求人": "", "スキル": "", "こだわり": ""}
+    assert pages.similar_fields("<table></table>") == {}
+
+
 def test_extract_nulls(spark):
     rows = spark.createDataFrame([(1, "<dl><dt>a</dt><dd>b</dd></dl>"), (2, None), (3, "")], "k long, html string")
     assert [tuple(r) for r in pages.extract(rows, "k", "html", pages.fields_of, ["label", "value"]).collect()] == [(1, 0, "a", "b")]
