@@ -9,8 +9,13 @@ from entitymill.functions.text import DIGITS, WIDE_DIGITS, WS, let
 
 #: Patterns and word lists by which contacts are found and labelled.
 D = r"\p{Nd}"
-HYPHENATED = rf"(?:TEL|Tel|tel|電話|℡|☎)?(?:[:：]|{WS})*(0{D}{{1,4}}(?:[\-－‐‑–—・]|{WS}){D}{{2,4}}(?:[\-－‐‑–—・]|{WS}){D}{{3,4}})"
-BRACKETED = rf"(?:TEL|Tel|電話)?(?:[:：]|{WS})*(\(0{D}{{1,4}}\)(?:[\-－]|{WS})?{D}{{2,4}}[\-－]{D}{{3,4}})"
+# Separators before a number are taken whole, from their first one on: a long run of blanks is read once.
+SEPARATORS, AT_FIRST = rf"(?:[:：]|{WS})*+", rf"(?<![:：])(?<!{WS})"
+HYPHENATED = rf"(?:(?:TEL|Tel|tel|電話|℡|☎)|{AT_FIRST}){SEPARATORS}(0{D}{{1,4}}(?:[\-－‐‑–—・]|{WS}){D}{{2,4}}(?:[\-－‐‑–—・]|{WS}){D}{{3,4}})"
+BRACKETED = rf"(?:(?:TEL|Tel|電話)|{AT_FIRST}){SEPARATORS}(\(0{D}{{1,4}}\)(?:[\-－]|{WS})?{D}{{2,4}}[\-－]{D}{{3,4}})"
+#: What of the two makes them match: labels and separators before the number are optional.
+HYPHENATED_CORE = rf"0{D}{{1,4}}(?:[\-－‐‑–—・]|{WS}){D}{{2,4}}(?:[\-－‐‑–—・]|{WS}){D}{{3,4}}"
+BRACKETED_CORE = rf"\(0{D}{{1,4}}\)(?:[\-－]|{WS})?{D}{{2,4}}[\-－]{D}{{3,4}}"
 FREE = rf"(0120[\-－]?{D}{{2,3}}[\-－]?{D}{{3,4}})"
 MAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 NEAR_PHONE = (
@@ -87,11 +92,13 @@ def emails(text: Column) -> Column:
 
 
 def has_signals(text: Column) -> Column:
-    """Whether text may hold a contact: cheap words first, then the patterns."""
+    """Whether text may hold a contact: cheap words first, then the patterns, without what they do not
+    need to match and where a sign of theirs is there."""
     words = F.lit(False)
     for w in SIGNALS:
         words = words | F.contains(text, F.lit(w))
-    return words | text.rlike(MAIL) | text.rlike(HYPHENATED) | text.rlike(BRACKETED)
+    has = lambda sign: F.contains(text, F.lit(sign))
+    return words | (has("@") & text.rlike(MAIL)) | (has("0") & text.rlike(HYPHENATED_CORE)) | (has("(0") & text.rlike(BRACKETED_CORE))
 
 
 def priority_label(c: Column) -> Column:

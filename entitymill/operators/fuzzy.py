@@ -1,15 +1,18 @@
-"""Clusters of names that are nearly the same, without comparing every pair.
+"""Clusters of names that are nearly the same.
 
-The measure is twice the matched characters over the total length. It cannot exceed what the lengths
-or the shared characters allow, so names meet only inside bands of length, and only pairs that pass
-the bound on shared characters reach Python. Both bounds lose nothing. Components grow by the
+The measure is twice the matched characters over the total length. What it reaches at most follows
+from the characters, counted with repeats, that two names share: a pair at the threshold lacks few of
+the longer name's. So each name is a set of numbered characters ("a1", "a2", ...), put in one order
+for all names, rarest first, and only names that share one of their first few (the prefix that a pair
+at the threshold cannot miss) and whose lengths allow it meet. A pair is made at the rarest character
+that both prefixes share, once. Names of one script share common characters all the same; what is
+common to most names stands last in the order and is in no prefix. The bound on all characters and
+then the measure itself, in Arrow batches, decide. No bound loses a pair. Components grow by the
 smallest name of the neighbourhood until nothing changes; every round is checkpointed.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -17,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entitymill.scratch import checkpointed
+
 
 @F.pandas_udf(T.DoubleType())
 def _measure(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -26,36 +31,36 @@ def _measure(a: pd.Series, b: pd.Series) -> pd.Series:
 def similar_pairs(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(a, b), a before b, of distinct names whose measure reaches the threshold."""
     rows = names.select("name").where(F.col("name").isNotNull() & (F.col("name") != "")).distinct()
-    # lengths of a pair differ by less than this factor: equal or neighbouring bands
-    factor = threshold / (2 - threshold)
-    band = F.floor(F.log(F.length("name").cast("double")) / -F.log(F.lit(factor)))
-    rows = rows.select("name", band.alias("band"), F.length("name").alias("n"), F.array_sort(F.split("name", "")).alias("chars"))
-    left = rows.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("chars").alias("ca"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    right = rows.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("chars").alias("cb"), "band")
-    pairs = left.join(right, "band").where((F.col("a") < F.col("b")) & (2 * F.least("na", "nb") >= threshold * (F.col("na") + F.col("nb"))))
+    chars = F.array_sort(F.split("name", ""))
+    # a character and which of its kind it is: the k-th in the sorted list, less the place of the first
+    rows = rows.withColumn("chars", chars).withColumn("marks", F.transform("chars", lambda c, i: F.concat(c, (i - F.array_position("chars", c) + 2).cast("string"))))
+    rows = checkpointed(rows.withColumn("n", F.size("chars")))
+    counts = rows.select(F.explode("marks").alias("mark")).groupBy("mark").agg(F.count("*").alias("c"))
+    ranked = rows.select("name", F.explode("marks").alias("mark")).join(counts, "mark").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("c", "mark"))).alias("marks"))
+    # a pair shares at least threshold / (2 - threshold) of either name's characters
+    least = F.ceil(F.col("n") * F.lit(threshold / (2 - threshold) - 1e-9))
+    prefix = F.slice("marks", F.lit(1), (F.col("n") - least + 1).cast("int"))
+    rows = rows.select("name", "n", "chars").join(ranked, "name").withColumn("prefix", F.transform(prefix, lambda x: x["mark"]))
+    left = rows.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("chars").alias("ca"), F.col("prefix").alias("pa"), F.explode("prefix").alias("mark"))
+    right = rows.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("chars").alias("cb"), F.col("prefix").alias("pb"), F.explode("prefix").alias("mark"))
+    pairs = left.join(right, "mark").where((F.col("a") < F.col("b")) & (2 * F.least("na", "nb") >= threshold * (F.col("na") + F.col("nb"))))
+    pairs = pairs.where(F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("mark"))
     kinds = F.array_distinct("ca")
     shared = F.aggregate(kinds, F.lit(0), lambda t, c: t + F.least(F.size(F.filter("ca", lambda x: x == c)), F.size(F.filter("cb", lambda x: x == c))))
     pairs = pairs.where(2 * shared >= threshold * (F.col("na") + F.col("nb"))).select("a", "b")
     return pairs.withColumn("ratio", _measure("a", "b")).where(F.col("ratio") >= threshold).select("a", "b", "ratio")
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "entitymill-checkpoints"))
-    return df.checkpoint()
-
-
 def clusters(pairs: DataFrame) -> DataFrame:
     """cluster_id (from 1, by smallest name) and name of every name in a pair."""
-    both = _checkpointed(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
-    labels = _checkpointed(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("name"), F.least("a", "low").alias("label")))
+    both = checkpointed(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
+    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("name"), F.least("a", "low").alias("label")))
     while True:
         near = both.join(labels, both["b"] == labels["name"]).groupBy("a").agg(F.min("label").alias("low"))
         # a label's own label shortens chains
         hop = labels.select(F.col("name").alias("label"), F.col("label").alias("hop"))
         after = labels.join(near, labels["name"] == near["a"]).join(hop, "label").select("name", F.least("label", "low", "hop").alias("new"), "label")
-        after = _checkpointed(after)
+        after = checkpointed(after)
         changed = not after.where("new <> label").isEmpty()
         labels = after.select("name", F.col("new").alias("label"))
         if not changed:

@@ -7,7 +7,10 @@ falls back to the bounded set of short labels for those without a gram.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymill.functions.names import label_key, without_notes
@@ -58,3 +61,22 @@ def accept_suggestions(mapped: DataFrame, suggested: DataFrame, canonicals: Data
     (entity, media, canonical, value)."""
     fresh = suggested.join(canonicals, "canonical", "left_semi").join(mapped, ["entity", "media", "canonical"], "left_anti")
     return mapped.unionByName(fresh.select(*mapped.columns))
+
+
+#: Labels of forms and navigation, that no suggestion is asked for.
+SKIPPED = (
+    "会員の方はこちら", "まだ会員でない方は", "ログイン / 新規会員登録", "OpenES", "内々定", "時給制、日給制、週給制、月給制", "年俸制、半期年俸制", "その他のポイント",
+    "注意事項", "応募方法", "セミナー／説明会", "直近の説明会・面接", "お知らせ・イベント", "エントリー完了企業", "エントリーできなかった企業",
+)
+SKIPPED_STARTS, SKIPPED_YEAR, SKIPPED_NOTICE = ("セミナー", "説明会"), "年卒", "情報"
+
+
+def is_skipped(label: Column) -> Column:
+    """Whether a label is chrome: listed, a seminar, or a year's notice."""
+    starts = reduce(or_, [label.startswith(s) for s in SKIPPED_STARTS])
+    return label.isin(*SKIPPED) | starts | (F.contains(label, F.lit(SKIPPED_YEAR)) & F.contains(label, F.lit(SKIPPED_NOTICE)))
+
+
+def worth_asking(unmapped: DataFrame, label: str = "label") -> DataFrame:
+    """Rows of unmapped whose label may be a field."""
+    return unmapped.where(~is_skipped(F.col(label)))

@@ -62,3 +62,19 @@ def distinct_list(c: Column) -> Column:
 def edges(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """Both directions of a relation as one distinct set of (a, b)."""
     return left.select(a, b).unionByName(right.select(a, b)).where(present(F.col(a).cast("string")) & present(F.col(b).cast("string"))).distinct()
+
+
+def stock_codes(rows: DataFrame, companies: DataFrame, name: str, code: str = "証券コード") -> DataFrame:
+    """Rows of companies that have a stock code, with it."""
+    known = companies.where(present(F.col("stock_code"))).groupBy(F.col("name_normalized").alias(name)).agg(F.max("stock_code").alias(code))
+    return rows.join(known, name)
+
+
+def prompts(snippets: DataFrame, group: list[str], number: str, parts: dict[str, str], size: int = 5, limit: int = 800, head: str = "", tail: str = "") -> DataFrame:
+    """One text for each batch of `size` snippets of a group: head, then each snippet as a block of
+    `label: text` lines with its text cut to `limit`, then tail. parts: label to column."""
+    lines = [F.concat(F.lit(f"{label}: "), F.coalesce(F.left(F.col(c).cast("string"), F.lit(limit)), F.lit(""))) for label, c in parts.items()]
+    block = F.concat_ws("\n", F.concat(F.lit("["), F.col(number).cast("string"), F.lit("]")), *lines)
+    rows = snippets.withColumn("batch", F.floor(F.col(number) / size)).groupBy(*group, "batch").agg(F.array_sort(F.collect_list(F.struct(F.col(number).alias("n"), block.alias("b")))).alias("x"))
+    text = F.concat_ws("\n\n", *([F.lit(head)] if head else []), F.array_join(F.transform("x", lambda r: r["b"]), "\n\n"), *([F.lit(tail)] if tail else []))
+    return rows.select(*group, "batch", F.size("x").alias("n_snippets"), text.alias("prompt"))

@@ -40,3 +40,18 @@ def coverage_by_field(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 def low_fields(rates: DataFrame, below: float = 0.5) -> DataFrame:
     return rates.where(F.col("fill_rate") < below).orderBy("fill_rate", "field_name")
+
+
+def stripped_rates(df: DataFrame, key: str) -> DataFrame:
+    """field, filled, total and rate (not rounded) of all columns but the key; blanks are not filled."""
+    columns = [c for c in df.columns if c != key]
+    counts = df.agg(F.count("*").alias("total"), *[F.count_if(F.trim(F.col(f"`{c}`").cast("string"), F.lit(" \t\r\n\u3000")) != "").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(columns)]))
+    return counts.where("total > 0").select(rows.alias("x"), "total").select("x.field", "x.filled", "total", (F.col("x.filled") / F.col("total")).alias("rate"))
+
+
+def report(rates: DataFrame, width: int = 20) -> DataFrame:
+    """line: field, share and a bar of each row of stripped_rates, fullest first."""
+    bar = F.round(F.col("rate") * width).cast("int")
+    line = F.concat(F.rpad("field", 24, " "), F.lpad(F.format_string("%.1f%%", F.col("rate") * 100), 7, " "), F.lit(" "), F.expr("repeat('#', _bar)"), F.expr(f"repeat('.', {width} - _bar)"), F.lit(" "), F.col("filled").cast("string"), F.lit("/"), F.col("total").cast("string"))
+    return rates.withColumn("_bar", bar).orderBy(F.desc("rate"), "field").select("field", line.alias("line"))

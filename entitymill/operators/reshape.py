@@ -64,3 +64,22 @@ def expand(df: DataFrame, struct: Column, names: list[str]) -> DataFrame:
     """Fields of a struct as columns."""
     with_s = df.withColumn("_s", struct)
     return with_s.select(*df.columns, *[F.col(f"_s.`{n}`").alias(n) for n in names])
+
+
+def ordered_columns(schema: list[str], found: list[str]) -> list[str]:
+    """Columns of a schema in its order, then the others by name."""
+    return [*schema, *sorted(set(found) - set(schema))]
+
+
+def matrix(long: DataFrame, key: str, schema: list[str]) -> DataFrame:
+    """A row for each key with a column for each name: those of the schema, then the others that
+    occur (field names: few) by name. long: key, name, value; absent values are blank."""
+    found = [r[0] for r in long.select("name").distinct().collect()]
+    columns = ordered_columns(schema, found)
+    rows = long.groupBy(key).pivot("name", columns).agg(F.max("value"))
+    return rows.na.fill("", columns)
+
+
+def grid(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Every row of df with each of a fixed list of values: no join."""
+    return df.withColumn(column, F.explode(F.array(*map(F.lit, values))))

@@ -48,11 +48,15 @@ def _grams(c: Column) -> Column:
 
 
 def containing(names: DataFrame, dim: DataFrame, id: str = "id", key: str = "name_normalized") -> DataFrame:
-    """(name, id) of the first entity (by id) whose name holds the name; names shorter than a gram
-    meet the grams' prefixes."""
+    """(name, id) of the first entity (by id) whose name holds the name. A name meets the entities
+    with its rarest gram, so a gram that all names share ("株式会") brings none together; names
+    shorter than a gram meet the grams' prefixes."""
     full = dim.select(F.col(id).alias("_id"), F.col(key).alias("_full"))
-    long = names.where(F.length("name") >= GRAM).select("name", F.expr(f"left(name, {GRAM})").alias("_g"))
     pieces = full.where(F.length("_full") >= GRAM).select("_id", "_full", F.explode(F.array_distinct(_grams(F.col("_full")))).alias("_g"))
+    often = pieces.groupBy("_g").agg(F.count("*").alias("_c"))
+    own = names.where(F.length("name") >= GRAM).select("name", F.explode(F.array_distinct(_grams(F.col("name")))).alias("_g"))
+    # a gram that no entity has says that none holds the name
+    long = own.join(often, "_g", "left").groupBy("name").agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "_g")).alias("x")).where("x.c > 0").select("name", "x._g")
     hits = long.join(pieces, "_g").where(F.contains("_full", F.col("name")))
     short = names.where((F.length("name") < GRAM) & (F.col("name") != ""))
     bits = full.select("_id", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_full"), F.lit(1))), lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM - 1)), lambda n: F.substring("_full", i, n)))))).alias("name"))

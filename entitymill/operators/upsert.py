@@ -36,9 +36,11 @@ def phone_upsert(stored: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def call_effects(calls: DataFrame, keys: list[str], pos: str) -> DataFrame:
-    """Per phone: the last status, the last memo that is not blank, and the number of calls."""
-    noted = F.when((F.col("memo").isNotNull()) & (F.col("memo") != ""), F.col(pos))
-    return calls.groupBy(*keys).agg(F.max_by("status", pos).alias("status"), F.max_by("memo", noted).alias("status_detail"), F.count("*").alias("n_calls"))
+    """Per phone: the last status that tells something, the last memo beside such a status that is not
+    blank, and the number of calls. A phone of which nothing was told has no status."""
+    told = F.when(F.col("status") != UNKNOWN, F.col(pos))
+    noted = F.when((F.col("memo").isNotNull()) & (F.col("memo") != ""), told)
+    return calls.groupBy(*keys).agg(F.max_by("status", told).alias("status"), F.max_by("memo", noted).alias("status_detail"), F.count("*").alias("n_calls"))
 
 
 def person_roles(calls: DataFrame, pos: str) -> DataFrame:

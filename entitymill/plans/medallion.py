@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +68,10 @@ def silver(spark: SparkSession, folder: str, dim: DataFrame) -> dict[str, DataFr
 def company_info(master: DataFrame, s: dict[str, DataFrame], now: dt.datetime) -> DataFrame:
     sources = {n: s[n] for n in ("company_info", "ra_company", "ra_kyujin", "mynavi", "rikunabi_company", "rikunabi_employ", "caritasu", "prtimes", "en_hyouban")}
     mails = s["emails"].where(merge.present(F.col("メールアドレス"))).groupBy("original_id").agg(merge.distinct_list(F.col("メールアドレス")).alias("企業メールアドレス"))
-    metrics = s["minkabu"].groupBy("original_id").agg(F.map_from_entries(F.collect_set(F.struct("name", "value"))).alias("financial"))
+    # a metric that came under two spellings of its name has its first value that is there, by text
+    known = s["minkabu"].where(reduce(or_, [F.col("name").startswith(k) for k in reshape.METRIC_KEYS]))
+    one = known.groupBy("original_id", "name").agg(F.coalesce(F.min(F.nullif("value", F.lit(""))), F.lit("")).alias("value"))
+    metrics = one.groupBy("original_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("financial"))
     joined = merge.join_sources(master.select("original_id", "name", "name_normalized", "stock_code"), sources).join(mails, "original_id", "left").join(metrics, "original_id", "left")
     fields = []
     for field, choices in PRIORITY.items():
@@ -75,6 +80,15 @@ def company_info(master: DataFrame, s: dict[str, DataFrame], now: dt.datetime) -
     return joined.select("original_id", F.col("name_normalized").alias("企業名"), F.nullif("stock_code", F.lit("")).alias("証券コード"), *fields, "企業メールアドレス", "financial", F.lit(now).alias("scraped_at"))
 
 
+def flat_company_info(info: DataFrame) -> DataFrame:
+    """company_info with a column for each metric and period that occurs, in the order of their names,
+    in place of the map. Their names are few: metrics by periods."""
+    names = sorted(r[0] for r in info.select(F.explode(F.map_keys("financial"))).distinct().collect())
+    at = info.columns.index("financial")
+    flat = [F.try_element_at("financial", F.lit(n)).alias(n) for n in names]
+    return info.select(*info.columns[:at], *flat, *info.columns[at + 1 :])
+
+
 def phone_person(s: dict[str, DataFrame]) -> DataFrame:
     a = s["phones"].select(F.col("id").alias("phone_id"), F.col("担当者名リレーションキー").alias("person_id"))
     b = s["persons"].select(F.col("電話番号リレーションキー").alias("phone_id"), F.col("id").alias("person_id"))
@@ -124,7 +138,7 @@ def run(spark: SparkSession, folder: str, out: str, now: dt.datetime, csv: bool
     if csv:
         for name, df in written.items():
             if name != "hr_services" and counts[name]:
-                flat = df.withColumn("financial", F.to_json("financial")) if "financial" in df.columns else df
+                flat = flat_company_info(df) if "financial" in df.columns else df
                 writers.csv_with_mark(flat, f"{out}/csv/{name}.csv")
         writers.csv_with_mark(log, f"{out}/csv/logs.csv")
     if empty:

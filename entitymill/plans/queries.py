@@ -7,53 +7,18 @@ one of a list of examples by their key, so that every row of the table goes thro
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.functions import contact, names, text
+from entitymill.functions import contact, names
 from entitymill.operators import dedupe, fuzzy, mapping, merge, pages, periods, quality, reshape, resolve, upsert
 from entitymill.plans import medallion
+from entitymill.plans.registry import ORACLES, QUERIES, pick, query, sql_pick, table
+from entitymill.scratch import new_folder as scratch
 from entitymill.sources import readers, writers
 from entitymill.streaming import jobs
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[name or f.__name__] = f
-        if sql:
-            ORACLES[name or f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
-def scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/entitymill"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def pick(examples: list[str | None], key: str) -> Column:
-    """One of the examples by a row's key."""
-    return F.element_at(F.array(*map(F.lit, examples)), (F.col(key) % len(examples) + 1).cast("int"))
-
-
-def sql_pick(examples: list[str | None], key: str) -> str:
-    quoted = ", ".join("NULL" if e is None else "'" + e.replace("'", "''") + "'" for e in examples)
-    return f"([{quoted}])[CAST({key} % {len(examples)} + 1 AS INTEGER)]"
-
-
 #: A customer's segment with gaps: blank for some, null for others.
 SQL_GAPS = "CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END"
 
@@ -267,12 +232,11 @@ def key_difference(spark, sf):
 @query("""SELECT n_name, r_name, page_id FROM nation CROSS JOIN region LEFT JOIN (
 SELECT CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) % 125 AS slot, min(page_id) AS page_id FROM pages GROUP BY 1) p ON p.slot = n_nationkey * 5 + r_regionkey""")
 def search_grid_first_match(spark, sf):
-    # the grid of two dimensions of fixed size; ranks meet it by key
-    regions = table(spark, sf, "region").agg(F.collect_list(F.struct("r_regionkey", "r_name")).alias("r"))
-    grid = table(spark, sf, "nation").withColumn("j", F.lit(1)).join(regions.withColumn("j", F.lit(1)), "j").select("n_nationkey", "n_name", F.explode("r").alias("r"))
+    regions = [r.r_regionkey for r in table(spark, sf, "region").collect()]  # 5 rows
+    grid = reshape.grid(table(spark, sf, "nation"), "r_regionkey", regions).join(table(spark, sf, "region"), "r_regionkey")
     slot = F.regexp_extract("url", "/([0-9]+)", 1).cast("long") % 125
     first = table(spark, sf, "pages").groupBy(slot.alias("slot")).agg(F.min("page_id").alias("page_id"))
-    return grid.withColumn("slot", F.col("n_nationkey") * 5 + F.col("r.r_regionkey")).join(first, "slot", "left").select("n_name", "r.r_name", "page_id")
+    return grid.withColumn("slot", F.col("n_nationkey") * 5 + F.col("r_regionkey")).join(first, "slot", "left").select("n_name", "r_name", "page_id")
 
 
 # ---------------------------------------------------------------- upserts and validation
@@ -306,9 +270,10 @@ def phone_status_transition(spark, sf):
     return upsert.phone_upsert(stored, rows)
 
 
-@query("SELECT user_id, arg_max(event_type, event_id) AS status, arg_max(CAST(value AS VARCHAR), event_id) FILTER (event_type = 'click') AS status_detail, CAST(count(*) AS BIGINT) AS n_calls FROM (SELECT user_id, event_type, event_id, event_id AS value FROM events) GROUP BY user_id")
+@query("SELECT user_id, arg_max(event_type, event_id) FILTER (event_type <> 'view') AS status, arg_max(CAST(event_id AS VARCHAR), event_id) FILTER (event_type = 'click') AS status_detail, CAST(count(*) AS BIGINT) AS n_calls FROM events GROUP BY user_id")
 def call_effects_last_write(spark, sf):
-    rows = table(spark, sf, "events").select("user_id", F.col("event_type").alias("status"), F.when(F.col("event_type") == "click", F.col("event_id").cast("string")).otherwise("").alias("memo"), "event_id")
+    status = F.when(F.col("event_type") == "view", upsert.UNKNOWN).otherwise(F.col("event_type"))
+    rows = table(spark, sf, "events").select("user_id", status.alias("status"), F.when(F.col("event_type") == "click", F.col("event_id").cast("string")).otherwise("").alias("memo"), "event_id")
     return upsert.call_effects(rows, ["user_id"], "event_id")
 
 
@@ -457,84 +422,6 @@ def export_call_logs(spark, sf):
     return counts.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "company_name", "n_lines", "n_parts", "n_suppliers")
 
 
-# ---------------------------------------------------------------- labels
-
-_ALIASES = [("本社（MAP）", "本社所在地"), ("本社所在地", "本社所在地"), ("創業/設立", "設立"), ("設立年月日", "設立"), ("資本金", "資本金"), ("従業員数", "従業員数"), ("売上高推移", "売上高"), ("URL", "企業URL"), ("Employees", "従業員数")]
-_LABELS = ["本社(MAP)", "本社所在地 【必須】", "設立年月日※西暦", "資本金（単体）", "連結従業員数", "売上高", "URL", "employees", "数", "不明", ""]
-
-
-def _aliases(spark):
-    return spark.createDataFrame([(a, c, i) for i, (a, c) in enumerate(_ALIASES)], "alias string, canonical string, pos int")
-
-
-@query()
-def label_mapping(spark, sf):
-    labels = table(spark, sf, "part").select(pick(_LABELS, "p_partkey").alias("label"))
-    return mapping.map_labels(labels, _aliases(spark))
-
-
-@query()
-def field_mapping(spark, sf):
-    rows = table(spark, sf, "events").select(F.col("user_id").alias("entity"), F.lit("m").alias("media"), pick(_LABELS, "event_id").alias("label"), F.col("event_id").cast("string").alias("value"), F.col("event_id").alias("pos"))
-    return mapping.map_fields(rows, _aliases(spark))[0]
-
-
-@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(event_id) AS first_pos FROM events GROUP BY 1")
-def unmapped_freq(spark, sf):
-    return mapping.unmapped_counts(table(spark, sf, "events"), "event_type", "event_id")
-
-
-# ---------------------------------------------------------------- cleaners
-
-_EXAMPLES: dict[str, list[str | None]] = {
-    "long_text": ["  a \n b　c ", "nan", None, "x", "  "], "short_text": [" ＡＢｃ　１２ ", "None", None, "（株）"],
-    "money": ["5億9,414万円", "1,234百万円", "100,000,000円", "1兆387億", "653万円（連結）", "3千5百万", "約100円", "0.29億円", None, "12.5"], "money_million": ["1,672,377", "-5", "▲5", None, "１２"],
-    "salary": ["653万円", "500", "653 万", "x", None], "people_count": ["1,042名（2025年）", "単独　2,568名　連結　112,551名", "11～15名", "約100名", None],
-    "ratio": ["3.5%", "４％", "x", None], "numeric_value": ["10.0時間 （2023年度実績）", "x1", "35", None], "date": ["2012年7月", "2012年", "1937年（昭和12年）8月", "7月", None],
-    "address": ["〒100-6640 東京都千代田区", "１ー２ー３タワー", "大阪−1‐2", None], "phone": ["(03)1234-5678", "09012345678", "0120-123-456", "（06）12", None], "zipcode": ["〒1000001", "１００－０００１", "12", None],
-    "url": ["http://a.example", "https://b.example/x/", "", None], "email": ["Ａ@Ｂ.ｃｏｍ", "a@b.co", "x@", None], "json": ['{"a":1}', "{bad", "", None, "[1,2]"],
-}
-_WIDE_SQL = "translate(regexp_replace(CASE WHEN x IS NULL OR x IN ('None', 'nan', 'NaN', 'NaT') THEN '' ELSE x END, '^[\\s　]+|[\\s　]+$', '', 'g'), '０１２３４５６７８９', '0123456789')"
-_N = f"regexp_replace({_WIDE_SQL}, '[,，]', '', 'g')"
-_CLEAN_SQL = {
-    "long_text": f"regexp_replace({_WIDE_SQL}, '[\\s　]+', ' ', 'g')",
-    "money_million": f"CASE WHEN regexp_full_match({_N}, '-?[0-9]+') THEN CAST(CAST({_N} AS HUGEINT) * 1000000 AS VARCHAR) ELSE '' END",
-    "salary": f"CASE WHEN regexp_full_match({_N}, '[0-9]+[\\s　]*万円?') THEN CAST(CAST(regexp_extract({_N}, '^[0-9]+') AS HUGEINT) * 10000 AS VARCHAR) WHEN regexp_full_match({_N}, '[0-9]+') THEN {_N} ELSE '' END",
-    "people_count": f"coalesce(nullif(regexp_extract({_N}, '(?:単独|単体)[：:\\s　]*([0-9]+)', 1), ''), regexp_extract({_N}, '^([0-9]+)', 1))",
-    "ratio": f"regexp_replace({_WIDE_SQL}, '[%％]', '', 'g')",
-    "numeric_value": f"regexp_extract({_WIDE_SQL}, '^([0-9]+(?:\\.[0-9]+)?)', 1)",
-    "date": f"CASE WHEN regexp_matches({_WIDE_SQL}, '^[0-9]{{4}}年[0-9]{{1,2}}月') THEN concat(left({_WIDE_SQL}, 4), '-', lpad(regexp_extract({_WIDE_SQL}, '年([0-9]{{1,2}})月', 1), 2, '0')) WHEN regexp_matches({_WIDE_SQL}, '^[0-9]{{4}}年') THEN left({_WIDE_SQL}, 4) ELSE {_WIDE_SQL} END",
-    "zipcode": f"CASE WHEN length(regexp_replace({_WIDE_SQL}, '[^0-9]', '', 'g')) = 7 THEN concat(left(regexp_replace({_WIDE_SQL}, '[^0-9]', '', 'g'), 3), '-', right(regexp_replace({_WIDE_SQL}, '[^0-9]', '', 'g'), 4)) ELSE {_WIDE_SQL} END",
-    "url": "CASE WHEN x IS NULL OR x = '' THEN '' WHEN ends_with(x, '/') THEN regexp_replace(x, '^http://', 'https://') ELSE concat(regexp_replace(x, '^http://', 'https://'), '/') END",
-}
-
-
-def _cleaner(name: str) -> None:
-    examples = _EXAMPLES[name]
-
-    def run(spark, sf):
-        return table(spark, sf, "part").select("p_partkey", text.CLEANERS[name](pick(examples, "p_partkey")).alias("cleaned"))
-
-    sql = f"SELECT p_partkey, {_CLEAN_SQL[name]} AS cleaned FROM (SELECT p_partkey, {sql_pick(examples, 'p_partkey')} AS x FROM part)" if name in _CLEAN_SQL else None
-    query(sql, f"clean_{name}")(run)
-
-
-for _name in _EXAMPLES:
-    _cleaner(_name)
-
-
-def _parser(name: str, parse: Callable[[Column], Column], examples: list[str | None]) -> None:
-    query(None, name)(lambda spark, sf: table(spark, sf, "part").select("p_partkey", parse(pick(examples, "p_partkey")).alias("p")).select("p_partkey", "p.*"))
-
-
-_parser("parse_female_ratio", text.female_ratio, ["項目 女性 役員 40.0% 管理職 7.7%", "－", None])
-_parser("parse_childcare_leave", text.childcare_leave, ["育休取得者数 0人 1人 取得対象者数 1人 1人 育休取得率 0.0% 100.0%", "育休取得率 － 50.0%", "実績なし", None])
-_parser("parse_retention", text.retention, ["2022年度 28人 2人 92.8% 2023年度 37人 0人 100.0%", "2023年度 採用実績なし", None])
-_NAMES = ["株式会社テスト", "テスト㈱", "【東証】テスト (東京)", "ＡＢＣ　株式会社", "「名」(有)", "", None]
-for _profile, _norm in names.PROFILES.items():
-    query(None, f"normalize_{_profile}_name")(lambda spark, sf, f=_norm: table(spark, sf, "customer").select("c_custkey", f(pick(_NAMES, "c_custkey")).alias("name")))
-
-
 @query("SELECT c_custkey, regexp_replace(concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), ':', c_mktsegment), '^[0-9]{2}:', '') AS region FROM customer")
 def region_code_strip(spark, sf):
     coded = F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit(":"), F.col("c_mktsegment"))
@@ -551,17 +438,6 @@ def extract_emails(spark, sf):
     return docs.select("doc_id", F.explode(contact.emails(F.col("text"))).alias("e")).select("doc_id", "e.address", "e.keyword_hint")
 
 
-@query()
-def extract_phones(spark, sf):
-    docs = table(spark, sf, "documents").where(F.col("text").rlike(r"\p{Nd}{3}"))
-    return docs.select("doc_id", F.explode(contact.phones(F.col("text"))).alias("p")).select("doc_id", "p.normalized", F.array_join("p.context_keywords", ",").alias("keywords"), "p.char_position")
-
-
-@query()
-def contact_signals(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", contact.has_signals(F.col("text")).alias("signals"))
-
-
 @query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages")
 def page_titles(spark, sf):
     return pages.titles(table(spark, sf, "pages"))
@@ -578,30 +454,6 @@ def url_ids(spark, sf):
     return readers.sitemap_ids(table(spark, sf, "pages"), "url", r"/(\d+)")
 
 
-_FIELD_PAGE = "<main><dl><dt>設立</dt><dd>2012年</dd><dt>資本金<dd>1億円</dl><table><tr><th>URL</th><td>http://a</td></tr></table></main>"
-
-
-@query()
-def structured_fields(spark, sf):
-    rows = table(spark, sf, "pages").select("page_id", F.concat(F.lit(_FIELD_PAGE), F.coalesce("html", F.lit(""))).alias("html"))
-    return pages.extract(rows, "page_id", "html", pages.fields_of, ["label", "value"])
-
-
-_LISTING = '<ul><li class="x JobListItem"><h3 class="JobTitle">t</h3><div class="grow-1"><p class="bold">甲社</p></div></li></ul><p class="company">乙社</p><div class="jobUnit"><span class="companyName">丙社</span><a class="catch">c</a><div class="term"><span class="data">26/03/06～26/03/19</span></div></div>'
-
-
-def _listing(site: str) -> None:
-    def run(spark, sf):
-        rows = table(spark, sf, "pages").select("page_id", F.concat(F.lit(_LISTING), F.coalesce("html", F.lit(""))).alias("html"))
-        return pages.extract(rows, "page_id", "html", pages.LISTINGS[site], ["企業名", "タイトル", "掲載日"])
-
-    query(None, f"listing_{site}")(run)
-
-
-for _site in pages.LISTINGS:
-    _listing(_site)
-
-
 @query()
 def fuzzy_clusters(spark, sf):
     return fuzzy.clusters(fuzzy.similar_pairs(table(spark, sf, "part").select(F.col("p_name").alias("name"))))
@@ -616,24 +468,6 @@ def search_snippets(spark, sf):
     return readers.search_snippets(rows).select("company", "snippet_id", "text")
 
 
-def _page_query(name: str, function: Callable[[str], list[tuple]], columns: list[str], extra: str, sql: str | None = None) -> None:
-    def run(spark, sf):
-        rows = table(spark, sf, "pages").select("page_id", F.concat(F.lit(extra), F.coalesce("html", F.lit(""))).alias("html"))
-        return pages.extract(rows, "page_id", "html", function, columns)
-
-    query(sql, name)(run)
-
-
-_OPENING = '<p>募集している求人<b>16</b>件</p><a href="/viewjob/1?x=1">a</a><a href="/viewjob/1/">b</a><table><tr><td><h3>給与</h3></td><td>想定年収 690万円～1,235万円</td></tr></table>'
-_METRICS = "".join(f"<table><tr><th>期</th><th>{m}</th></tr><tr><th>2024年(x)</th><td>1,100</td></tr><tr><th>2023年</th><td>1,000</td></tr></table>" for m in ("売上高", "自己資本率", "ROE", "営業CF"))
-_page_query("opening_counts", lambda p: [(n,)] if (n := pages.opening_count(p)) else [], ["n"], _OPENING, "SELECT page_id, 0 AS pos, '16件' AS n FROM pages")
-_page_query("opening_urls", lambda p: [(u,) for u in pages.opening_urls(p, "https://h")], ["url"], _OPENING, "SELECT page_id, 0 AS pos, 'https://h/viewjob/1?x=1' AS url FROM pages")
-_page_query("opening_fields", lambda p: list(pages.opening_fields(p).items()), ["label", "value"], _OPENING, "SELECT page_id, 0 AS pos, '想定年収' AS label, '690万円～1,235万円' AS value FROM pages")
-_page_query("financial_fields", lambda p: list(pages.financial_fields(p).items()), ["label", "value"], _METRICS)
-_page_query("release_fields", lambda p: list(pages.release_fields(p).items()), ["label", "value"], "<dl><dt>設立</dt><dd>2012年</dd></dl>")
-_page_query("field_text", lambda p: [(pages.field_text(p),)], ["text"], _FIELD_PAGE)
-
-
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS name, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 4 AS INTEGER) END AS priority FROM events")
 def stored_answers(spark, sf):
     key = F.col("event_id").cast("string")

@@ -76,3 +76,36 @@ def extracted(rows: DataFrame, column: str, schema: str) -> DataFrame:
     """Answers of a language model that were stored as text: code fences go, bad JSON is null."""
     bare = F.regexp_replace(F.col(column), r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")
     return rows.withColumn(column, F.from_json(bare, schema))
+
+
+def optional_csv(spark: SparkSession, path: str, columns: tuple[str, ...], sep: str = ",") -> DataFrame:
+    """The columns of a CSV file, null where it lacks one; no rows if there is no file."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    df = csv_file(spark, path, sep)
+    return df.select(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string")).alias(c) for c in columns])
+
+
+#: First parts of paths that are no company's.
+NAVIGATION = (
+    "stories", "knowhows", "companies", "feature", "categories", "recommended_stories", "privacy", "terms", "about", "contact", "law", "inquiry", "faq", "sitemap", "search",
+)
+
+
+def sitemap_slugs(urls: DataFrame, column: str, site: str) -> DataFrame:
+    """Distinct first parts of the paths below a site, encoded, but for navigation and those that
+    open with an underscore, in order."""
+    slug = F.regexp_extract(F.trim(column), "^" + site.replace(".", "\\.") + "/([^/]+)", 1)
+    rows = urls.select(slug.alias("slug")).where((F.col("slug") != "") & ~F.col("slug").startswith("_") & ~F.col("slug").isin(*NAVIGATION))
+    return rows.select(F.replace(F.url_encode("slug"), F.lit("+"), F.lit("%20")).alias("slug")).distinct().orderBy("slug")
+
+
+def answer_items(rows: DataFrame, key: str, column: str, item: str) -> DataFrame:
+    """key, pos and the fields of each item of answers that were stored as text: a JSON list, or one
+    object for a list of one. Bad JSON has no items. A field of an item with the key's name is
+    replaced by the row's key."""
+    bare = F.trim(F.regexp_replace(F.col(column), r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", ""))
+    listed = F.when(bare.startswith("["), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
+    found = rows.select(F.col(key).alias("_key"), F.posexplode(F.from_json(listed, f"array<struct<{item}>>")).alias("pos", "item")).where("item IS NOT NULL")
+    names = [f.name for f in found.schema["item"].dataType.fields if f.name != key]
+    return found.select(F.col("_key").alias(key), "pos", *[F.col(f"item.`{n}`").alias(n) for n in names]).where(" OR ".join(f"`{n}` IS NOT NULL" for n in names))

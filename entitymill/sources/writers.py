@@ -73,3 +73,33 @@ def shown(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> D
         else:
             out.append(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c))
     return df.select(*out)
+
+
+def service_files(rows: DataFrame, folder: str, service: str, name: str, pos: str) -> DataFrame:
+    """Two files of a listing: <service>_raw.csv with every row, <service>.csv with the first row of
+    each name, in the order of pos. Returns the second's rows."""
+    from entitymill.operators.dedupe import first_seen
+
+    columns = [c for c in rows.columns if c != pos]
+    csv_with_mark(rows.orderBy(pos), f"{folder}/{service}_raw.csv", columns)
+    unique = first_seen(rows.withColumn(name, F.coalesce(name, F.lit(""))), [name], pos)
+    csv_with_mark(unique.orderBy(pos), f"{folder}/{service}.csv", columns)
+    return unique
+
+
+def drop_tables(spark, paths: list[str], dry_run: bool = True, guarded: tuple[str, ...] = ("call_logs",), also_guarded: bool = False) -> dict[str, str]:
+    """What becomes of each table: dropped, would be dropped (dry run), absent, or kept since its
+    name is guarded."""
+    out = {}
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if p.getName().split(".")[0] in guarded and not also_guarded:
+            out[path] = "kept"
+        elif not fs.exists(p):
+            out[path] = "absent"
+        else:
+            out[path] = "would be dropped" if dry_run else "dropped"
+            if not dry_run:
+                fs.delete(p, True)
+    return out

@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.operators.dedupe import latest
-from entitymill.sources.readers import exists
+from entitymill.operators.dedupe import latest, not_stored
 
 
 def source(spark: SparkSession, path: str, times: tuple[str, ...] = ()) -> DataFrame:
@@ -28,23 +27,46 @@ def _finish(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def keep_latest(stream: DataFrame, keys: list[str], when: str, tie: str, table: str, checkpoint: str) -> DataFrame:
-    """Latest row per key, kept in a table: each batch is reduced to its own latest rows and meets
-    what the table holds. Versions alternate, so a batch that is run again reads what it read before."""
+def keep_latest(stream: DataFrame, keys: list[str], when: str, tie: str, table: str, checkpoint: str, buckets: int = 64) -> DataFrame:
+    """Latest row per key, kept in a table of buckets of keys. A batch is reduced to its own latest
+    rows, meets the buckets that it touches, and writes those again under its own number, so a batch
+    that is run again reads what it read before. A bucket's newest version but one is kept for that;
+    older ones go."""
     spark = stream.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    folder = lambda b, n: f"{table}/bucket={b}/version={n}"
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = latest(batch, keys, when, tie)
-        old = f"{table}/v{number - 1}"
-        if number and exists(spark, old):
-            rows = latest(spark.read.parquet(old).unionByName(rows), keys, when, tie)
-        rows.write.mode("overwrite").parquet(f"{table}/v{number}")
-        last = f"{table}/last"
-        spark.createDataFrame([(number,)], "number int").write.mode("overwrite").parquet(last)
+        rows = latest(batch, keys, when, tie).withColumn("bucket", bucket).persist()
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # at most `buckets`
+        before = {b: max([n for n in _versions(spark, f"{table}/bucket={b}") if n < number], default=None) for b in touched}
+        old = [folder(b, n) for b, n in before.items() if n is not None]
+        every = rows
+        if old:
+            every = latest(spark.read.option("basePath", table).parquet(*old).select(*rows.columns).unionByName(rows), [*keys, "bucket"], when, tie)
+        every.withColumn("version", F.lit(number)).repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket", "version").parquet(table)
+        for b, n in before.items():
+            for m in _versions(spark, f"{table}/bucket={b}"):
+                if n is not None and m < n:
+                    _delete(spark, folder(b, m))
+        rows.unpersist()
 
     _finish(stream.writeStream.foreachBatch(merge), checkpoint)
-    number = spark.read.parquet(f"{table}/last").first()[0]
-    return spark.read.parquet(f"{table}/v{number}")
+    newest = [folder(b, max(versions)) for b in range(buckets) if (versions := _versions(spark, f"{table}/bucket={b}"))]
+    if not newest:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.option("basePath", table).parquet(*newest).select(*stream.columns)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "version=" in s.getPath().getName()] if fs.exists(path) else []
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def daily(stream: DataFrame, when: str, kind: str, value: str, table: str, checkpoint: str, late: str = "2 days") -> DataFrame:
@@ -62,9 +84,45 @@ def daily(stream: DataFrame, when: str, kind: str, value: str, table: str, check
     return latest(every, ["day", kind], "batch", "batch").drop("batch")
 
 
-def first_seen(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str, late: str = "40 days") -> DataFrame:
-    """One row per key while the watermark remembers the key."""
+def first_seen(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str) -> DataFrame:
+    """The first row of each key, ever: a batch's first rows are added unless the table has their key.
+    The table is the state, so no key is forgotten; a batch that runs again replaces its own rows."""
     spark = stream.sparkSession
+
+    def add(batch: DataFrame, number: int) -> None:
+        rows = latest(batch.withColumn("_early", -F.col(when).cast("double")), keys, "_early", "_early").drop("_early")
+        stored = [f"{table}/batch={n}" for n in _numbers(spark, table) if n < number]
+        if stored:
+            rows = not_stored(rows, spark.read.parquet(*stored).select(*keys), keys)
+        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    _finish(stream.writeStream.foreachBatch(add), checkpoint)
+    return spark.read.parquet(table).select(*stream.columns)
+
+
+def _numbers(spark: SparkSession, table: str) -> list[int]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "batch=" in s.getPath().getName()) if fs.exists(path) else []
+
+
+def recent(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str, late: str = "40 days") -> DataFrame:
+    """One row per key within a span of event time: state is bounded, and a key that comes again after
+    the span is shown again."""
     rows = stream.withWatermark(when, late).dropDuplicatesWithinWatermark(keys)
     _finish(rows.writeStream.format("parquet").option("path", table), checkpoint)
-    return spark.read.parquet(table)
+    return stream.sparkSession.read.parquet(table)
+
+
+def windows(stream: DataFrame, when: str, kind: str, table: str, checkpoint: str, span: str = "1 hour", step: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """start, end, kind and n of sliding windows that the watermark has closed; later rows are left out."""
+    counts = stream.withWatermark(when, late).groupBy(F.window(when, span, step).alias("w"), F.col(kind)).agg(F.count("*").alias("n"))
+    _finish(counts.select("w.start", "w.end", kind, "n").writeStream.outputMode("append").format("parquet").option("path", table), checkpoint)
+    return stream.sparkSession.read.parquet(table)
+
+
+def sessions(stream: DataFrame, when: str, key: str, table: str, checkpoint: str, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """start, end, key and n of sessions (rows less than a gap apart) that the watermark has closed."""
+    counts = stream.withWatermark(when, late).groupBy(F.session_window(when, gap).alias("w"), F.col(key)).agg(F.count("*").alias("n"))
+    _finish(counts.select("w.start", "w.end", key, "n").writeStream.outputMode("append").format("parquet").option("path", table), checkpoint)
+    return stream.sparkSession.read.parquet(table)

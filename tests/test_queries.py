@@ -4,7 +4,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from entitymill.plans import queries as q
+from entitymill.plans import page_queries, queries, text_queries, work_queries  # noqa: F401 (they register their queries)
+from entitymill.plans import registry as q
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -15,6 +16,7 @@ def con():
     c = duckdb.connect()
     for t in TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    c.execute("SET TimeZone = 'UTC'")
     return c
 
 
