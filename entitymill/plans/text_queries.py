@@ -143,11 +143,12 @@ _WORDS = ", ".join(f"'{w}'" for w in contact.NEAR_PHONE)
 _TAIL = "concat(' 採用 TEL: 03-', lpad(CAST(doc_id % 10000 AS STRING), 4, '0'), '-', lpad(CAST(doc_id * 7 % 10000 AS STRING), 4, '0'))"
 
 
-@query(f"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, concat(coalesce(text, ''), {_TAIL}) AS t FROM documents)
+@query(f"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, concat(translate(coalesce(text, ''), '0123456789', 'xxxxxxxxxx'), {_TAIL}) AS t FROM documents)
 SELECT doc_id, concat('03-', lpad(CAST(doc_id % 10000 AS STRING), 4, '0'), '-', lpad(CAST(doc_id * 7 % 10000 AS STRING), 4, '0')) AS normalized, CAST(n + 4 AS INTEGER) AS char_position,
 array_to_string(list_filter([{_WORDS}], lambda w: contains(substring(t, greatest(n + 4 - 100, 0) + 1, n + 104 - greatest(n + 4 - 100, 0)), w)), ',') AS keywords FROM d""")
 def extract_phones(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.expr(_TAIL)))
+    # digits of the document are masked, so that the number made of its key is the only one
+    docs = table(spark, sf, "documents").withColumn("text", F.concat(F.translate(F.coalesce("text", F.lit("")), "0123456789", "x" * 10), F.expr(_TAIL)))
     return docs.select("doc_id", F.explode(contact.phones(F.col("text"))).alias("p")).select("doc_id", "p.normalized", F.array_join("p.context_keywords", ",").alias("keywords"), "p.char_position")
 
 

@@ -276,7 +276,7 @@ def field_matrix(spark, sf):
 
 @query("""WITH e AS (SELECT event_id // 50 + 1 AS page, user_id FROM events), f AS (SELECT user_id, min(page) AS m FROM e GROUP BY 1), w AS (SELECT (page + 19) // 20 * 20 AS block, count(*) AS n, count(DISTINCT page) AS p FROM e GROUP BY 1),
 n AS (SELECT (m + 19) // 20 * 20 AS block, count(*) AS k FROM f GROUP BY 1), r AS (SELECT w.block, w.n, coalesce(n.k, 0) AS n_new FROM w LEFT JOIN n USING (block) WHERE w.p = 20)
-SELECT CAST(block AS BIGINT) AS block, CAST(n AS BIGINT) AS n, CAST(n_new AS BIGINT) AS n_new, CAST(n_new AS DOUBLE) / n AS rate, block = (SELECT min(block) FROM r WHERE block >= 50 AND n_new * 20 < n) AS stop FROM r""")
+SELECT CAST(block AS BIGINT) AS block, CAST(n AS BIGINT) AS n, CAST(n_new AS BIGINT) AS n_new, CAST(n_new AS DOUBLE) / n AS rate, coalesce(block = (SELECT min(block) FROM r WHERE block >= 50 AND n_new * 20 < n), false) AS stop FROM r""")
 def new_rate_stop(spark, sf):
     rows = table(spark, sf, "events").select("user_id", (F.floor(F.col("event_id") / 50) + 1).alias("page"))
     return periods.block_rates(rows, "user_id", "page")
