@@ -1,7 +1,9 @@
 """One row for each key, in a defined order.
 
 `latest` is an aggregate with map-side combine (max_by over a struct), so a hot key is reduced before
-the shuffle and no window has to sort it. Windows remain where several rows of a key survive.
+the shuffle. Since its buffer holds structs and text, Spark runs it as a sort aggregate: rows are
+sorted by key before and after the shuffle, but what crosses it is a row for each key and task. Windows
+remain where several rows of a key survive.
 """
 
 from __future__ import annotations

@@ -55,3 +55,11 @@ def report(rates: DataFrame, width: int = 20) -> DataFrame:
     bar = F.round(F.col("rate") * width).cast("int")
     line = F.concat(F.rpad("field", 24, " "), F.lpad(F.format_string("%.1f%%", F.col("rate") * 100), 7, " "), F.lit(" "), F.expr("repeat('#', _bar)"), F.expr(f"repeat('.', {width} - _bar)"), F.lit(" "), F.col("filled").cast("string"), F.lit("/"), F.col("total").cast("string"))
     return rates.withColumn("_bar", bar).orderBy(F.desc("rate"), "field").select("field", line.alias("line"))
+
+
+def contact_summary(phones: DataFrame, people: DataFrame, mails: DataFrame, key: str) -> DataFrame:
+    """Entities with a phone, a person, a mail address, and with any of them: one pass over the three."""
+    kinds = (("with_phone", phones), ("with_person", people), ("with_email", mails))
+    rows = [df.select(key, F.lit(name).alias("kind")) for name, df in kinds]
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2]).distinct()
+    return every.agg(*[F.count_if(F.col("kind") == name).alias(name) for name, _ in kinds], F.count_distinct(key).alias("with_any"))

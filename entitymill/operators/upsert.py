@@ -62,9 +62,9 @@ def insert_absent(stored: DataFrame, rows: DataFrame, keys: list[str], pos: str)
     return not_stored(first_seen(rows, keys, pos), stored.select(*keys), keys)
 
 
-def validate(rows: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
+def validate(rows: DataFrame, checks: list[tuple[Column, Column | str]]) -> DataFrame:
     """rows with `error`: the message of the first check that fails, else null."""
-    return rows.withColumn("error", F.coalesce(*(F.when(bad, F.lit(message)) for bad, message in checks), F.lit(None).cast("string")))
+    return rows.withColumn("error", F.coalesce(*(F.when(bad, message if isinstance(message, Column) else F.lit(message)) for bad, message in checks), F.lit(None).cast("string")))
 
 
 def validate_calls(rows: DataFrame) -> DataFrame:
@@ -72,9 +72,9 @@ def validate_calls(rows: DataFrame) -> DataFrame:
     the two closed lists."""
     bare = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     checks = [(bare(c).isNull(), f"必須列 '{c}' が空です") for c in REQUIRED]
-    checks.append((call_time(bare("called_at")).isNull(), "called_at の日時形式が不正です"))
-    checks.append((~bare("phone_status").isin(*PHONE_STATUS[1:]), "phone_status が不正です"))
-    checks.append((~bare("call_result").isin(*CALL_RESULT), "call_result が不正です"))
+    said = lambda c, what, hint: F.concat(F.lit(f"{c} {what}: '"), F.coalesce(c if c == "called_at" else bare(c), F.lit("")), F.lit(f"' ({hint})"))
+    checks.append((call_time(bare("called_at")).isNull(), said("called_at", "の日時形式が不正です", "例: 2025-01-15 14:30")))
+    checks += [(~bare(c).isin(*allowed), said(c, "が不正です", f"許容値: {', '.join(allowed)}")) for c, allowed in (("phone_status", PHONE_STATUS[1:]), ("call_result", CALL_RESULT))]
     return validate(rows, checks)
 
 

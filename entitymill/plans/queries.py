@@ -60,9 +60,11 @@ def topn_per_key(spark, sf):
     return dedupe.top_n(rows, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 3)
 
 
-@query("SELECT DISTINCT regexp_replace(split_part(url, '?', 1), '/+$', '') AS url_key FROM pages")
+@query("SELECT regexp_replace(split_part(url, '?', 1), '/+$', '') AS url_key, arg_min(url, page_id) AS url, min(page_id) AS page_id FROM pages GROUP BY 1")
 def url_dedupe(spark, sf):
-    return table(spark, sf, "pages").select(dedupe.url_key(F.col("url")).alias("url_key")).distinct()
+    """The first url of each that differs in query and last slashes only."""
+    rows = table(spark, sf, "pages").select(dedupe.url_key(F.col("url")).alias("url_key"), "url", "page_id")
+    return dedupe.first_seen(rows, ["url_key"], "page_id")
 
 
 @query("""WITH s AS (SELECT event_id, event_id % 40 AS a, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS n FROM events)
@@ -306,8 +308,8 @@ def call_times(spark, sf):
 
 
 @query(f"""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN ' ' ELSE 'c' END AS company_name, {sql_pick(_TIMES, 'o_orderkey')} AS t, {sql_pick(['該当', '?', 'AI対応'], 'o_orderkey')} AS s, {sql_pick(['アポ', '', '?', None], 'o_orderkey')} AS res FROM orders)
-SELECT o_orderkey, CASE WHEN trim(company_name) = '' THEN '必須列 ''company_name'' が空です' WHEN trim(t) = '' THEN '必須列 ''called_at'' が空です' WHEN t = '15.01.2025' THEN 'called_at の日時形式が不正です'
-WHEN s = '?' THEN 'phone_status が不正です' WHEN res = '?' THEN 'call_result が不正です' END AS error FROM r""")
+SELECT o_orderkey, CASE WHEN trim(company_name) = '' THEN '必須列 ''company_name'' が空です' WHEN trim(t) = '' THEN '必須列 ''called_at'' が空です' WHEN t = '15.01.2025' THEN 'called_at の日時形式が不正です: ''15.01.2025'' (例: 2025-01-15 14:30)'
+WHEN s = '?' THEN 'phone_status が不正です: ''?'' (許容値: {', '.join(upsert.PHONE_STATUS[1:])})' WHEN res = '?' THEN 'call_result が不正です: ''?'' (許容値: {', '.join(upsert.CALL_RESULT)})' END AS error FROM r""")
 def validate_rows(spark, sf):
     o = table(spark, sf, "orders")
     rows = o.select(
@@ -361,11 +363,12 @@ def media_rates(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(found.alias("found"), F.count("*").alias("total"), F.bround(found / F.count("*"), 4).alias("rate"))
 
 
-@query("""WITH u AS (SELECT user_id, max((event_type = 'click')::INTEGER) AS a, max((event_type = 'error')::INTEGER) AS b FROM events GROUP BY 1)
-SELECT CAST(sum(a) AS BIGINT) AS with_phone, CAST(sum(b) AS BIGINT) AS with_email, CAST(count(*) FILTER (a = 1 OR b = 1) AS BIGINT) AS with_any FROM u""")
+@query("""WITH u AS (SELECT user_id, max((event_type = 'click')::INTEGER) AS a, max((event_type = 'error')::INTEGER) AS b, max((event_type = 'signup')::INTEGER) AS c FROM events GROUP BY 1)
+SELECT CAST(sum(a) AS BIGINT) AS with_phone, CAST(sum(c) AS BIGINT) AS with_person, CAST(sum(b) AS BIGINT) AS with_email, CAST(count(*) FILTER (a = 1 OR b = 1 OR c = 1) AS BIGINT) AS with_any FROM u""")
 def contact_summary(spark, sf):
-    u = table(spark, sf, "events").groupBy("user_id").agg(F.max(F.col("event_type") == "click").alias("a"), F.max(F.col("event_type") == "error").alias("b"))
-    return u.agg(F.count_if("a").alias("with_phone"), F.count_if("b").alias("with_email"), F.count_if(F.col("a") | F.col("b")).alias("with_any"))
+    e = table(spark, sf, "events")
+    phones, people, mails = (e.where(F.col("event_type") == t) for t in ("click", "signup", "error"))
+    return quality.contact_summary(phones, people, mails, "user_id")
 
 
 @query("SELECT o_custkey, CAST(count(*) AS INTEGER) AS n, string_agg(concat(o_orderkey, ':', o_orderstatus), '; ' ORDER BY o_orderkey) AS listed FROM orders GROUP BY 1")
@@ -525,12 +528,14 @@ def demo_bronze(spark: SparkSession, sf: str, folder: str) -> None:
     put(c.select(key.alias("id"), F.lit(None).cast("string").alias("original_id"), F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.concat(F.lit("㈱"), name)).alias("企業名_掲載名"), F.lit("2024年5月").alias("掲載日"), at.alias("scraped_at")), "hr_labbase")
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS original_id, concat('会社', c_custkey) AS "企業名", CASE WHEN c_custkey % 2 = 0 THEN '594140000' ELSE '100000000' END AS "資本金", '277' AS "従業員数", '小' AS "企業規模", concat('hr', c_custkey, '@x.jp') AS "企業メールアドレス" FROM customer""")
+@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS original_id, concat('会社', c_custkey) AS "企業名", CASE WHEN c_custkey % 4 = 0 THEN CAST(c_custkey AS VARCHAR) END AS "証券コード", CASE WHEN c_custkey % 2 = 0 THEN '2012-07' END AS "設立",
+CASE WHEN c_custkey % 2 = 0 THEN '594140000' ELSE '100000000' END AS "資本金", '277' AS "従業員数", '小' AS "企業規模", nullif({SQL_GAPS}, '') AS "業種_csv", '詳' AS "業種詳細", '03-1234-5678' AS "代表電話番号", '東京都' AS "本社都道府県", '3.5' AS "ROE_2024年", '1000000000' AS "売上高_2024年", concat('hr', c_custkey, '@x.jp') AS "企業メールアドレス" FROM customer""")
 def medallion_company_info(spark, sf):
     folder = scratch(spark)
     demo_bronze(spark, sf, folder)
     info = medallion.gold(spark, folder, dt.datetime(2025, 1, 1))["company_info"]
-    return info.select("original_id", "企業名", "資本金", "従業員数", "企業規模", "企業メールアドレス")
+    flat = medallion.flat_company_info(info)
+    return flat.select("original_id", "企業名", "証券コード", "設立", "資本金", "従業員数", "企業規模", "業種_csv", "業種詳細", "代表電話番号", "本社都道府県", "ROE_2024年", "売上高_2024年", "企業メールアドレス")
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS original_id, 'labbase' AS service_name, concat('㈱会社', c_custkey) AS "企業名_掲載名", '2024-05' AS "掲載日" FROM customer WHERE c_custkey % 5 <> 0""")
