@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entitymill.scratch import shared_folder
+
 #: The white space of the word rule: space and the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Lists that take the paths of scratch tables while their `scratch_tables` is open.
+_OPEN: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a local one only where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        have = spark.sparkContext.getCheckpointDir()
-        folder = have or "file://" + os.path.join(tempfile.gettempdir(), "entitymill-scratch")
+    """The shared folder named by spark.checkpoint.dir; a local one only where that is unset and driver
+    and executors are one machine's (tests)."""
+    folder = shared_folder(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return folder
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -29,17 +33,27 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     later reader, also after a lost executor, gets the same rows. Its column types are kept."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/entitymill-{tag}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialized table that nothing will read again."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/entitymill-" in f}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """Paths of the tables that are materialized inside, in order."""
+    _OPEN.append(paths := [])
+    try:
+        yield paths
+    finally:
+        _OPEN[:] = [x for x in _OPEN if x is not paths]
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete materialized tables that nothing will read again."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def word_count(text: Column) -> Column:

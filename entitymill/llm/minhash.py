@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitymill.llm.common import WORD, discard, materialize
+from entitymill.llm.common import WORD, discard, materialize, scratch_tables
 
 BANDS, ROWS = 32, 5
 #: Rounds in which each open bucket has one centre, before its open pairs are compared one by one.
@@ -209,22 +209,22 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of links (u, v): root is the smallest node it is connected with."""
     parts = max(1, -(-links.count() // UNITE))
     dealt = links.coalesce(1) if parts == 1 else links.repartition(parts)
-    now = materialize(dealt.mapInArrow(_union_find, "u binary, v binary"), "forest")
-    if parts == 1:
-        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    while True:
-        both = now.union(now.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
-        after = materialize(small, "stars")
-        done = now.count() == after.count() and after.join(now, ["u", "v"], "left_anti").isEmpty()  # both are distinct
-        discard(now)
-        now = after
-        if done:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    with scratch_tables() as made:
+        now = materialize(dealt.mapInArrow(_union_find, "u binary, v binary"), "forest")
+        while parts > 1:
+            both = now.union(now.select("v", "u"))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u")
+            small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
+            after = materialize(small, "stars")
+            done = now.count() == after.count() and after.join(now, ["u", "v"], "left_anti").isEmpty()
+            discard(links.sparkSession, made[-2:-1])
+            now = after
+            if done:
+                break
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _explode_shingles(k: int):
