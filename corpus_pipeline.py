@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitymill.llm import bpe, lines, minhash, mixing, quality
-from entitymill.llm.common import documents, materialize
+from entitymill.llm.common import discard, documents, materialize, scratch_tables
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch_tables() as made:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+        # what the stage made on its way, and what it read, is not read again
+        discard(spark, before + made[:-1])
+        before = made[-1:]
     return docs
