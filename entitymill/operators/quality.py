@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,3 +63,10 @@ def contact_summary(phones: DataFrame, people: DataFrame, mails: DataFrame, key:
     rows = [df.select(key, F.lit(name).alias("kind")) for name, df in kinds]
     every = rows[0].unionByName(rows[1]).unionByName(rows[2]).distinct()
     return every.agg(*[F.count_if(F.col("kind") == name).alias(name) for name, _ in kinds], F.count_distinct(key).alias("with_any"))
+
+
+def counted(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
+    """df and an observation that holds the measures (aggregates over its rows) once an action on it
+    has ended: counters that cost no pass of their own."""
+    seen = Observation(name)
+    return df.observe(seen, *[m.alias(n) for n, m in measures.items()]), seen

@@ -71,6 +71,7 @@ _page_query("release_lines", lambda p: pages.releases_in_text(pages.release_text
 _OPENING = '<p>募集している求人<b>{}</b>件</p><a href="/viewjob/{}?x=1">a</a><a href="/viewjob/{}/">b</a><a href="/kensaku/kyujin/{}.html">c</a><table><tr><td><h3>給与</h3></td><td>想定年収 {}万円～1,235万円</td></tr><tr><td><h3>仕事の特徴</h3></td><td><span>特{}</span><span>b</span></td></tr></table>'
 _page_query("opening_counts", lambda p: [(n,)] if (n := pages.opening_count(p)) else [], ["n"], _OPENING, [(f"concat({_ID}, '件')",)])
 _page_query("opening_urls", lambda p: [(u,) for u in pages.opening_urls(p, "https://h")], ["url"], _OPENING, [(f"concat('https://h/viewjob/', {_ID}, '?x=1')",), (f"concat('https://h/kensaku/kyujin/', {_ID}, '.html')",)])
+_page_query("first_opening_url", lambda p: [(u,) for u in pages.opening_urls(p, "https://h")[:1]], ["url"], _OPENING, [(f"concat('https://h/viewjob/', {_ID}, '?x=1')",)])
 _page_query("opening_fields", lambda p: list(pages.opening_fields(p).items()), ["label", "value"], _OPENING, [("'想定年収'", f"concat({_ID}, '万円～1,235万円')"), ("'仕事の特徴'", f"concat('特', {_ID}, ', b')")])
 _SIMILAR = "<h2>この求人に似た求人を探す</h2><div><table><tr><th>職種</th><td>営業{}</td></tr><tr><th>業界</th><td><a>IT</a> &gt; <a>Web{}</a></td></tr></table></div>"
 _SIMILAR_ROWS = [("'業界_階層1'", "'IT'"), ("'業界_階層2'", f"concat('Web', {_ID})"), *((f"'業界_階層{i}'", "''") for i in (3, 4, 5)), ("'職種_求人'", f"concat('営業', {_ID})"), ("'勤務地_求人'", "''"), ("'スキル'", "''"), ("'こだわり'", "''")]

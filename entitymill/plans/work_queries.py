@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entitymill.operators import calls, merge, periods, quality, reshape
+from entitymill.operators import calls, fuzzy, merge, periods, quality, reshape, upsert
 from entitymill.plans.registry import query, table
 from entitymill.scratch import new_folder
 from entitymill.sources import exports, readers, writers
@@ -226,6 +226,45 @@ def url_slugs(spark, sf):
     return readers.sitemap_slugs(urls, "url", "https://b.example.jp")
 
 
+@query("""SELECT CAST(k AS BIGINT) AS cluster, name FROM (SELECT dense_rank() OVER (ORDER BY p_partkey // 3) AS k, lpad(CAST(p_partkey AS STRING), 9, '0') AS name FROM part
+ WHERE p_partkey // 3 IN (SELECT p_partkey // 3 FROM part GROUP BY 1 HAVING count(*) = 3))""")
+def cluster_review_file(spark, sf):
+    """Chains of three names as clusters, written for review and read again."""
+    folder, p = new_folder(spark), table(spark, sf, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("name"))
+    whole = p.groupBy(F.floor(F.col("p_partkey") / 3).alias("g")).agg(F.array_sort(F.collect_list("name")).alias("n")).where(F.size("n") == 3)
+    pairs = whole.select(F.explode(F.array(*[F.struct(F.get("n", F.lit(i)).alias("a"), F.get("n", F.lit(i + 1)).alias("b")) for i in (0, 1)])).alias("x")).select("x.a", "x.b")
+    writers.review_file(fuzzy.clusters(pairs), f"{folder}/review.csv")
+    back = readers.csv_file(spark, f"{folder}/review.csv")
+    return back.select(F.col("クラスタID").cast("long").alias("cluster"), F.col("企業名").alias("name"))
+
+
+@query("SELECT * FROM (VALUES ('things', 'id', 'bigint'), ('things', 'name', 'string'), ('days', 'day', 'date')) t(table_name, column_name, kind)")
+def created_tables(spark, sf):
+    folder, schemas = new_folder(spark), {"things": "id BIGINT, name STRING", "days": "day DATE"}
+    suffix = folder.rsplit("/", 1)[1]
+    named = {f"{n}_{suffix}": c for n, c in schemas.items()}
+    writers.create_tables(spark, named, folder)
+    found = [(n.removesuffix(f"_{suffix}"), f.name, f.dataType.simpleString()) for n in named for f in spark.table(n).schema]
+    writers.drop_all(spark, list(named))
+    return spark.createDataFrame(found, "table_name string, column_name string, kind string")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 4 = 0 OR c_custkey % 2 = 0")
+def accumulated_output(spark, sf):
+    """The output of a run before is read again, and the new rows replace theirs or are added."""
+    path, rows = f"{new_folder(spark)}/out", table(spark, sf, "customer").select("c_custkey", "c_name")
+    writers.overwrite(rows.where("c_custkey % 2 = 0"), path)
+    return upsert.overwrite_rows(spark.read.parquet(path), rows.where("c_custkey % 4 = 0").withColumn("c_name", F.lit("new")), "c_custkey")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS calls, CAST(sum(length(event_type)) AS BIGINT) AS tokens FROM events")
+def usage_counters(spark, sf):
+    """Counters that come with the writing of a table."""
+    rows, seen = quality.counted(table(spark, sf, "events"), "usage", calls=F.count("*"), tokens=F.sum(F.length("event_type")))
+    writers.overwrite(rows, f"{new_folder(spark)}/events")
+    return spark.createDataFrame([(seen.get["calls"], seen.get["tokens"])], "calls long, tokens long")
+
+
 # ---------------------------------------------------------------- answers, prompts, reports
 
 
@@ -302,3 +341,13 @@ def stream_recent(spark, sf):
     folder = new_folder(spark)
     stream = jobs.source(spark, f"{sf}/events.parquet", ("ts",)).select("user_id", "event_type", "ts")
     return jobs.recent(stream, ["user_id", "event_type"], "ts", f"{folder}/table", f"{folder}/checkpoint").select("user_id", "event_type")
+
+
+@query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def stream_resumed(spark, sf):
+    """The job runs, more files arrive, and it goes on from its checkpoint."""
+    folder, rows = new_folder(spark), table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    for rest in (0, 1):
+        rows.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{folder}/in")
+        out = jobs.keep_latest(jobs.source(spark, f"{folder}/in"), ["user_id"], "ts", "event_id", f"{folder}/table", f"{folder}/checkpoint")
+    return out.select("user_id", "event_id", "event_type")

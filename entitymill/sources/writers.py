@@ -103,3 +103,24 @@ def drop_tables(spark, paths: list[str], dry_run: bool = True, guarded: tuple[st
             if not dry_run:
                 fs.delete(p, True)
     return out
+
+
+#: Columns of the file in which people choose names for clusters.
+REVIEW_COLUMNS = ("クラスタID", "企業名", "採用名（空欄=要判断）")
+
+
+def review_file(clusters: DataFrame, path: str) -> None:
+    """Clusters (cluster_id, name) as a CSV file in their order, with a blank column for the choice."""
+    rows = clusters.orderBy("cluster_id", "name").select("cluster_id", "name", F.lit("").alias("choice"))
+    csv_with_mark(rows.toDF(*REVIEW_COLUMNS), path)
+
+
+def create_tables(spark, schemas: dict[str, str], folder: str) -> None:
+    """Tables of the session's catalog over files below a folder, unless they are there."""
+    for name, columns in schemas.items():
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet LOCATION '{folder}/{name}'")
+
+
+def drop_all(spark, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
