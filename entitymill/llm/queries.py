@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and the pipeline, with their parameters and DuckDB SQL."""
+"""The queries op1 to op11 and the pipeline, with their parameters and DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import bpe, html, jpeg, lines, minhash, mixing, preference, quality, tokencount, vptree
+from entitymill.llm import bpe, html, jpeg, lexical, lines, minhash, mixing, preference, quality, tokencount, vptree
 from entitymill.llm.common import documents
 
 
@@ -56,6 +56,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_minhash": op2_minhash,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jpeg": op8_jpeg,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_wand": op11_wand,
 }
 
 OP9_SQL = r"""
@@ -121,4 +126,21 @@ SELECT pair_id, CAST(n AS INTEGER) AS n_prompt_turns, array_to_string(list_trans
 FROM s
 """
 
-ORACLES: dict[str, str] = {"op5_preference": OP5_SQL, "op3_vptree": OP3_SQL, "op9_line_dedup": OP9_SQL}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM d WHERE len(ts) > 0),
+i AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS ts FROM benchmark),
+q AS (SELECT i, item_id, unnest(ts) AS term FROM i),
+p AS (
+  SELECT r, doc_id, CAST(n AS BIGINT) AS n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, s GROUP BY term, docs),
+f AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY i, item_id, r, doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM f WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_wand": OP11_SQL, "op5_preference": OP5_SQL, "op3_vptree": OP3_SQL, "op9_line_dedup": OP9_SQL}
