@@ -28,13 +28,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    path = f"{scratch_dir(spark)}/entitymill-{tag}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df once to the shared folder and read it back: the lineage ends here, and every
     later reader, also after a lost executor, gets the same rows. Its column types are kept."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/entitymill-{tag}-{uuid.uuid4().hex}"
-    for paths in _OPEN:
-        paths.append(path)
+    path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
