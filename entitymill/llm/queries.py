@@ -1,4 +1,4 @@
-"""The queries op1 to op12 and the pipeline, with their parameters and DuckDB SQL."""
+"""The queries op1 to op13 and the pipeline, with their parameters and DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.llm import alignment, bpe, html, jpeg, lexical, lines, minhash, mixing, preference, quality, tokencount, vptree
+from entitymill.llm import alignment, bpe, html, jpeg, lexical, lines, minhash, mixing, preference, quality, secrets, tokencount, vptree
 from entitymill.llm.common import documents
 
 
@@ -64,6 +64,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_minhash": op2_minhash,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_wand": op11_wand,
     "op12_alignment": op12_alignment,
+    "op13_secrets": op13_secrets,
 }
 
 OP9_SQL = r"""
