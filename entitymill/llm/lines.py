@@ -73,36 +73,38 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, hot: int = HOT) ->
 
 
 def with_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
-    """docs, all columns, with `_drop`: the positions of the lines that go, null if none does."""
-    drops = dropped_lines(line_table(docs, min_chars), min_docs, hot).groupBy("doc_id", "t").agg(F.collect_set("pos").alias("_drop"))
-    drops = materialize(drops.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "_drop"), "drops")
-    same = docs["doc_id"].eqNullSafe(drops["_d"]) & (F.xxhash64(docs["text"]) == drops["_t"])
-    return docs.join(drops, same, "left").drop("_d", "_t")
+    """`row`, a struct of the columns of docs (so that no name of theirs can clash), and `dropped`, the
+    positions of the lines that go, null if none does."""
+    drops = dropped_lines(line_table(docs, min_chars), min_docs, hot).groupBy("doc_id", "t").agg(F.collect_set("pos").alias("dropped"))
+    drops = materialize(drops, "drops")
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    same = rows["row.doc_id"].eqNullSafe(drops["doc_id"]) & (F.xxhash64(rows["row.text"]) == drops["t"])
+    return rows.join(drops, same, "left").select("row", "dropped")
 
 
-def kept_text() -> Column:
+def kept_text(text: Column) -> Column:
     """The text of what stays, of rows of with_dropped. Only texts that lose lines are split."""
-    text = _text(F.col("text"))
-    kept = lambda every: F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_drop"))
+    kept = lambda every: F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("dropped"))
     # the lambda's variable holds the lines, which are split once
     joined = F.get(F.transform(F.array(F.split(text, "\n", -1)), lambda every: F.array_join(F.transform(kept(every), lambda i: F.get(every, i)), "\n")), F.lit(0))
-    return F.when(F.col("_drop").isNull(), text).otherwise(joined)
+    return F.when(F.col("dropped").isNull(), text).otherwise(joined)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, hot: int = HOT) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text."""
     rows = with_dropped(docs.select("doc_id", "text"), min_chars, min_docs, hot)
-    breaks = F.length(_text(F.col("text"))) - F.length(F.replace(_text(F.col("text")), F.lit("\n"), F.lit("")))
+    text = _text(F.col("row.text"))
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     return rows.select(
-        "doc_id",
+        "row.doc_id",
         (breaks + 1).cast("long").alias("n_lines"),
-        F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"),
-        kept_text().alias("kept_text"),
+        F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long").alias("n_dropped"),
+        kept_text(text).alias("kept_text"),
     )
 
 
 def rewrite_documents(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs with the same columns, their text deduped; a null text stays null."""
-    rows = with_dropped(docs, min_chars, min_docs)
-    new = F.when(docs["text"].isNull(), F.lit(None).cast("string")).otherwise(kept_text())
-    return rows.select(*[(new if c == "text" else F.col(c)).alias(c) for c in docs.columns])
+    """docs with the same columns, whatever their names, their text deduped; a null text stays null."""
+    rows, text = with_dropped(docs, min_chars, min_docs), F.col("row.text")
+    new = F.when(text.isNull(), F.lit(None).cast("string")).otherwise(kept_text(text))
+    return rows.select(*[(new if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -10,10 +10,12 @@ from its start when it ends; the stream is cut into blocks of as many words as a
 r of a source takes its block number r. Everything runs in the JVM.
 
 A source may hold a third of all rows: ranks and stream positions are prefix sums in two levels
-(inside buckets of bounded size, then over buckets), so no task gets a whole source.
+(inside buckets of bounded size, then over buckets), so no task gets a whole source. Buckets are by a
+hash of the whole row; rows that are alike are counted first, and numbered, which is part of the hash.
 
 Defined results: a null or empty text has size 0 and is never taken. A null source is a source,
-ordered last. A null doc_id is a document. Rows that repeat are each mixed and returned. If all
+ordered last. A null doc_id is a document, and so is each row of those that share a doc_id. Rows that
+repeat are each mixed and returned. If all
 sizes are 0, targets and taken words are 0. Other columns are not read. An empty table gives an
 empty result.
 """
@@ -79,8 +81,8 @@ def schedule(goal: DataFrame, n_slots: int) -> DataFrame:
     spans = goal.where("target > 0").select("source", lo.alias("lo"))
     last = W.orderBy("lo")
     spans = spans.withColumn("hi", F.coalesce(F.lead("lo").over(last), F.lit(2.0)))
-    # a range lookup by cells: a cell meets only the spans that reach into it
-    cells = 1024
+    # a range lookup by cells: a cell meets only the spans that reach into it, few however many there are
+    cells = max(1024, 4 * spans.count())
     cell = lambda c: F.least(F.floor(c * cells), F.lit(cells - 1))
     spans = spans.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
     slots = spark.range(n_slots).withColumnRenamed("id", "slot")
@@ -116,24 +118,32 @@ def target_words() -> Column:
     return F.ceil(F.col("target") * (1 - 1e-14))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, slot_words: int = SLOT_WORDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def row_hash(seed: int, columns: list[str]) -> Column:
+    """A hash of a row; a null is not passed over."""
+    return F.xxhash64(F.lit(seed), *(F.col(c) for c in columns), *(F.col(c).isNull() for c in columns))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, slot_words: int = SLOT_WORDS, slots: int = SLOTS, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with size, source_size and target; the schedule; the segments that slots take).
 
-    Segments: row, doc_id, source, rank, words: so many words of the document in the source's slot
-    of that rank."""
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    n_rows, words = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    goal = materialize(targets(sizes, weights, share, epochs), "targets")
+    Segments: doc_id, source, bucket, nth, rank, words: so many words of the document in the source's
+    slot of that rank. carry: columns of docs that the documents keep, of types that can be grouped."""
+    own = ["doc_id", "source", "size", "t"]
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("t"), *carry)
+    alike = materialize(rows.groupBy(*own, *carry).agg(F.count("*").alias("alike")), "sizes")
+    n_rows, words = alike.agg(F.coalesce(F.sum("alike"), F.lit(0)), F.coalesce(F.sum(F.col("alike") * F.col("size")), F.lit(0))).first()
+    goal = materialize(targets(alike.select("source", (F.col("size") * F.col("alike")).alias("size")), weights, share, epochs), "targets")
+    sizes = alike.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("alike").cast("int")))).drop("alike")
     total = share * words
     per = max(1, min(slot_words, math.ceil(total / slots)))
     plan = full_schedule(goal, per)
 
-    shuffled = F.xxhash64("doc_id", "source")
+    shuffled = row_hash(2, own + ["copy"])
     buckets = max(1, math.ceil(n_rows / BUCKET_ROWS))
-    rows = sizes.withColumn("bucket", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(buckets)))
-    rows = prefix_sum(rows, "source", "bucket", [shuffled, F.col("doc_id"), F.col("size")], "size", "start")
-    tie = W.partitionBy("source", "bucket").orderBy("start", shuffled, "doc_id", "size")
-    rows = rows.withColumn("nth", F.row_number().over(tie))
+    rows = sizes.withColumn("bucket", F.pmod(row_hash(1, own + ["copy"]), F.lit(buckets)))
+    order = [shuffled, *map(F.col, [*own, "copy", *carry])]
+    rows = prefix_sum(rows, "source", "bucket", order, "size", "start")
+    rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("source", "bucket").orderBy(*order)))
     rows = rows.join(goal.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     # the stream is read up to `epochs` times, and no further than the target
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
@@ -148,9 +158,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     return rows, plan, segments
 
 
-def mix_documents(docs: DataFrame, **how) -> DataFrame:
-    """doc_id, size, source_size, target and taken of each row of docs (doc_id, source, text)."""
-    rows, _, segments = mix(docs, **how)
+def mix_documents(docs: DataFrame, carry: tuple[str, ...] = (), **how) -> DataFrame:
+    """doc_id, size, source_size, target and taken of each row of docs (doc_id, source, text), and the
+    columns to carry."""
+    rows, _, segments = mix(docs, carry=carry, **how)
     taken = segments.groupBy(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.col("nth").alias("_n")).agg(F.sum("words").alias("words"))
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")) & (F.col("nth") == F.col("_n"))
-    return rows.join(taken, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
+    return rows.join(taken, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), *carry)
+
+
+def copy_documents(docs: DataFrame, **how) -> DataFrame:
+    """docs, all columns whatever their names, each row as often as the mix takes it: whole while words
+    are taken. Rows that are alike in every column meet as one, with the copies of all of them."""
+    kinds = dict(docs.dtypes)
+    plain = [F.to_json(F.struct(docs[f"`{c}`"])) if "map<" in kinds[c] else docs[f"`{c}`"] for c in docs.columns]
+    key = [F.xxhash64(F.lit(seed), *plain, *(c.isNull() for c in plain)).alias(f"key{seed}") for seed in (1, 2)]
+    rows = docs.select(*key, F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    taken = mix_documents(rows.select("key1", "key2", "row.doc_id", "row.source", "row.text"), carry=("key1", "key2"), **how)
+    times = F.sum(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("times")
+    copies = taken.where("taken > 0").groupBy("key1", "key2").agg(times)
+    once = rows.groupBy("key1", "key2").agg(F.first("row").alias("row")).join(copies, ["key1", "key2"])
+    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

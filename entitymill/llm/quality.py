@@ -217,16 +217,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(words, x, quality[part >= 5], part[part >= 5] == 9)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs, all columns but with the text last, and score and predicted."""
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """docs, all columns, and score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            text = batch.column("text")
-            x = np.stack([m.pooled(tokens(t.as_py())) for t in text]) if len(text) else np.zeros((0, 2 * DIM))
+            texts = batch.column(text)
+            x = np.stack([m.pooled(tokens(t.as_py())) for t in texts]) if len(texts) else np.zeros((0, 2 * DIM))
             s = m.scores(x)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*batch.schema.names, "score", "predicted"])
 
@@ -241,6 +241,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, th
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """docs, all columns, without the rows that score below the threshold."""
-    clash = {c: f"_in_{c}" for c in docs.columns if c in ("score", "predicted")}
-    scored = score(docs.withColumnsRenamed(clash), train(docs, labels, sample), threshold)
-    return scored.where("predicted = 1").drop("score", "predicted").withColumnsRenamed({v: k for k, v in clash.items()})
+    # numbered, so that no name can clash
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    scored = score(docs.toDF(*names), train(docs, labels, sample), threshold, names[docs.columns.index("text")])
+    return scored.where("predicted = 1").select(*names).toDF(*docs.columns)

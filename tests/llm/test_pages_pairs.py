@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from entitymill.llm import html, minhash, mixing, preference, vptree
+from entitymill.llm.common import materialize
 
 # ---------------------------------------------------------------- html
 
@@ -469,6 +470,43 @@ def test_pipeline(spark):
     assert Counter(map(tuple, c.run(spark, sf).collect())) == Counter(map(tuple, rows))
 
 
+def test_mixing_copies_rows(spark):
+    """Rows that share a doc_id, or have none, are copied as often as each of them is taken; so are rows alike."""
+    from collections import Counter
+
+    import math
+
+    r = random.Random(9)
+    texts = [" ".join(f"w{i}" for i in range(r.randrange(0, 60))) + f" t{n}" for n in range(200)]
+    for ids in ([None] * 200, [7] * 200, [i // 3 for i in range(200)]):
+        docs = spark.createDataFrame([(i, t, "en", r.choice(["a", "a", "b", None]), len(t)) for i, t in zip(ids, texts)], "doc_id long, text string, lang string, source string, n_chars long")
+        docs = docs.unionByName(docs.limit(4)).unionByName(docs.limit(2)).cache()
+        taken = Counter()
+        for x in mixing.mix_documents(docs.withColumn("body", F.col("text")), carry=("body",)).collect():
+            taken[x.doc_id, x.body] += math.ceil(x.taken / x.size) if x.taken else 0
+        got = Counter((x.doc_id, x.text) for x in mixing.copy_documents(docs).collect())
+        assert got == +taken and 206 < sum(got.values()) <= 412
+
+
+CLASHES = ["_d", "_t", "_drop", "_times", "_n", "_s", "_b", "row", "dropped", "key1", "size", "taken", "copy", "pos", "t", "h1", "component_id", "score", "a.b", "key"]
+
+
+def test_stages_keep_columns_with_any_names(spark):
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plain, more = docs, docs.withColumns({x: F.concat(F.lit(x), F.col("doc_id").cast("string")) for x in CLASHES})
+    for name, stage in c.STAGES[:-1]:
+        plain, more = (materialize(stage(spark, d, sf), name) for d in (plain, more))
+        assert more.columns == [*docs.columns, *CLASHES], name
+        # the classifier does not read them, and neither does any other stage
+        rows = more.collect()
+        assert sorted(tuple(r[:5]) for r in rows) == sorted(map(tuple, plain.collect())), name
+        assert all(r[x] == f"{x}{r.doc_id}" for r in rows for x in CLASHES)
+    assert stage and c.STAGES[-1][1](spark, more, sf).count() == more.count()
+
+
 def test_pipeline_stages_on_empty_documents(spark):
     import corpus_pipeline as c
 
