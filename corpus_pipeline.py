@@ -34,12 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: whole while words are taken, at least one time."""
-    taken = mixing.mix_documents(docs)
-    times = F.ceil(F.col("taken") / F.col("size"))
-    times = F.when(F.col("size") > 0, times).otherwise(F.lit(0)).cast("int")
-    copies = taken.where("taken > 0").groupBy(F.col("doc_id").alias("_d")).agg(F.max(times).alias("_times"))
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_d"))).drop("_d")
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_n", "_times")
+    return mixing.copy_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
