@@ -17,8 +17,9 @@ outweighs what differs between its pages stays too, since near copies look like
 
 What HTML itself or its class words mark as not being the article (navigation, headers, footers,
 asides, forms, adverts, notices, comments) goes on every page, so hosts of few pages are covered too,
-and so is what differs from page to page. A mark does not remove an element that holds all articles
-of its page; words of state (has-sidebar, menu-open) are no marks; the words of LOOSE are marks only
+and so is what differs from page to page. Of a header inside an article the headings stay. A mark does
+not remove an element that holds all articles of its page, unless the main element beside it holds
+more; so an article marked as a comment goes where there is another article or main. Words of state (has-sidebar, menu-open) are no marks; the words of LOOSE are marks only
 of what is mostly links or has no sentence. An article or main element, where there is one, bounds
 the text. In pages without one, lists of nothing but links are menus.
 
@@ -87,6 +88,8 @@ MARKS = frozenset(
 LOOSE = frozenset("share sharing social related recommended widget toolbar tags reply copyright disclaimer search".split())
 #: Words that make of a mark a state of the page: before it, and behind it.
 STATES, ENDS = frozenset("has with no without is not hide show".split()), frozenset("open opened closed fixed visible hidden enabled disabled active on off".split())
+#: First words of an article's classes that name its place in the site, not the element's use.
+FILED = frozenset("category tag post type status format topic author section term".split())
 WHOLE = frozenset(("html", "body", "article", "main"))
 #: Blocks whose text is prose without being a sentence.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -119,7 +122,7 @@ def _is_mark(name: str, words: frozenset[str]) -> bool:
 
 def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
     """Whether the element is marked as not the article, whether loosely so, and its class and id."""
-    if not attributes or tag in WHOLE:
+    if not attributes or (tag in WHOLE and tag != "article"):
         return tag in GONE, False, ""
     gone, loose, said = tag in GONE, False, []
     for name, *values in _ATTRIBUTE.findall(attributes):
@@ -128,7 +131,7 @@ def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             gone = gone or tag in BLOCKS
         elif name.lower() in ("class", "id", "role"):
-            names = value.split()
+            names = [n for n in value.split() if tag != "article" or re.split(r"[_\-]+", n)[0] not in FILED]
             gone = gone or any(_is_mark(n, MARKS) for n in names)
             loose = loose or any(_is_mark(n, LOOSE) for n in names)
     return gone, loose and not gone, " ".join(said)
@@ -218,8 +221,8 @@ def _settle(root: Node) -> None:
     """Decides on marks that depend on what an element holds."""
     order = list(_walk(root))
     at = {id(x): i for i, x in enumerate(order)}
-    # by element, with all it holds: articles, mains, text, linked text, whether it has a sentence
-    sums = [[x.tag == "article", x.tag == "main", 0, 0, False, 0] for x in order]
+    # by element, with all it holds: articles, mains, text, linked text, sentences (one for a text node), links
+    sums = [[x.tag == "article", x.tag == "main", 0, 0, 0, 0] for x in order]
     for i in range(len(order) - 1, -1, -1):
         node, mine = order[i], sums[i]
         for c in node.children:
@@ -228,16 +231,19 @@ def _settle(root: Node) -> None:
                 if c.gone and not theirs[0] and not theirs[1]:
                     continue
                 mine[:4] = [a + b for a, b in zip(mine, theirs[:4])]
-                mine[4] = mine[4] or theirs[4]
+                mine[4] += theirs[4]
                 mine[5] += theirs[5] + (c.tag == "a")
             elif words := c.strip():
                 mine[2] += len(words)
-                mine[4] = mine[4] or (node.tag != "a" and bool(_SENTENCE.search(words)))
+                mine[4] += node.tag != "a" and bool(_SENTENCE.search(words))
         if node.tag == "a":
             mine[3] = mine[2]
     articles, mains = sums[0][:2]
+    most = max((mine for node, mine in zip(order, sums) if node.tag == "main" and not node.gone), key=lambda x: x[2], default=None)
     for node, (a, m, size, linked, sentence, links) in zip(order, sums):
         whole = bool((a and a == articles) or (m and m == mains))
+        if whole and node.tag == "article" and not m and most and most[4] > sentence and most[2] > 2 * size:
+            whole = False  # the main element beside a marked article holds more, in sentences
         if node.gone and whole and (node.tag not in GONE or node.tag in WRAPS):
             node.gone = False
         elif node.loose and not whole:
@@ -314,6 +320,8 @@ def _blocks(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> lis
             elif item.gone or id(item) in removed:
                 if item.tag in BLOCKS:
                     flush()
+                if start.tag == "article" and id(item) not in removed:
+                    todo += reversed(_titles(item))
             elif item.tag == "br":
                 line.append(" ")
             else:
@@ -325,6 +333,20 @@ def _blocks(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> lis
     return blocks
 
 
+def _titles(node: Node) -> list[Node]:
+    """The headings of an article's own header; of any other element that goes, none."""
+    if node.tag != "header" or any(_is_mark(n, MARKS - {"header", "masthead"}) for n in node.mark.split()):
+        return []
+    found, todo = [], [node]
+    while todo:
+        item = todo.pop()
+        if item.tag in HEADINGS:
+            found.append(item)
+        else:
+            todo += [c for c in reversed(item.children) if isinstance(c, Node) and not c.gone]
+    return [x for x in found if not x.gone]
+
+
 def host(url: Column) -> Column:
     """Host of a url in small letters, without its port; "" if there is none."""
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))

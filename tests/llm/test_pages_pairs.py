@@ -60,6 +60,15 @@ def test_markup_never_leaks_and_articles_stay():
         '<div id="page-header-fixed"><main><p>keep</p></main></div>': "keep",
         '<div class="sidebar"><article>teaser</article></div><article>real</article>': "real",
         '<article><p>x.</p><div class="related-work"><p>They did it.</p></div><div class="related"><a href=1>a</a> <a href=2>b</a></div></article>': "x.\n\nThey did it.",
+        '<main><article>A</article><article class="comment">C</article></main>': "A",
+        '<main><article id="comment-3">C</article><article class="post-1 category-notices comments-open">A</article></main>': "A",
+        '<main><p>Body of the page. It is long enough.</p><article class="comment"><p>First!</p></article></main>': "Body of the page. It is long enough.",
+        '<main><article class="notice"><p>The only one.</p></article><p>Tail</p></main>': "The only one.",
+        '<main><article class="sidebar"><p>All.</p></article></main>': "All.",
+        "<header><h1>Site</h1></header><article><header><h1>Title</h1><p>by me</p></header><p>x</p></article>": "Title\n\nx",
+        '<article><header class="entry-header"><nav><h3>n</h3></nav><hgroup><h1>T <i>u</i></h1><h2>v</h2></hgroup>12 May</header><p>x</p><footer><h4>f</h4></footer></article>': "T u\n\nv\n\nx",
+        '<article><header class="ad-banner"><h1>Buy</h1></header><p>x</p></article>': "x",
+        "<main><header><h1>Site</h1></header><p>x</p></main>": "x",
         "<form id=f><div class=menu><a>m</a></div><article>in form</article></form>": "in form",
         "<head><title>t</title><p>no body tag</p>": "no body tag",
         "<ul><li><a>a</a><li><a>b</a><li><a>c</a></ul><p>text with <a>a link</a></p>": "text with a link",
