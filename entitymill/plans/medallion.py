@@ -20,7 +20,7 @@ from entitymill.functions import text
 from entitymill.functions.names import master_name
 from entitymill.operators import dedupe, merge, quality, reshape, resolve
 from entitymill.plans.config import COMPETITOR_SLOTS, MANY, PRIORITY, SERVICES, SILVER
-from entitymill.sources import readers, writers
+from entitymill.sources import commits, readers, writers
 
 
 def bronze(spark: SparkSession, folder: str, name: str, more: str = "id string, original_id string, scraped_at timestamp") -> DataFrame:
@@ -121,31 +121,49 @@ def fill_rate_log(tables: dict[str, DataFrame], run_id: str, now: dt.datetime) -
     return log.select(F.lit(run_id).alias("run_id"), F.lit(now).alias("run_at"), "*")
 
 
+def raw_tables() -> list[str]:
+    return [*(n for n in SILVER if n not in ("company_info", "hr")), "minkabu", *(f"hr_{s}" for s in SERVICES)]
+
+
 def run(spark: SparkSession, folder: str, out: str, now: dt.datetime, csv: bool = False, empty: bool = False) -> dict[str, int]:
-    """Writes all gold tables (master replaced, the rest appended) and the log, then, if asked, CSV
-    files and emptied raw tables. Returns the rows of each table."""
-    tables, counts, run_id = gold(spark, folder, now), {}, now.strftime("%Y%m%d%H%M%S")
-    written = {}
-    for name, df in tables.items():
-        if name == "company_master":
-            writers.overwrite(df, f"{out}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
-        read = spark.read.schema(df.schema).parquet(f"{out}/{name}" if name == "company_master" else f"{out}/{name}/run_id={run_id}")
-        written[name], counts[name] = read, read.count()
-    log = fill_rate_log(written, run_id, now)
-    writers.append(log, f"{out}/logs")
+    """Commits all gold tables (master replaced, the rest appended) and the log as one run, then, if
+    asked, writes CSV files and empties raw tables of what the run has read. Returns the rows of each
+    table. A run that died goes on when it runs again with its `now`; one that is done changes nothing."""
+    run_id = now.strftime("%Y%m%d%H%M%S")
+    seen = {n: commits.listed(spark, f"{folder}/{n}.parquet") for n in raw_tables()} if empty else {}
+    if commits.marked(spark, out, run_id) is None:
+        frames = {}
+        for name, df in gold(spark, folder, now).items():
+            # computed once: the commit, the log and the counts read what is staged here
+            path = f"{out}/_staged/{run_id}/{name}"
+            if not readers.exists(spark, f"{path}/_SUCCESS"):
+                df.write.mode("overwrite").parquet(path)
+            frames[name] = spark.read.schema(df.schema).parquet(path)
+        log = fill_rate_log(frames, run_id, now)
+        how = {n: ("overwrite" if n == "company_master" else "append", df) for n, df in frames.items()}
+        commits.commit_run(spark, out, run_id, how | {"logs": ("append", log)})
+        commits.Files(spark, out).delete(f"{out}/_staged/{run_id}")
+    made = commits.marked(spark, out, run_id)
+    written = {n: changed_by(spark, f"{out}/{n}", v) for n, v in made.items()}
+    counts = {n: df.count() for n, df in written.items() if n != "logs"}
     if csv:
         for name, df in written.items():
-            if name != "hr_services" and counts[name]:
-                flat = flat_company_info(df) if "financial" in df.columns else df
-                writers.csv_with_mark(flat, f"{out}/csv/{name}.csv")
-        writers.csv_with_mark(log, f"{out}/csv/logs.csv")
-    if empty:
-        writers.truncate(spark, [f"{folder}/{n}.parquet" for n in (*(n for n in SILVER if n not in ("company_info", "hr")), "minkabu", *(f"hr_{s}" for s in SERVICES))])
+            if name not in ("hr_services", "logs") and counts[name]:
+                writers.csv_with_mark(flat_company_info(df) if "financial" in df.columns else df, f"{out}/csv/{name}.csv")
+        writers.csv_with_mark(written["logs"], f"{out}/csv/logs.csv")
+    for name, files in seen.items():
+        commits.empty_read_files(spark, f"{folder}/{name}.parquet", files)
     return counts
 
 
+def changed_by(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The rows that a version of a table added."""
+    t = commits.Table(spark, path)
+    found, before = t.manifest(version), t.manifest(version - 1) if version - 1 in t.versions() else None
+    new = [f for f in found.folders if not before or f not in before.folders]
+    return spark.read.schema(t.read(version).schema).parquet(*(f"{path}/data/{f}" for f in new))
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--bronze", required=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from entitymill.operators import calls, fuzzy, merge, periods, quality, reshape, upsert
 from entitymill.plans.registry import query, table
 from entitymill.scratch import new_folder
-from entitymill.sources import exports, readers, writers
+from entitymill.sources import commits, exports, readers, writers
 from entitymill.streaming import jobs
 
 # ---------------------------------------------------------------- call import and exports
@@ -195,6 +195,38 @@ def appended_table(spark, sf):
     return spark.read.parquet(path)
 
 
+_HALF = "CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events"
+
+
+@query(f"""SELECT 'now' AS seen, {_HALF} UNION ALL SELECT 'first', {_HALF} WHERE event_id % 2 = 0 UNION ALL SELECT 'rolled back', {_HALF} WHERE event_id % 2 = 0""")
+def committed_table(spark, sf):
+    """A run that is applied twice, a writer that stages and dies, and a rollback: what readers see."""
+    t, rows = commits.Table(spark, f"{new_folder(spark)}/events"), table(spark, sf, "events").select("event_id", "event_type")
+    t.append(rows.where("event_id % 2 = 0"), "even")
+    for _ in range(2):
+        t.append(rows.where("event_id % 2 <> 0"), "odd")
+    t.stage(rows)
+    count = lambda df, name: df.agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).select(F.lit(name).alias("seen"), "n", "ids")
+    out = count(t.read(), "now").unionByName(count(t.read(1), "first"))
+    t.rollback(1)
+    return out.unionByName(count(t.read(), "rolled back"))
+
+
+@query("SELECT c_custkey, c_name, 'late' AS source FROM customer WHERE c_custkey % 3 = 1")
+def emptied_under_marker(spark, sf):
+    """Raw rows go once the run that read them is marked; rows that came meanwhile stay."""
+    folder = new_folder(spark)
+    raw, rows = f"{folder}/raw", table(spark, sf, "customer").select("c_custkey", "c_name")
+    rows.where("c_custkey % 3 <> 1").withColumn("source", F.lit("early")).write.parquet(raw)
+    seen = commits.listed(spark, raw)
+    read = spark.read.parquet(raw)
+    commits.commit_run(spark, f"{folder}/gold", "r1", {"customers": ("append", read)})
+    rows.where("c_custkey % 3 = 1").withColumn("source", F.lit("late")).write.mode("append").parquet(raw)
+    if commits.marked(spark, f"{folder}/gold", "r1"):
+        commits.empty_read_files(spark, raw, seen)
+    return spark.read.parquet(raw)
+
+
 @query("SELECT * FROM (VALUES ('a', 0), ('b', 25)) t(name, n)")
 def truncated_tables(spark, sf):
     """One table is emptied and keeps its columns; the other stays."""

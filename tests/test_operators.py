@@ -4,7 +4,7 @@ import datetime as dt
 
 from entitymill.operators import dedupe, fuzzy, mapping, merge, quality, reshape, resolve, upsert
 from entitymill.plans import medallion
-from entitymill.sources import readers, writers
+from entitymill.sources import commits, readers, writers
 from pyspark.sql import functions as F
 
 
@@ -99,10 +99,10 @@ def test_medallion_run(spark, tmp_path):
     counts = medallion.run(spark, bronze, out, now, csv=True)
     assert counts["company_info"] == counts["company_master"] == 150
     assert counts["hr_services"] == 120
-    info = spark.read.parquet(f"{out}/company_info")
+    info = commits.Table(spark, f"{out}/company_info").read()
     assert info.where("`企業規模` = '小'").count() == 150
     assert info.select("financial").first()[0] == {"売上高_2024年": "1000000000", "ROE_2024年": "3.5"}
-    log = spark.read.parquet(f"{out}/logs")
+    log = commits.Table(spark, f"{out}/logs").read()
     assert log.where("fill_rate < 0 OR fill_rate > 1").count() == 0 and log.count() > 100
     assert (tmp_path / "gold/csv/company_info.csv").exists() and not (tmp_path / "gold/csv/hr_services.csv").exists()
 
