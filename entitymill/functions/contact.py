@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entitymill.functions.text import DIGITS, WIDE_DIGITS, WS, let
+from entitymill.functions.text import DIGITS, WIDE_DIGITS, WS, WS_CHARACTERS, let
 
 #: Patterns and word lists by which contacts are found and labelled.
 D = r"\p{Nd}"
-# Separators before a number are taken whole, from their first one on: a long run of blanks is read once.
-SEPARATORS, AT_FIRST = rf"(?:[:：]|{WS})*+", rf"(?<![:：])(?<!{WS})"
-HYPHENATED = rf"(?:(?:TEL|Tel|tel|電話|℡|☎)|{AT_FIRST}){SEPARATORS}(0{D}{{1,4}}(?:[\-－‐‑–—・]|{WS}){D}{{2,4}}(?:[\-－‐‑–—・]|{WS}){D}{{3,4}})"
-BRACKETED = rf"(?:(?:TEL|Tel|電話)|{AT_FIRST}){SEPARATORS}(\(0{D}{{1,4}}\)(?:[\-－]|{WS})?{D}{{2,4}}[\-－]{D}{{3,4}})"
-#: What of the two makes them match: labels and separators before the number are optional.
+#: Numbers without what may stand before them: a label, and any separators behind it.
 HYPHENATED_CORE = rf"0{D}{{1,4}}(?:[\-－‐‑–—・]|{WS}){D}{{2,4}}(?:[\-－‐‑–—・]|{WS}){D}{{3,4}}"
 BRACKETED_CORE = rf"\(0{D}{{1,4}}\)(?:[\-－]|{WS})?{D}{{2,4}}[\-－]{D}{{3,4}}"
-FREE = rf"(0120[\-－]?{D}{{2,3}}[\-－]?{D}{{3,4}})"
+HYPHENATED_LABELS, BRACKETED_LABELS = ("TEL", "Tel", "tel", "電話", "℡", "☎"), ("TEL", "Tel", "電話")
+SEPARATORS = ":：" + WS_CHARACTERS
+FREE = rf"0120[\-－]?{D}{{2,3}}[\-－]?{D}{{3,4}}"
 MAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
+MAIL_ONCE = r"(?:(?<![a-zA-Z0-9._%+\-])|\G)[a-zA-Z0-9._%+\-]++@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 NEAR_PHONE = (
     "代表", "直通", "採用", "人事", "HR", "hr", "総務", "受付", "窓口", "問い合わせ", "お問い合わせ", "新卒", "中途", "本社", "支社", "支店", "営業所",
     "東京", "大阪", "名古屋", "福岡", "札幌", "仙台", "採用担当", "人事部",
@@ -42,32 +41,41 @@ def phone_digits(c: Column) -> Column:
     return F.when(F.length(d).isin(10, 11), d)
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """(raw, full, place) of each match in order; place counts from 0, in the rest after the match
-    before it."""
-    full = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    raw = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+def _matches(text: Column, core: str, sign: str, labels: tuple[str, ...] = ()) -> Column:
+    """(raw, place) of each match of core in order; place counts from 0, at the label or the first
+    separator before it, if there are such behind the match before. Texts without the sign, which
+    every match opens with, are not searched."""
+    none = F.array().cast("array<struct<raw:string,char_position:int>>")
+    found = F.regexp_extract_all(text, F.lit(core), F.lit(0))
 
-    def step(acc: Column, x: Column) -> Column:
-        at = F.call_function("locate", x["full"], text, acc["next"])
-        return F.struct((at + F.length(x["full"])).alias("next"), F.concat(acc["out"], F.array(F.struct(x["raw"].alias("raw"), (at - 1).alias("char_position")))).alias("out"))
+    def step(acc: Column, raw: Column) -> Column:
+        at = F.call_function("locate", raw, text, acc["next"])
+        before = F.substring(text, acc["next"], at - acc["next"]) if labels else None
 
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<raw:string,char_position:int>>").alias("out"))
-    pairs = F.zip_with(full, raw, lambda f, r: F.struct(f.alias("full"), r.alias("raw")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        def begin(bare: Column) -> Column:
+            size = F.lit(0)
+            for word in labels:
+                size = F.when(F.endswith(bare, F.lit(word)), len(word)).otherwise(size)
+            return acc["next"] + F.length(bare) - size
+
+        start = let(F.rtrim(before, F.lit(SEPARATORS)), begin) if labels else at
+        return F.struct((at + F.length(raw)).alias("next"), F.concat(acc["out"], F.array(F.struct(raw.alias("raw"), (start - 1).alias("char_position")))).alias("out"))
+
+    every = F.aggregate(found, F.struct(F.lit(1).alias("next"), none.alias("out")), step, lambda acc: acc["out"])
+    return F.when(text.isNull() | F.contains(text, F.lit(sign)), every).otherwise(none)
 
 
 def phones(text: Column, window: int = 100) -> Column:
     """Array of (raw, normalized, context_keywords, char_position), one for each normal form, in the
     order of the patterns and then of the text."""
-    every = F.concat(*(_matches(text, p) for p in (HYPHENATED, BRACKETED, FREE)))
+    every = F.concat(_matches(text, HYPHENATED_CORE, "0", HYPHENATED_LABELS), _matches(text, BRACKETED_CORE, "(0", BRACKETED_LABELS), _matches(text, FREE, "0120"))
     full = F.transform(every, lambda x: F.struct(x["raw"].alias("raw"), normal_phone(x["raw"]).alias("normalized"), x["char_position"].alias("char_position")))
     valid = F.filter(full, lambda x: F.length(F.regexp_replace(x["normalized"], "[^0-9]", "")).between(10, 12))
 
     def labelled(hit: Column) -> Column:
         begin = F.greatest(hit["char_position"] - window, F.lit(0))
         around = F.substring(text, begin + 1, F.greatest(hit["char_position"] + window - begin, F.lit(0)))
-        words = F.filter(F.array(*map(F.lit, NEAR_PHONE)), lambda w: F.contains(around, w))
+        words = let(around, lambda a: F.filter(F.array(*map(F.lit, NEAR_PHONE)), lambda w: F.contains(a, w)))
         return F.struct(hit["raw"].alias("raw"), hit["normalized"].alias("normalized"), words.alias("context_keywords"), hit["char_position"].alias("char_position"))
 
     def distinct(found: Column) -> Column:
@@ -86,8 +94,10 @@ def mail_kind(address: Column) -> Column:
 
 
 def emails(text: Column) -> Column:
-    """Array of (address, keyword_hint), distinct, in the order of the text."""
-    found = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({MAIL})"), F.lit(1)), F.lower))
+    """Array of (address, keyword_hint), distinct, in the order of the text. Runs of characters are tried
+    once, from their start or the end of the address before, and only in texts with an @."""
+    all_of = F.when(text.isNull() | F.contains(text, F.lit("@")), F.regexp_extract_all(text, F.lit(MAIL_ONCE), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = F.array_distinct(F.transform(all_of, F.lower))
     return F.transform(found, lambda a: F.struct(a.alias("address"), mail_kind(a).alias("keyword_hint")))
 
 

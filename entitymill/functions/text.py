@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 #: White space in Unicode's sense, with the four ASCII separators that Python strips as well.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+WS_CHARACTERS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 #: Texts that stand for missing; full-width digits and letters and their narrow forms.
 MISSING = ("None", "nan", "NaN", "NaT")
