@@ -4,18 +4,20 @@ Both tokenizers' tokens are laid over the bytes of space + text. Offsets where b
 into groups; an A and a B token whose byte ranges overlap are linked. A link's key packs both ids in
 64 bits (A's above B's).
 
-Counts. Each task sums the keys of its texts by `np.unique` and writes them. The partial counts are
-sorted over the whole corpus by a range partitioning; a task sums the runs of equal keys of its range
-and writes them as one sorted shard of keys and counts to the shared folder. Shards are memory-mapped
-by the tasks that read the texts again and look up their links by `searchsorted`. The highest count of
-each B id (no more than the vocabulary has) is sent along.
+Counts. Texts are encoded once; a row with its distinct keys and how often each occurs is written for
+each. A task sums the keys of its rows by `np.unique`. These partial counts are sorted over the whole
+corpus by a range partitioning; a task sums the runs of equal keys of its range and writes them as one
+sorted shard of keys and counts to the shared folder. The shards are memory-mapped by the tasks that
+read the rows again and look up their keys by `searchsorted`. The highest count of each B id (no more
+than the vocabulary has) is sent along.
 
 Shared folder. Shards are written and read through the file system that the folder's URI names; one
 that is a path of the machines (file:) is mapped, from any other the shards that a task needs are read.
 
 Units. If the vocabularies prove that none of their tokens goes on from a character that is no white
 space to a space or line feed behind it (`splits`), each such place ends a token of both, and so a
-group. What stands between, a unit, is encoded once for many occurrences. Otherwise the whole text is
+group. What stands between, a unit, is encoded once for many occurrences; units are encoded side by
+side, as one text. Otherwise the whole text is
 one unit.
 
 Defined results: a text that is null or empty, or whose joined token bytes differ from space + text
@@ -32,7 +34,6 @@ import io
 import os
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -46,11 +47,14 @@ from entitymill.llm.common import materialize, scratch_path
 from entitymill.llm.tokencount import SPACE, bounded
 
 #: Units that a task remembers, rows of a shard (about), characters that are cut into units at a time.
-UNITS, SHARD_ROWS, WINDOW = 300_000, 4_000_000, 1 << 20
+UNITS, SHARD_ROWS, WINDOW = 500_000, 4_000_000, 1 << 20
+#: Keys that a task sums at a time.
+SUMMED = 8_000_000
 BLANK = "▁"
 #: White space behind which a unit goes on.
 OTHER = SPACE.replace(" ", "").replace("\n", "")
 UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+(?:[{OTHER}][{SPACE}]*[^{SPACE}]+)*(?:[{OTHER}][{SPACE}]*\\Z)?|[{SPACE}]+")
+BLANKS = {chr(i) for i in range(0x3001) if re.match(f"[{SPACE}]", chr(i))}
 CUT = re.compile(f"(?<=[^{SPACE}])(?=[ \n])")
 
 
@@ -113,13 +117,36 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.shown = [str(i) for i in range(max(len(self.bytes_a), len(pieces)))]
+        self.ids = max(len(self.bytes_a), len(pieces))
+        self.shown = [f"{i}{c}" for c in ",|;" for i in range(self.ids)]
+        self.shown_length = np.array([len(x) for x in self.shown], np.int64)
         self.blank = self.b.piece_to_id(BLANK)
         words = [p for i, p in enumerate(pieces) if len(p) > 1 and not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
         apart = not any(re.search(f"[^{BLANK}]{BLANK}|[ \n]", p) for p in words) and pieces[self.blank] == BLANK
         #: Whether both end a token wherever a space or line feed follows a character that is no white space.
         self.splits = bounded(a) and keeps_text(self.b.serialized_model_proto()) and apart
 
+    def has_bytes(self, a: list[int], b: list[int], raw: bytes) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+
+    def encode_joined(self, units: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of all units in order. Those that end in white space, at the end of texts, are encoded
+        alone: the next unit's place would not end a token."""
+        a: list[int] = []
+        b: list[int] = []
+        at = 0
+        for i, u in enumerate([*units, " "]):
+            if u[-1] in BLANKS or i == len(units):
+                if at < i:
+                    part = "".join(units[at:i])
+                    a += self.a.encode_batch_fast([part], add_special_tokens=False)[0].ids
+                    b += self.encode_b([part])[0]
+                if i < len(units):
+                    a += self.a.encode_batch_fast([u], add_special_tokens=False)[0].ids
+                    b += self.encode_b([u])[0]
+                at = i + 1
+        return a, b
+
     def encode_b(self, units: list[str]) -> list[list[int]]:
         """B adds a space itself: a unit's own first one is left out, the added one taken back."""
         out = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
@@ -153,18 +180,6 @@ def aligner(a: str, b: str) -> Aligner:
     return Aligner(a, b)
 
 
-def _offsets(lists: list[list[int]]) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))])
-
-
-def own_bytes(ids: list[list[int]], table: list[bytes], length: np.ndarray, raw: list[bytes]) -> bool:
-    """Whether each unit's tokens have its bytes."""
-    of = _offsets(ids)
-    flat = list(chain.from_iterable(ids))
-    ends = np.concatenate([[0], np.cumsum(length[flat])]) if flat else np.zeros(1, np.int64)
-    return np.array_equal(np.diff(ends[of]), list(map(len, raw))) and b"".join(map(table.__getitem__, flat)) == b"".join(raw)
-
-
 class Aligned:
     """Alignment of units, side by side: each ends a token of A and of B, so all lie on one axis.
 
@@ -173,79 +188,154 @@ class Aligned:
 
     def __init__(self, own: Aligner, units: list[str]) -> None:
         raw = [u.encode() for u in units]
-        a = [e.ids for e in own.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = own.encode_b(units)
-        self.good = np.ones(len(units), bool)
-        # all at once; one by one only if something differs
-        if not all(own_bytes(x, *t, raw) for x, t in ((a, (own.bytes_a, own.length_a)), (b, (own.bytes_b, own.length_b)))):
-            self.good = np.array([b"".join(map(own.bytes_a.__getitem__, x)) == r == b"".join(map(own.bytes_b.__getitem__, y)) for x, y, r in zip(a, b, raw)], bool)
-            a, b, raw = ([x for x, ok in zip(t, self.good) if ok] for t in (a, b, raw))
-        self.own, of_a, of_b = own, _offsets(a), _offsets(b)
-        self.a, self.b = (np.fromiter(chain.from_iterable(x), np.int64, int(o[-1])) for x, o in ((a, of_a), (b, of_b)))
-        ends_a, ends_b = np.cumsum(own.length_a[self.a]), np.cumsum(own.length_b[self.b])
-        last = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-        every = np.union1d(ends_a, ends_b)
-        self.keys = self.a[np.searchsorted(ends_a, every)] << 32 | self.b[np.searchsorted(ends_b, every)]
-        self.common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        after = lambda x: np.concatenate([[0], np.searchsorted(x, last, side="right")])
-        self.links, self.groups = after(every), after(self.common)
-        self.n_a, self.n_b, self.n_groups = np.diff(of_a), np.diff(of_b), np.diff(self.groups)
-        self.ends_a, self.ends_b = ends_a, ends_b
+        self.own, self.good = own, np.ones(len(units), bool)
+        last = _ends(map(len, raw), len(raw))
+        a, b = own.encode_joined(units)
+        self._lay(a, b)
+        if not (self._fits(last) and own.has_bytes(a, b, b"".join(raw))):
+            # something differs: one by one
+            each_a = [e.ids for e in own.a.encode_batch_fast(units, add_special_tokens=False)]
+            each_b = own.encode_b(units)
+            self.good = np.array([own.has_bytes(x, y, r) for x, y, r in zip(each_a, each_b, raw)], bool)
+            each_a, each_b, raw = ([x for x, ok in zip(t, self.good) if ok] for t in (each_a, each_b, raw))
+            last = _ends(map(len, raw), len(raw))
+            self._lay(list(chain.from_iterable(each_a)), list(chain.from_iterable(each_b)))
+        every = np.union1d(self.ends_a, self.ends_b)
+        self.keys = self.a[np.searchsorted(self.ends_a, every)] << 32 | self.b[np.searchsorted(self.ends_b, every)]
+        self.common = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
+        upto = lambda x: np.concatenate([[0], np.searchsorted(x, last, side="right")])
+        self.links, self.groups, self.of_a, self.of_b = (upto(x) for x in (every, self.common, self.ends_a, self.ends_b))
+        self.n_a, self.n_b, self.n_groups = (np.diff(x) for x in (self.of_a, self.of_b, self.groups))
+
+    def _lay(self, a: list[int], b: list[int]) -> None:
+        self.a, self.b = np.array(a, np.int64), np.array(b, np.int64)
+        self.ends_a, self.ends_b = np.cumsum(self.own.length_a[self.a]), np.cumsum(self.own.length_b[self.b])
+
+    def _fits(self, last: np.ndarray) -> bool:
+        """Whether every unit ends a token of both."""
+        return all(len(x) and x[-1] == last[-1] and np.array_equal(x[np.searchsorted(x, last)], last) for x in (self.ends_a, self.ends_b))
 
     def shown(self) -> list[str]:
         """The groups of each good unit as text."""
-        name = self.own.shown
-        a, b = [name[i] for i in self.a.tolist()], [name[i] for i in self.b.tolist()]
-        cut_a, cut_b = (np.concatenate([[0], np.searchsorted(x, self.common, side="right")]).tolist() for x in (self.ends_a, self.ends_b))
-        parts = [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        return [";".join(parts[i:j]) for i, j in zip(self.groups.tolist(), self.groups[1:].tolist())]
+        own, n = self.own, self.own.ids
+        group_a, group_b = np.searchsorted(self.common, self.ends_a), np.searchsorted(self.common, self.ends_b)
+        # what follows a token: a comma inside its group, | behind A's last one, ; behind B's
+        code = np.concatenate([self.a + n * (self.ends_a == self.common[group_a]), self.b + 2 * n * (self.ends_b == self.common[group_b])])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        text = "".join(map(own.shown.__getitem__, code[order].tolist()))
+        ends = np.concatenate([[0], np.cumsum(own.shown_length[code[order]])])[self.of_a + self.of_b].tolist()
+        return [text[i : j - 1] for i, j in zip(ends, ends[1:])]
+
+
+def _ends(lengths, n: int) -> np.ndarray:
+    return np.cumsum(np.fromiter(lengths, np.int64, n))
+
+
+class Units:
+    """Units met so far, numbered: columns n_a, n_b, n_groups, n_links, their groups and link keys."""
+
+    def __init__(self, own: Aligner) -> None:
+        self.own = own
+        self.number: dict[str, int] = {}  # -1: not good
+        self.shown: list[str] = []
+        self.columns, self.first, self.keys = np.zeros((1024, 4), np.int64), np.zeros(1025, np.int64), np.zeros(4096, np.int64)
+
+    def add(self, units: list[str]) -> None:
+        got, n = self.own.align(units), len(self.shown)
+        places = iter(range(n, n + len(got.n_a)))
+        self.number.update((u, next(places) if ok else -1) for u, ok in zip(units, got.good.tolist()))
+        self.shown.extend(got.shown())
+        end, links = len(self.shown), int(self.first[n])
+        if end > len(self.columns):
+            self.columns, self.first = (np.concatenate([x, np.zeros((max(end, len(x)), *x.shape[1:]), np.int64)]) for x in (self.columns, self.first))
+        if links + len(got.keys) > len(self.keys):
+            self.keys = np.concatenate([self.keys, np.zeros(max(len(got.keys), len(self.keys)), np.int64)])
+        self.columns[n:end] = np.stack([got.n_a, got.n_b, got.n_groups, np.diff(got.links)], 1)
+        self.first[n + 1 : end + 1] = links + got.links[1:]
+        self.keys[links : links + len(got.keys)] = got.keys
+
+    def linked(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, how often each occurs) of the links of the units `at`."""
+        size = self.first[at + 1] - self.first[at]
+        place = np.arange(int(size.sum())) + np.repeat(self.first[at] - np.cumsum(size) + size, size)
+        return _summed(self.keys[place], np.repeat(times, size))
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    every, where = np.unique(keys, return_inverse=True)
+    return every, np.bincount(where, n, len(every)).astype(np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
-    for batch in batches:
-        for t in batch.column("text"):
-            yield t.as_py() or ""
+@functools.lru_cache(maxsize=2)
+def _known(a: str, b: str) -> list[Units]:
+    """The units that the tasks of a process have met."""
+    return [Units(aligner(a, b))]
 
 
-def _partial_counts(a: str, b: str, remembered: int):
-    """Texts to (key, n): links of a task's good texts."""
+_LINKS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, keys array<long>, times array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number, seen, keys, links = aligner(a, b), {}, [], [], []
 
-        def summed() -> pa.RecordBatch:
-            size = np.concatenate(links)
-            every, where = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.zeros(len(every), np.int64)
-            np.add.at(n, where, np.repeat(np.asarray(seen, np.int64), size))
-            return pa.RecordBatch.from_arrays([pa.array(every[n > 0]), pa.array(n[n > 0])], names=["key", "n"])
+def _link(a: str, b: str, remembered: int):
+    """(doc_id, text) to the text's numbers, groups and link keys."""
 
-        for text in _texts(batches):
-            if not text:
-                continue
-            found = Counter()
-            for units in own.windows(text):
-                found.update(units)
-            if fresh := [u for u in found if u not in number]:
-                got = own.align(fresh)
-                places = iter(range(len(seen), len(seen) + int(got.good.sum())))
-                number.update((u, next(places) if ok else -1) for u, ok in zip(fresh, got.good.tolist()))
-                seen.extend([0] * int(got.good.sum()))
-                keys.append(got.keys)
-                links.append(np.diff(got.links))
-            if min(at := [number[u] for u in found]) >= 0:
-                for i, n in zip(at, found.values()):
-                    seen[i] += n
-            if len(number) > remembered:
-                if seen:
-                    yield summed()
-                number, seen, keys, links = {}, [], [], []
-        if seen:
-            yield summed()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = aligner(a, b), _known(a, b)
+        for batch in batches:
+            rows, hashes, keys, times = [], [], [], []
+            for t in batch.column("text"):
+                numbers, digest, found = np.zeros(4, np.int64), hashlib.sha256(), []
+                text = t.as_py() or ""
+                begun, good = False, bool(text)
+                for units in own.windows(text) if text else ():
+                    if len(known[0].number) > remembered:
+                        known[0] = Units(own)
+                    met = known[0]
+                    if fresh := [u for u in dict.fromkeys(units) if u not in met.number]:
+                        met.add(fresh)
+                    at = np.fromiter(map(met.number.__getitem__, units), np.int64, len(units))
+                    if at.min() < 0:
+                        good = False
+                        break
+                    digest.update(((";" if begun else "") + ";".join(map(met.shown.__getitem__, at.tolist()))).encode())
+                    begun = True
+                    distinct, often = np.unique(at, return_counts=True)
+                    numbers += often @ met.columns[distinct]
+                    found.append(met.linked(distinct, often))
+                if not good:
+                    numbers, found = np.zeros(4, np.int64), []
+                both = found[0] if len(found) == 1 else _summed(*map(np.concatenate, zip(*found))) if found else (np.empty(0, np.int64),) * 2
+                rows.append(numbers)
+                hashes.append(digest.hexdigest() if good else "")
+                keys.append(both[0])
+                times.append(both[1])
+            numbers = np.array(rows, np.int64).reshape(-1, 4)
+            lists = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in v])]), pa.int32()), np.concatenate([np.empty(0, np.int64), *v])) for v in (keys, times))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(numbers[:, i]) for i in range(4)), pa.array(hashes, pa.string()), *lists], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times"])
 
     return run
 
 
+def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (keys, times) to (key, n): the sums of a task."""
+    held, size = [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return _summed(*map(np.concatenate, zip(*held)))
+
+    for batch in batches:
+        keys, n = (batch.column(c).flatten().to_numpy() for c in ("keys", "times"))
+        held.append(_summed(keys, n))
+        size += len(held[-1][0])
+        if size > SUMMED:
+            held = [merged()]
+            size = len(held[0][0])
+            if size > SUMMED // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["key", "n"])
+                held, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "n"])
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
@@ -314,71 +404,32 @@ def look_up(keys: np.ndarray, shards: list[tuple[int, str]]) -> np.ndarray:
     return out[back]
 
 
-RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-
+def _best(sent):
+    """Rows of _link to the links that are their B id's most frequent, and the sum of all counts."""
 
-def _describe(a: str, b: str, sent, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (shards, best) = aligner(a, b), sent.value
-        number: dict[str, int] = {}
-        shown: list[str] = []
-        parts: list[np.ndarray] = []  # rows of n_a, n_b, n_groups, n_links, n_best, count_sum
-
-        def add(fresh: list[str]) -> None:
-            got = own.align(fresh)
-            counts = look_up(got.keys, shards) if len(got.keys) and shards else np.zeros(len(got.keys), np.int64)
-            # the running sums end at a unit's last link
-            over = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[got.links])
-            places = iter(range(len(shown), len(shown) + len(got.n_a)))
-            number.update((u, next(places) if ok else -1) for u, ok in zip(fresh, got.good.tolist()))
-            shown.extend(got.shown())
-            parts.append(np.stack([got.n_a, got.n_b, got.n_groups, np.diff(got.links), over(counts == best[got.keys & 0xFFFFFFFF]), over(counts)], 1))
-
+        shards, best = sent.value
         for batch in batches:
-            rows, hashes = [], []
-            for t in batch.column("text"):
-                total, digest, text = np.zeros(6, np.int64), hashlib.sha256(), t.as_py() or ""
-                good, begun = bool(text), False
-                for units in own.windows(text) if text else ():
-                    if len(number) > remembered:
-                        number.clear()
-                        shown.clear()
-                        parts.clear()
-                    if fresh := [u for u in dict.fromkeys(units) if u not in number]:
-                        add(fresh)
-                    at = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
-                    if at.min() < 0:
-                        good = False
-                        break
-                    if len(parts) > 1:
-                        # doubling keeps the copies few
-                        while len(parts) > 1 and len(parts[-2]) <= 2 * len(parts[-1]):
-                            parts[-2:] = [np.concatenate(parts[-2:])]
-                    total += _sums(parts, at)
-                    digest.update(((";" if begun else "") + ";".join(map(shown.__getitem__, at.tolist()))).encode())
-                    begun = True
-                rows.append(total if good else np.zeros(6, np.int64))
-                hashes.append(digest.hexdigest() if good else "")
-            numbers = np.array(rows, np.int64).reshape(-1, 6)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(numbers[:, i]) for i in range(6)), pa.array(hashes, pa.string())], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+            keys, times = (batch.column(c).flatten().to_numpy() for c in ("keys", "times"))
+            row = np.repeat(np.arange(batch.num_rows), batch.column("keys").value_lengths().to_numpy())
+            counts = look_up(keys, shards) if len(keys) else keys
+            n_best, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            np.add.at(n_best, row, times * (counts == best[keys & 0xFFFFFFFF]))
+            np.add.at(total, row, times * counts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _OWN), pa.array(n_best), pa.array(total), batch.column("groups_sha256")], names=[*_OWN, "n_best", "count_sum", "groups_sha256"])
 
     return run
 
 
-def _sums(parts: list[np.ndarray], at: np.ndarray) -> np.ndarray:
-    """The sum of the rows `at` of parts, one behind the other."""
-    out, first = np.zeros(6, np.int64), 0
-    for part in parts:
-        mine = at[(at >= first) & (at < first + len(part))] - first if len(parts) > 1 else at
-        out += part[mine].sum(0)
-        first += len(part)
-    return out
+_OWN = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
+RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
 def align_documents(docs: DataFrame, a: str, b: str, *, remembered: int = UNITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each row of docs."""
-    spark = docs.sparkSession
-    partial = materialize(docs.select("text").mapInArrow(_partial_counts(a, b, remembered), "key long, n long"), "pairs")
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    rows = materialize(docs.select("doc_id", "text").mapInArrow(_link(a, b, remembered), f"doc_id {kind}, {_LINKS}"), "links")
+    partial = materialize(rows.select("keys", "times").mapInArrow(_partial_counts, "key long, n long"), "pairs")
     shards = count_shards(partial, shard_rows)
     # as many rows as shards, and as B has tokens
     places = sorted((r["first"], r["path"]) for r in shards.select("first", "path").collect())
@@ -387,8 +438,7 @@ def align_documents(docs: DataFrame, a: str, b: str, *, remembered: int = UNITS,
     for r in high.collect():
         best[r["ids"]] = r["most"]
     sent = spark.sparkContext.broadcast((places, best))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_describe(a, b, sent, remembered), f"doc_id {kind}, {RESULT}")
+    return rows.mapInArrow(_best(sent), f"doc_id {kind}, {RESULT}")
 
 
 def token_groups(docs: DataFrame, a: str, b: str) -> DataFrame:

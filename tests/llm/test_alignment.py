@@ -111,6 +111,7 @@ def test_units_and_windows(brute, monkeypatch):
             t = text(40, seed)
             units = [u for w in own.windows(t) for u in w]
             assert "".join(units) == " " + t
+            assert own.align([u for u in units if u.isspace()] * 3).good.all()
             got = own.align(units)
             links, groups, n_a, n_b = brute.links(t)
             assert got.good.all() and ";".join(got.shown()) == ";".join(groups)
