@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from entitymill.operators import resolve
 from entitymill.operators.merge import present
 from entitymill.operators.upsert import UNKNOWN, call_time, person_roles
+from entitymill.scratch import written
 
 #: Sources of numbers and persons that an import adds.
 CALLED, FOUND_BY_CALL = "架電", "架電判明"
@@ -52,11 +53,12 @@ def import_calls(calls: DataFrame, companies: DataFrame, reps: DataFrame, produc
 
     Calls of unknown companies are counted as skipped. Times are read as those of `zone`."""
     found = resolve.by_prefix(calls.select(F.col("company_name").alias("name")).where(present(F.col("name"))).distinct(), companies)
-    rows = calls.join(found.select(F.col("name").alias("company_name"), F.col("id").alias("company_id")), "company_name", "left")
+    # read by each of the branches below
+    rows = written(calls.join(found.select(F.col("name").alias("company_name"), F.col("id").alias("company_id")), "company_name", "left"))
     counts = rows.agg(F.count("company_id").alias("success"), F.count_if(F.col("company_id").isNull()).alias("skipped"))
     rows = rows.where("company_id IS NOT NULL")
 
-    reps_after = _with_missing(reps, rows.select(F.col("sales_rep_name").alias("name")).distinct(), ["name"], "rep")
+    reps_after = written(_with_missing(reps, rows.select(F.col("sales_rep_name").alias("name")).distinct(), ["name"], "rep"))
 
     # numbers: called ones and, behind each, the one that the call found; the first sight names the source
     called = rows.select("company_id", F.col("phone_number").alias("number"), F.struct("pos", F.lit(0).alias("i")).alias("at"), F.lit(CALLED).alias("source"))
@@ -66,7 +68,7 @@ def import_calls(calls: DataFrame, companies: DataFrame, reps: DataFrame, produc
     told = F.when(F.col("phone_status") != UNKNOWN, F.col("pos"))
     noted = F.when(present(F.col("phone_status_memo")), told)
     last = rows.groupBy("company_id", F.col("phone_number").alias("number")).agg(F.max_by("phone_status", told).alias("_s"), F.max_by("phone_status_memo", noted).alias("_d"))
-    phones_after = known.join(last, ["company_id", "number"], "left").withColumns({"status": F.coalesce("_s", "status"), "status_detail": F.coalesce("_d", "status_detail")}).drop("_s", "_d")
+    phones_after = written(known.join(last, ["company_id", "number"], "left").withColumns({"status": F.coalesce("_s", "status"), "status_detail": F.coalesce("_d", "status_detail")}).drop("_s", "_d"))
 
     roles = person_roles(rows.withColumnRenamed("company_id", "company"), "pos").select(F.col("company").alias("company_id"), "name", F.col("role").alias("_role"))
     people = _with_missing(persons, roles.select("company_id", "name", F.lit(FOUND_BY_CALL).alias("source")), ["company_id", "name"], "person")

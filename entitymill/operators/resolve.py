@@ -1,9 +1,10 @@
 """From names to entity ids, by stages; each stage works on what the ones before left.
 
-Exact and normalised stages are equi-joins. Prefix and substring stages are equi-joins too: names
-are cut into grams, so that only dimension rows that share a gram with a name meet it. The grams of
-the dimension are those at a prefix's length or of three characters anywhere; no stage compares
-every name with every entity.
+Exact and normalised stages are equi-joins. The first entity that starts with a name is the name's
+successor in sorted order. The entities that hold a name are those with a suffix that starts with it:
+one range of the sorted suffixes, whose smallest id comes from block minima. So no name meets more than
+one entity in the prefix stage, or a few hundred blocks in the other, however many match it; no stage
+compares every name with every entity.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRAM = 3
+from entitymill.operators.ordered import places, range_minima, successors
+from entitymill.scratch import written
 
 
 def exact(names: DataFrame, dim: DataFrame, name: str = "name", key: str = "name_normalized", id: str = "id") -> DataFrame:
@@ -33,35 +35,27 @@ def cascade(names: DataFrame, dim: DataFrame, norm: Callable[[Column], Column],
 
 def by_prefix(names: DataFrame, dim: DataFrame, id: str = "id", key: str = "name_normalized") -> DataFrame:
     """Exact, else an entity whose name starts with the name: the first by name, then id."""
-    found = exact(names, dim, key=key, id=id)
-    rest = found.where(F.col("id").isNull() & (F.col("name") != "")).select("name", F.length("name").alias("_len"))
-    lengths = rest.select("_len").distinct()
-    # a prefix meets only the dimension's prefixes of its own length and characters
-    cut = dim.select(F.col(id).alias("_id"), F.col(key).alias("_full"), F.explode(F.sequence(F.lit(1), F.greatest(F.length(key), F.lit(1)))).alias("_len")).join(lengths, "_len")
-    cut = cut.withColumn("name", F.expr("left(_full, _len)"))
-    best = rest.join(cut, ["name", "_len"]).groupBy("name").agg(F.min(F.struct("_full", "_id"))["_id"].alias("_id"))
+    by = dim.groupBy(F.col(key).alias("full")).agg(F.min(id).alias("id")).where("full IS NOT NULL")
+    found = written(names.join(by, F.col("name") == F.col("full"), "left").select("name", "id"))
+    rest = found.where(F.col("id").isNull() & (F.col("name") != "")).select("name", F.col("name").cast("binary").alias("at"))
+    near = successors(by.select("full", F.col("id").alias("first"), F.col("full").cast("binary").alias("at")), rest, "at")
+    best = near.where(F.startswith(F.col("next.full"), F.col("name"))).select("name", F.col("next.first").alias("_id"))
     return found.join(best, "name", "left").select("name", F.coalesce("id", "_id").alias("id"))
 
 
-def _grams(c: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(c, i, F.lit(GRAM)))
-
-
 def containing(names: DataFrame, dim: DataFrame, id: str = "id", key: str = "name_normalized") -> DataFrame:
-    """(name, id) of the first entity (by id) whose name holds the name. A name meets the entities
-    with its rarest gram, so a gram that all names share ("株式会") brings none together; names
-    shorter than a gram meet the grams' prefixes."""
-    full = dim.select(F.col(id).alias("_id"), F.col(key).alias("_full"))
-    pieces = full.where(F.length("_full") >= GRAM).select("_id", "_full", F.explode(F.array_distinct(_grams(F.col("_full")))).alias("_g"))
-    often = pieces.groupBy("_g").agg(F.count("*").alias("_c"))
-    own = names.where(F.length("name") >= GRAM).select("name", F.explode(F.array_distinct(_grams(F.col("name")))).alias("_g"))
-    # a gram that no entity has says that none holds the name
-    long = own.join(often, "_g", "left").groupBy("name").agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "_g")).alias("x")).where("x.c > 0").select("name", "x._g")
-    hits = long.join(pieces, "_g").where(F.contains("_full", F.col("name")))
-    short = names.where((F.length("name") < GRAM) & (F.col("name") != ""))
-    bits = full.select("_id", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_full"), F.lit(1))), lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM - 1)), lambda n: F.substring("_full", i, n)))))).alias("name"))
-    every = hits.select("name", "_id").unionByName(short.join(bits, "name").select("name", "_id"))
-    return every.groupBy("name").agg(F.min("_id").alias("id"))
+    """(name, id) of the first entity (by id) whose name holds the name."""
+    asked = names.where("name <> ''").select("name").distinct()
+    # no suffix is needed beyond the longest name that is asked for
+    longest = asked.agg(F.coalesce(F.max(F.length("name")), F.lit(0))).first()[0]
+    cut = F.transform(F.sequence(F.lit(1), F.length(key)), lambda i: F.substring(F.col(key), i, F.lit(longest)))
+    full = dim.where(F.length(key) > 0).select(F.col(id).alias("id"), F.explode(F.array_distinct(cut)).alias("suffix"))
+    keys = full.groupBy("suffix").agg(F.min("id").alias("id")).select(F.col("suffix").cast("binary").alias("at"), "id")
+    # a name's range ends below the byte that no text has
+    ends = asked.select("name", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("name").cast("binary").alias("at")), F.struct(F.lit(1).alias("end"), F.concat(F.col("name").cast("binary"), F.unhex(F.lit("FF"))).alias("at")))).alias("x"))
+    placed, probes = places(keys, ends.select("name", "x.end", "x.at"), "at")
+    ranges = probes.groupBy("name").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high")
+    return range_minima(placed, ranges, "id", ["name"])
 
 
 def three_stages(names: DataFrame, dim: DataFrame, norm: Callable[[Column], Column], id: str = "id", key: str = "name_normalized") -> DataFrame:
