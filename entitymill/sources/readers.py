@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entitymill.sources import csv_split
+
 COMPANY_COLUMNS = ("企業名", "本社都道府県", "代表者名", "従業員数", "企業規模", "業種", "業種詳細", "代表電話番号")
 
 
@@ -18,8 +20,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def csv_file(spark: SparkSession, path: str, sep: str = ",", header: bool = True, columns: tuple[str, ...] = (), encoding: str = "UTF-8") -> DataFrame:
     """All columns as text, and row_no: the record's number in its file, from 2 with a header, else 1.
-    A record may span lines; a byte order mark is dropped. A file is one partition, so numbers are
-    those of its records in order."""
+    A record may span lines; a byte order mark is dropped. A file in UTF-8 is read by a task for each of
+    its splits; in another encoding by one task, so that numbers are those of its records in order."""
+    if encoding.upper().replace("-", "") == "UTF8":
+        return csv_split.split_csv_file(spark, path, sep, header, columns)
+    return whole_csv_file(spark, path, sep, header, columns, encoding)
+
+
+def whole_csv_file(spark: SparkSession, path: str, sep: str = ",", header: bool = True, columns: tuple[str, ...] = (), encoding: str = "UTF-8") -> DataFrame:
+    """The same by Spark's own reader of records that span lines: a file is one partition."""
     reader = spark.read.option("sep", sep).option("multiLine", True).option("encoding", encoding).option("escape", '"').option("header", header)
     df = reader.schema(", ".join(f"`{c}` string" for c in columns)).csv(path) if columns and not header else reader.csv(path)
     first = 2 if header else 1

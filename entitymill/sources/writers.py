@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entitymill.sources import csv_split
 from entitymill.sources.readers import exists
 
 
@@ -35,23 +36,8 @@ def truncate(spark, paths: list[str]) -> dict[str, str]:
 
 
 def csv_with_mark(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """One CSV file that opens with a byte order mark, header also without rows; nulls are blank.
-    For exports that people open: all rows go through one task and none through the driver's heap."""
-    spark, part = df.sparkSession, f"{path}.part"
-    df.select(*(columns or df.columns)).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(part)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    source, target = jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    out = fs.create(target, True)
-    out.write(bytearray(b"\xef\xbb\xbf"))
-    for status in fs.listStatus(source):
-        if status.getPath().getName().startswith("part-"):
-            stream = fs.open(status.getPath())
-            jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
-            stream.close()
-    out.close()
-    fs.delete(source, True)
+    """One CSV file that opens with a byte order mark, header also without rows; nulls are blank."""
+    csv_split.write_one_csv(df, path, columns)
 
 
 def shown_time(column: str) -> F.Column:
