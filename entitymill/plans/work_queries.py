@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entitymill.operators import calls, fuzzy, merge, periods, quality, reshape, upsert
+from entitymill.plans import call_import
 from entitymill.plans.registry import query, table
 from entitymill.scratch import new_folder
 from entitymill.sources import commits, exports, readers, writers
@@ -155,6 +156,20 @@ def csv_errors(spark, sf):
     return readers.checked_csv(spark, f"{folder}/bad.csv", ("r_name", "電話番号", "企業名"))[1].select(F.col("row").cast("int").alias("row"), "message")
 
 
+@query("""WITH o AS (SELECT CAST(row_number() OVER (ORDER BY o_orderkey) + 1 AS BIGINT) AS row, o_orderkey % 5 AS k, o_orderkey AS id FROM orders)
+SELECT row, CASE k WHEN 0 THEN 'phone_status が不正です: ''謎'' (許容値: 該当, 使われてない, AI対応, 別会社・別拠点・別事業部)' WHEN 1 THEN concat('called_at の日時形式が不正です: ''', id, ''' (例: 2025-01-15 14:30)') ELSE '必須列 ''company_name'' が空です' END AS message FROM o WHERE k < 3""")
+def call_file_errors(spark, sf):
+    """The error file of a call import, written and read again: a message for each row that fails."""
+    folder, k = new_folder(spark), F.col("o_orderkey") % 5
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(k != 2, "会社").otherwise(" ").alias("company_name"), F.lit("rep").alias("sales_rep_name"),
+        F.when(k == 1, F.col("o_orderkey").cast("string")).otherwise("2025/1/15").alias("called_at"), F.lit("03-1").alias("phone_number"), F.when(k == 0, "謎").otherwise("該当").alias("phone_status"), F.lit("a\nb").alias("notes"),
+    )
+    writers.csv_with_mark(rows.orderBy("o_orderkey"), f"{folder}/calls.csv", rows.columns[1:])
+    writers.csv_with_mark(call_import.read_calls(spark, f"{folder}/calls.csv")[1].orderBy("row"), f"{folder}/errors.csv")
+    return readers.csv_file(spark, f"{folder}/errors.csv").select(F.col("row").cast("long").alias("row"), "message")
+
+
 @query("SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'labbase' ELSE 'bizreach' END AS service, c_name AS \"企業名\" FROM customer WHERE c_nationkey < 10")
 def service_csv_union(spark, sf):
     """Files of the services that have one; the third has none."""
