@@ -371,16 +371,38 @@ def new_rate_stop(spark, sf):
 # ---------------------------------------------------------------- late data
 
 
-@query()
+_LAST = "(SELECT epoch_us(max(ts)) - 7200000000 FROM events)"  # where the watermark is behind the only batch
+
+
+@query(f"""WITH e AS (SELECT event_type, unnest([0, 1]) AS k, epoch_us(ts) // 1800000000 * 1800000000 AS w FROM events), s AS (SELECT event_type, w - k * 1800000000 AS s FROM e)
+SELECT make_timestamp(s) AS "start", make_timestamp(s + 3600000000) AS "end", event_type, CAST(count(*) AS BIGINT) AS n FROM s WHERE s + 3600000000 <= {_LAST} GROUP BY s, event_type""")
 def stream_windows(spark, sf):
     folder = new_folder(spark)
-    return jobs.windows(jobs.source(spark, f"{sf}/events.parquet", ("ts",)), "ts", "event_type", f"{folder}/table", f"{folder}/checkpoint")
+    rows = jobs.windows(jobs.source(spark, f"{sf}/events.parquet", ("ts",)), "ts", "event_type", f"{folder}/table", f"{folder}/checkpoint")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
-@query()
+@query(f"""WITH e AS (SELECT user_id, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+g AS (SELECT user_id, t, sum(CASE WHEN p IS NULL OR t - p > 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS g FROM e)
+SELECT make_timestamp(min(t)) AS "start", make_timestamp(max(t) + 1800000000) AS "end", user_id, CAST(count(*) AS BIGINT) AS n FROM g GROUP BY user_id, g HAVING max(t) + 1800000000 <= {_LAST}""")
 def stream_sessions(spark, sf):
     folder = new_folder(spark)
-    return jobs.sessions(jobs.source(spark, f"{sf}/events.parquet", ("ts",)), "ts", "user_id", f"{folder}/table", f"{folder}/checkpoint")
+    rows = jobs.sessions(jobs.source(spark, f"{sf}/events.parquet", ("ts",)), "ts", "user_id", f"{folder}/table", f"{folder}/checkpoint")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+_KEPT = "SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type END AS event_type, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+
+
+@query(f"""WITH k AS ({_KEPT}), u AS (SELECT 'event_type' AS field, count(event_type) AS f, count(*) AS t FROM k UNION ALL SELECT 'user_id', count(*), count(*) FROM k)
+SELECT field, CAST(f AS BIGINT) AS filled, CAST(t AS BIGINT) AS total FROM u""")
+def stream_coverage(spark, sf):
+    """Coverage over the latest row of each user, from totals that every batch changes."""
+    folder, rows = new_folder(spark), table(spark, sf, "events").select("user_id", "event_id", "ts", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"))
+    for rest in (1, 0):  # the second half is not newer than the first
+        rows.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{folder}/in")
+        out = jobs.coverage(jobs.source(spark, f"{folder}/in"), ["user_id"], "ts", "event_id", ["event_type", "user_id"], folder, f"{folder}/checkpoint")
+    return out.select("field", "filled", "total")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")

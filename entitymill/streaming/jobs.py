@@ -3,10 +3,13 @@ its checkpoint says what it has done, so the next run goes on from there."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymill.operators.dedupe import latest, not_stored
+from entitymill.sources import commits
+from entitymill.streaming import state
 
 
 def source(spark: SparkSession, path: str, times: tuple[str, ...] = ()) -> DataFrame:
@@ -27,83 +30,60 @@ def _finish(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def keep_latest(stream: DataFrame, keys: list[str], when: str, tie: str, table: str, checkpoint: str, buckets: int = 64) -> DataFrame:
-    """Latest row per key, kept in a table of buckets of keys. A batch is reduced to its own latest
-    rows, meets the buckets that it touches, and writes those again under its own number, so a batch
-    that is run again reads what it read before. A bucket's newest version but one is kept for that;
-    older ones go."""
+def run_name(spark: SparkSession, checkpoint: str, number: int) -> str:
+    """A batch's name: its stream's identity, which the checkpoint keeps, and its number in it. Batches of
+    a new checkpoint have names of their own, though their numbers begin again."""
+    return f"{json.loads(commits.Files(spark, checkpoint).read(f'{checkpoint}/metadata'))['id']}-{number}"
+
+
+def keep_latest(stream: DataFrame, keys: list[str], when: str, tie: str, table: str, checkpoint: str, buckets: int = 4, changed=None) -> DataFrame:
+    """Latest row per key, kept in buckets of keys that grow one at a time. A batch is reduced to its own
+    latest rows and reads the buckets that may hold their keys (see `state`). changed, if given, gets
+    (rows that came or went, the batch's name)."""
     spark = stream.sparkSession
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    folder = lambda b, n: f"{table}/bucket={b}/version={n}"
+    held = state.KeyedState(spark, table, keys, buckets)
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = latest(batch, keys, when, tie).withColumn("bucket", bucket).persist()
-        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # at most `buckets`
-        before = {b: max([n for n in _versions(spark, f"{table}/bucket={b}") if n < number], default=None) for b in touched}
-        old = [folder(b, n) for b, n in before.items() if n is not None]
-        every = rows
-        if old:
-            every = latest(spark.read.option("basePath", table).parquet(*old).select(*rows.columns).unionByName(rows), [*keys, "bucket"], when, tie)
-        every.withColumn("version", F.lit(number)).repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket", "version").parquet(table)
-        for b, n in before.items():
-            for m in _versions(spark, f"{table}/bucket={b}"):
-                if n is not None and m < n:
-                    _delete(spark, folder(b, m))
-        rows.unpersist()
+        name = run_name(spark, checkpoint, number)
+        held.keep_latest(batch, when, tie, name, changed and (lambda rows: changed(rows, name)))
 
     _finish(stream.writeStream.foreachBatch(merge), checkpoint)
-    newest = [folder(b, max(versions)) for b in range(buckets) if (versions := _versions(spark, f"{table}/bucket={b}"))]
-    if not newest:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.option("basePath", table).parquet(*newest).select(*stream.columns)
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "version=" in s.getPath().getName()] if fs.exists(path) else []
+    return held.read(stream.schema)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def daily(stream: DataFrame, when: str, kind: str, value: str, table: str, checkpoint: str) -> DataFrame:
+    """Counts and sums by day and kind of all rows, late ones too. A batch adds its own sums to totals
+    that are kept as deltas."""
+    spark = stream.sparkSession
+    rows = stream.select(F.to_date(when).alias("day"), kind, F.lit(1).cast("long").alias("n"), F.col(value).alias("total"))
+    totals = state.Totals(spark, table, ["day", kind], ["n", "total"])
+    _finish(rows.writeStream.foreachBatch(lambda batch, number: totals.add(batch, run_name(spark, checkpoint, number)) and None), checkpoint)
+    empty = rows.groupBy("day", kind).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).schema
+    return totals.read(empty)
 
 
-def daily(stream: DataFrame, when: str, kind: str, value: str, table: str, checkpoint: str, late: str = "2 days") -> DataFrame:
-    """Counts and sums by day and kind. Days are tumbling windows; what is later than the watermark
-    is left out of state. Each batch replaces the totals that it changed."""
+def coverage(stream: DataFrame, keys: list[str], when: str, tie: str, fields: list[str], folder: str, checkpoint: str) -> DataFrame:
+    """field, filled and total over the latest row of each key, kept up to date: a row that replaces
+    another takes its values out of the sums and brings its own."""
     spark = stream.sparkSession
-    totals = stream.withWatermark(when, late).groupBy(F.window(when, "1 day").alias("w"), F.col(kind)).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
-    rows = totals.select(F.to_date("w.start").alias("day"), kind, "n", "total")
+    totals = state.Totals(spark, f"{folder}/totals", ["field"], ["total", "filled"])
+    has = lambda c: F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{table}/b{number}")
+    def count(rows: DataFrame, name: str) -> None:
+        each = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col("_sign").cast("long").alias("total"), F.when(has(c), F.col("_sign")).otherwise(0).cast("long").alias("filled")) for c in fields)))
+        totals.add(rows.select(each.alias("x")).select("x.*"), name)
 
-    _finish(rows.writeStream.outputMode("update").foreachBatch(write), checkpoint)
-    every = spark.read.option("recursiveFileLookup", True).parquet(table)
-    return latest(every, ["day", kind], "batch", "batch").drop("batch")
+    keep_latest(stream, keys, when, tie, f"{folder}/latest", checkpoint, changed=count)
+    return totals.read(spark.createDataFrame([], "field string, total long, filled long").schema)
 
 
-def first_seen(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str) -> DataFrame:
+def first_seen(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str, buckets: int = 4) -> DataFrame:
     """The first row of each key, ever: a batch's first rows are added unless the table has their key.
-    The table is the state, so no key is forgotten; a batch that runs again replaces its own rows."""
+    A batch reads the buckets that may hold its keys and adds to those of new ones."""
     spark = stream.sparkSession
-
-    def add(batch: DataFrame, number: int) -> None:
-        rows = latest(batch.withColumn("_early", -F.col(when).cast("double")), keys, "_early", "_early").drop("_early")
-        stored = [f"{table}/batch={n}" for n in _numbers(spark, table) if n < number]
-        if stored:
-            rows = not_stored(rows, spark.read.parquet(*stored).select(*keys), keys)
-        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
-
-    _finish(stream.writeStream.foreachBatch(add), checkpoint)
-    return spark.read.parquet(table).select(*stream.columns)
-
-
-def _numbers(spark: SparkSession, table: str) -> list[int]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "batch=" in s.getPath().getName()) if fs.exists(path) else []
+    held = state.KeyedState(spark, table, keys, buckets)
+    _finish(stream.writeStream.foreachBatch(lambda batch, number: held.keep_first(batch, when, run_name(spark, checkpoint, number)) and None), checkpoint)
+    return held.read(stream.schema)
 
 
 def recent(stream: DataFrame, keys: list[str], when: str, table: str, checkpoint: str, late: str = "40 days") -> DataFrame:
