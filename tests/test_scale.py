@@ -30,6 +30,35 @@ def test_similar_pairs(spark, threshold):
     assert want and got == want
 
 
+@pytest.mark.parametrize("threshold, crowd", [(0.85, 0), (0.85, 5), (0.7, 0), (0.6, 2), (0.4, 0)])
+def test_similar_pairs_by_segments(spark, threshold, crowd):
+    """The same where characters are crowded, down to thresholds at which names are too short for segments."""
+    r = random.Random(8)
+    rows = sorted({"".join(r.choice("abc") for _ in range(r.randrange(1, 9))) for _ in range(70)} | {x + "株式会社" for x in names(30, 5)})
+    got = {(x.a, x.b): x.ratio for x in fuzzy.similar_pairs(spark.createDataFrame([(x,) for x in rows], "name string"), threshold, crowd).collect()}
+    want = {(a, b): v for a in rows for b in rows if a < b and (v := SequenceMatcher(None, a, b).ratio()) >= threshold}
+    assert want and got == want
+
+
+def test_segments_leave_few_candidates(spark):
+    """Names of one small alphabet: far fewer meet than by characters alone."""
+    r = random.Random(3)
+    rows = [("".join(r.choice("abcdefgh") for _ in range(r.randrange(8, 14))),) for _ in range(1200)]
+    met, real = {}, fuzzy.candidates
+    for crowd in (10**9, 64):
+        def counted(df, threshold, c, crowd=crowd):
+            out = real(df, threshold, crowd)
+            met[crowd] = out.count()
+            return out
+
+        fuzzy.candidates = counted
+        try:
+            met[f"pairs{crowd}"] = fuzzy.similar_pairs(spark.createDataFrame(rows, "name string")).count()
+        finally:
+            fuzzy.candidates = real
+    assert met[64] * 5 < met[10**9] and met["pairs64"] == met[f"pairs{10**9}"]
+
+
 def test_containing(spark):
     rows = names(120, 2)
     dim = spark.createDataFrame([(f"{i:03}", f"株式会社{x}") for i, x in enumerate(rows)], "id string, name_normalized string")
