@@ -6,6 +6,9 @@ pruning go past them. White space and digits follow the Unicode rules of the sou
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
@@ -154,14 +157,32 @@ def phone(c: Column) -> Column:
     return F.when(n == 11, cut(3, 7)).when(n == 10, cut(2, 6)).when((n == 12) & d.startswith("0120"), cut(4, 6)).otherwise(s)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKC")
+def _composed(c: Column) -> Column:
+    """Compatibility composition by the Unicode library that Spark ships, in the JVM."""
+    return F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
+
+
+@functools.cache
+def _unassigned() -> str:
+    """A class of the code points that this Python's Unicode does not know: what a later one says of
+    them is not followed, so that results do not depend on the library's version."""
+    spans: list[list[int]] = []
+    for i in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(i)) == "Cn":
+            if spans and spans[-1][1] == i - 1:
+                spans[-1][1] = i
+            else:
+                spans.append([i, i])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility composition. ASCII is its own; only other rows go to Python, in Arrow batches."""
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(_nfkc(c))
+    """Compatibility composition as of this Python's Unicode. ASCII is its own. A code point that has no
+    meaning there stands for itself, and what is on either side of it is composed apart."""
+    known = _unassigned()
+    parts = F.transform(F.regexp_extract_all(c, F.lit(f"[{known}]+|[^{known}]+"), F.lit(0)), lambda x: F.when(x.rlike(f"^[{known}]"), x).otherwise(_composed(x)))
+    # the JVM's class of unassigned ones holds more than ours: a quick test
+    return F.when(c.isNull() | (F.octet_length(c) == F.length(c)), c).when(c.rlike(r"\p{Cn}"), F.array_join(parts, "")).otherwise(_composed(c))
 
 
 def email(c: Column) -> Column:
