@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entitymill.operators import calls, fuzzy, merge, periods, quality, reshape, upsert
+from entitymill.operators import answers, calls, fuzzy, merge, periods, quality, reshape, upsert
 from entitymill.plans import call_import
 from entitymill.plans.registry import query, table
 from entitymill.scratch import new_folder
-from entitymill.sources import commits, exports, readers, writers
+from entitymill.sources import commits, exports, readers, scans, writers
 from entitymill.streaming import jobs
 
 # ---------------------------------------------------------------- call import and exports
@@ -170,6 +170,49 @@ def call_file_errors(spark, sf):
     return readers.csv_file(spark, f"{folder}/errors.csv").select(F.col("row").cast("long").alias("row"), "message")
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey = 3")
+def database_scan(spark, sf):
+    """A table of a database, in parts of equal size by a text key, some columns and rows of it. The
+    database is one in the driver's memory, in place of a server, so this query runs on a local master."""
+    url, how = f"jdbc:derby:memory:{new_folder(spark).rsplit('/', 1)[1]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").where("c_name IS NOT NULL")
+    rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="customer", createTableColumnTypes="c_name varchar(100)", **how).mode("overwrite").save()
+    return scans.jdbc_scan(spark, url, "customer", "c_name", 8, **how).where("c_nationkey = 3").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("""SELECT c_custkey AS pos, concat('人', c_custkey) AS name, CASE WHEN c_custkey % 2 = 0 THEN '社長' END AS role, concat('03-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) AS number FROM customer WHERE c_custkey % 3 <> 0""")
+def person_files(spark, sf):
+    """Persons and their numbers, each from a file of its own, joined by company; a file lacks a column."""
+    folder, c = new_folder(spark), table(spark, sf, "customer")
+    key = F.col("c_custkey").cast("string")
+    persons = c.select(key.alias("company_id"), F.concat(F.lit("人"), key).alias("name"), F.when(F.col("c_custkey") % 2 == 0, "社長").alias("role"), F.lit("a\nb").alias("notes"))
+    phones = c.where("c_custkey % 3 <> 0").select(key.alias("company_id"), F.concat(F.lit("03-"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0")).alias("number"))
+    writers.csv_with_mark(persons, f"{folder}/persons.csv")
+    writers.csv_with_mark(phones, f"{folder}/phones.csv")
+    a = readers.optional_csv(spark, f"{folder}/persons.csv", ("company_id", "name", "role", "department"))
+    b = readers.optional_csv(spark, f"{folder}/phones.csv", ("company_id", "number", "label"))
+    return a.join(b, "company_id").select(F.col("company_id").cast("long").alias("pos"), "name", "role", "number")
+
+
+@query("""SELECT o_custkey AS key, CASE WHEN o_custkey % 7 <> 0 THEN concat('n', o_custkey) END AS name, CASE WHEN o_custkey % 7 = 0 THEN 'ValueError: refused' END AS error, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey""")
+def answered_prompts(spark, sf):
+    """Prompts asked once each, some only at the second attempt and some never, by a function in place of
+    a model; a second run asks nothing."""
+    folder = new_folder(spark)
+    prompts = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.concat(F.lit("who is "), F.col("o_custkey").cast("string")).alias("prompt"))
+
+    def ask(asked, attempt):
+        numbers = [int(p.split()[-1]) for p in asked]
+        if any(n % 7 == 0 or (n % 5 == 0 and attempt == 1) for n in numbers):
+            raise ValueError("refused")
+        return [f'```json\n{{"name": "n{n}"}}\n```' for n in numbers]
+
+    for _ in range(2):
+        rows = answers.answer(spark, prompts, ask, f"{folder}/calls", "stand-in", attempts=2)
+    parsed = readers.extracted(rows, "answer", "struct<name: string>")
+    return parsed.groupBy("key", F.col("answer.name").alias("name"), "error").agg(F.count("*").alias("n"))
+
+
 @query("SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'labbase' ELSE 'bizreach' END AS service, c_name AS \"企業名\" FROM customer WHERE c_nationkey < 10")
 def service_csv_union(spark, sf):
     """Files of the services that have one; the third has none."""
