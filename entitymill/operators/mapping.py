@@ -1,8 +1,10 @@
 """Raw labels to canonical names.
 
-The dictionary of aliases is a dimension. Exact steps are equi-joins; the last step (one contains
-the other, the longest alias wins) compares distinct labels with aliases through shared grams, and
-falls back to the bounded set of short labels for those without a gram.
+The dictionary of aliases is a dimension. Exact steps are equi-joins. In the last step one contains
+the other and the longest alias wins. An alias inside a label is a prefix of one of its suffixes: of
+all of them the longest is found beside the suffix's place among the sorted aliases. A label inside
+aliases is a range of their sorted suffixes. So no label meets the aliases that share a part with it,
+however common that is.
 """
 
 from __future__ import annotations
@@ -14,13 +16,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymill.functions.names import label_key, without_notes
+from entitymill.operators.ordered import places, range_minima
+from entitymill.scratch import written
 
 MIN_ALIAS = 3
 
 
-def _grams(column: str, n: int) -> F.Column:
-    spots = F.sequence(F.lit(1), F.greatest(F.length(column) - (n - 1), F.lit(1)))
-    return F.explode(F.array_distinct(F.transform(spots, lambda i: F.substring(column, i, F.lit(n)))))
+def _suffixes(c: Column, length: Column) -> Column:
+    """All suffixes of a text, up to a length."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, length)))
+
+
+def longest_inside(labels: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(n, rank) of texts n (distinct) that hold an alias: the rank of the longest one. aliases: k, rank."""
+    # of each alias the aliases that it begins with, the longest last
+    own = aliases.select("k", F.explode(F.sequence(F.lit(1), F.length("k"))).alias("l")).select("k", F.expr("left(k, l)").alias("start"))
+    chain = own.join(aliases.select(F.col("k").alias("start"), "rank"), "start").groupBy("k").agg(F.array_sort(F.collect_list(F.struct(F.length("start").alias("l"), "start", "rank"))).alias("chain"))
+    longest = F.lit(aliases.agg(F.coalesce(F.max(F.length("k")), F.lit(0))).first()[0])
+    parts = labels.select("n", F.explode(_suffixes(F.col("n"), longest)).alias("u"))
+    probes = parts.select("u").distinct().withColumn("at", F.concat(F.col("u").cast("binary"), F.unhex(F.lit("00"))))
+    keys, found = places(chain.withColumn("at", F.col("k").cast("binary")), probes, "at")
+    # the last alias that is not behind the suffix shares with it the longest prefix that is an alias
+    beside = found.select("u", (F.col("place") - 1).alias("place")).join(keys.select("place", "chain"), "place")
+    best = beside.withColumn("hit", F.try_element_at(F.filter("chain", lambda c: F.startswith(F.col("u"), c["start"])), F.lit(-1))).where("hit IS NOT NULL")
+    return parts.join(best.select("u", "hit.rank"), "u").groupBy("n").agg(F.min("rank").alias("rank"))
+
+
+def longest_around(labels: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(n, rank) of texts n (distinct) that an alias holds: the rank of the longest one."""
+    longest = F.lit(labels.agg(F.coalesce(F.max(F.length("n")), F.lit(0))).first()[0])
+    keys = aliases.select("rank", F.explode(_suffixes(F.col("k"), longest)).alias("suffix")).groupBy("suffix").agg(F.min("rank").alias("rank"))
+    ends = F.explode(F.array(F.col("n").cast("binary"), F.concat(F.col("n").cast("binary"), F.unhex(F.lit("FF")))))
+    placed, probes = places(keys.select(F.col("suffix").cast("binary").alias("at"), "rank"), labels.select("n", ends.alias("at")), "at")
+    ranges = probes.groupBy("n").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high")
+    return range_minima(placed, ranges, "rank", ["n"])
 
 
 def map_labels(labels: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -32,14 +61,12 @@ def map_labels(labels: DataFrame, aliases: DataFrame) -> DataFrame:
     rows = rows.join(one, F.col("n") == F.col("k1"), "left").join(two, (F.col("s") == F.col("k2")) & (F.col("s") != "") & (F.col("s") != F.col("n")), "left")
     rows = rows.select("label", "n", F.coalesce("c1", "c2").alias("exact"))
 
-    open_, long = rows.where("exact IS NULL AND n <> ''").select("label", "n"), known.where(F.length("k") >= MIN_ALIAS)
-    # an alias inside a label, or a label of at least a gram inside an alias, share a gram
-    pairs = open_.where(F.length("n") >= MIN_ALIAS).select("label", "n", _grams("n", MIN_ALIAS).alias("g")).join(long.select("k", "canonical", "pos", _grams("k", MIN_ALIAS).alias("g")), "g")
-    for n in range(1, MIN_ALIAS):  # shorter labels are themselves a gram of the alias
-        short = open_.where(F.length("n") == n).select("label", "n", F.col("n").alias("g"))
-        pairs = pairs.unionByName(short.join(long.select("k", "canonical", "pos", _grams("k", n).alias("g")), "g"))
-    hits = pairs.where(F.contains("n", F.col("k")) | F.contains("k", F.col("n")))
-    part = hits.groupBy("label").agg(F.max_by("canonical", F.struct(F.length("k"), -F.col("pos"))).alias("partial"))
+    rows = written(rows)
+    open_ = rows.where("exact IS NULL AND n <> ''").select("n").distinct()
+    # the longest alias ranks first, of equally long ones the first
+    long = known.where(F.length("k") >= MIN_ALIAS).select("k", F.struct((-F.length("k")).alias("size"), "pos", "canonical").alias("rank"))
+    hits = longest_inside(open_.where(F.length("n") >= MIN_ALIAS), long).unionByName(longest_around(open_, long))
+    part = rows.where("exact IS NULL").join(hits.groupBy("n").agg(F.min("rank")["canonical"].alias("partial")), "n").select("label", "partial")
     return rows.join(part, "label", "left").select("label", F.coalesce("exact", "partial").alias("canonical"))
 
 

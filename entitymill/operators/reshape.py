@@ -71,11 +71,22 @@ def ordered_columns(schema: list[str], found: list[str]) -> list[str]:
     return [*schema, *sorted(set(found) - set(schema))]
 
 
+#: Names that may become columns.
+MOST_COLUMNS = 2000
+
+
+def column_names(names: DataFrame, what: str) -> list[str]:
+    """The distinct names of a table of one column, by name; too many to be columns are an error."""
+    found = [r[0] for r in names.distinct().limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} {what}: they cannot be columns")
+    return sorted(x for x in found if x is not None)
+
+
 def matrix(long: DataFrame, key: str, schema: list[str]) -> DataFrame:
     """A row for each key with a column for each name: those of the schema, then the others that
     occur (field names: few) by name. long: key, name, value; absent values are blank."""
-    found = [r[0] for r in long.select("name").distinct().collect()]
-    columns = ordered_columns(schema, found)
+    columns = ordered_columns(schema, column_names(long.select("name"), "names"))
     rows = long.groupBy(key).pivot("name", columns).agg(F.max("value"))
     return rows.na.fill("", columns)
 

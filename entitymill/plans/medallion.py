@@ -83,7 +83,7 @@ def company_info(master: DataFrame, s: dict[str, DataFrame], now: dt.datetime) -
 def flat_company_info(info: DataFrame) -> DataFrame:
     """company_info with a column for each metric and period that occurs, in the order of their names,
     in place of the map. Their names are few: metrics by periods."""
-    names = sorted(r[0] for r in info.select(F.explode(F.map_keys("financial"))).distinct().collect())
+    names = reshape.column_names(info.select(F.explode(F.map_keys("financial"))), "metrics")
     at = info.columns.index("financial")
     flat = [F.try_element_at("financial", F.lit(n)).alias(n) for n in names]
     return info.select(*info.columns[:at], *flat, *info.columns[at + 1 :])

@@ -53,6 +53,31 @@ def test_one_character_meets_few_rows(spark):
     assert size <= 2 * ordered.FAN * 3
 
 
+def test_labels_and_aliases_of_common_parts(spark):
+    """The longest alias inside a label or around it, by loops over all pairs; every one shares its parts with many."""
+    from entitymill.operators import mapping
+
+    r = random.Random(6)
+    made = lambda n, most: "".join(r.choice("会社ab") for _ in range(r.randrange(1, most)))
+    aliases = list({made(0, 9): i for i in range(150)})
+    labels = sorted({made(0, 14) for _ in range(200)} | {"会", "z", "会社z"})
+    rows = [(a, f"c{i}", i) for i, a in enumerate(aliases)]
+    got = {x.label: x.canonical for x in mapping.map_labels(spark.createDataFrame([(x,) for x in [*labels, None, ""]], "label string"), spark.createDataFrame(rows, "alias string, canonical string, pos int")).collect()}
+    for n in labels:
+        hits = [(-len(a), i, c) for a, c, i in rows if len(a) >= mapping.MIN_ALIAS and (a in n or n in a)]
+        assert got[n] == (next((c for a, c, _ in rows if a == n), None) or (min(hits)[2] if hits else None)), n
+
+
+def test_names_that_become_columns_are_few(spark, monkeypatch):
+    from entitymill.operators import reshape
+
+    monkeypatch.setattr(reshape, "MOST_COLUMNS", 3)
+    long = spark.range(4).selectExpr("id AS k", "CAST(id AS STRING) AS name", "'v' AS value")
+    assert reshape.matrix(long.where("k < 3"), "k", []).columns == ["k", "0", "1", "2"]
+    with pytest.raises(ValueError):
+        reshape.matrix(long, "k", [])
+
+
 def test_empty_tables(spark):
     dim, names = spark.createDataFrame([("1", "a"), ("2", None), ("3", "")], "id string, name_normalized string"), spark.createDataFrame([("a",), ("",), ("b",)], "name string")
     assert resolve.by_prefix(names.limit(0), dim).count() == 0 and resolve.containing(names.limit(0), dim).count() == 0
