@@ -34,7 +34,7 @@ WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 #: Words in a slot at most, and slots at least until that is reached: small tables get short slots.
 SLOT_WORDS, SLOTS = 4096, 1 << 17
 #: Rows that a bucket of a prefix sum should hold.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Neighbours in Fibonacci's sequence. Their ratio is the golden one up to MODULUS slots,
 #: which no point repeats before, and their product fits 63 bits.
 MODULUS, STEP = 2971215073, 1836311903
