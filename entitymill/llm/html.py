@@ -19,9 +19,10 @@ What HTML itself or its class words mark as not being the article (navigation, h
 asides, forms, adverts, notices, comments) goes on every page, so hosts of few pages are covered too,
 and so is what differs from page to page. Of a header inside an article the headings stay. A mark does
 not remove an element that holds all articles of its page, unless the main element beside it holds
-more; so an article marked as a comment goes where there is another article or main. Words of state (has-sidebar, menu-open) are no marks; the words of LOOSE are marks only
-of what is mostly links or has no sentence. An article or main element, where there is one, bounds
-the text. In pages without one, lists of nothing but links are menus.
+more; so an article marked as a comment goes where there is another article or main. Words of state
+(has-sidebar, menu-open) are no marks; the words of LOOSE are marks only of what is mostly links or
+has no sentence. An article or main element, where there is one, bounds the text. In pages without
+one, lists of nothing but links are menus.
 
 Counts are pre-aggregated, so a host with a third of all pages is no hot key. Rows bound distinct
 contents from above, so these are counted only for hashes with enough rows. Each page is read once;
