@@ -16,9 +16,8 @@ that is a path of the machines (file:) is mapped, from any other the shards that
 
 Units. If the vocabularies prove that none of their tokens goes on from a character that is no white
 space to a space or line feed behind it (`splits`), each such place ends a token of both, and so a
-group. What stands between, a unit, is encoded once for many occurrences; units are encoded side by
-side, as one text. Otherwise the whole text is
-one unit.
+group. What stands between, a unit, is encoded once for many occurrences; the new units of many texts
+are encoded side by side, as one text. Otherwise the whole text is one unit, encoded alone.
 
 Defined results: a text that is null or empty, or whose joined token bytes differ from space + text
 for A or B (a text with U+2581, for one), has no tokens: zeros and an empty hash, and its links count
@@ -48,6 +47,10 @@ from entitymill.llm.tokencount import SPACE, bounded
 
 #: Units that a task remembers, rows of a shard (about), characters that are cut into units at a time.
 UNITS, SHARD_ROWS, WINDOW = 500_000, 4_000_000, 1 << 20
+#: Characters of texts that are linked at a time (about), units that are encoded side by side.
+GATHERED, TOGETHER = 1 << 18, 1000
+#: Link keys that a task remembers for each unit that it may remember.
+LINKS = 16
 #: Keys that a task sums at a time.
 SUMMED = 8_000_000
 BLANK = "▁"
@@ -118,6 +121,9 @@ class Aligner:
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.ids = max(len(self.bytes_a), len(pieces))
+        #: Bits of a link's key, and how many numbers fit above it.
+        self.bits = 32 + self.ids.bit_length()
+        self.room = 1 << (63 - self.bits)
         self.shown = [f"{i}{c}" for c in ",|;" for i in range(self.ids)]
         self.shown_length = np.array([len(x) for x in self.shown], np.int64)
         self.blank = self.b.piece_to_id(BLANK)
@@ -126,36 +132,28 @@ class Aligner:
         #: Whether both end a token wherever a space or line feed follows a character that is no white space.
         self.splits = bounded(a) and keeps_text(self.b.serialized_model_proto()) and apart
 
-    def has_bytes(self, a: list[int], b: list[int], raw: bytes) -> bool:
-        return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+    def has_bytes(self, a: np.ndarray, b: np.ndarray, raw: bytes) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
 
-    def encode_joined(self, units: list[str]) -> tuple[list[int], list[int]]:
+    def encode_joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units in order. Those that end in white space, at the end of texts, are encoded
         alone: the next unit's place would not end a token."""
-        a: list[int] = []
-        b: list[int] = []
-        at = 0
-        for i, u in enumerate([*units, " "]):
-            if u[-1] in BLANKS or i == len(units):
-                if at < i:
-                    part = "".join(units[at:i])
-                    a += self.a.encode_batch_fast([part], add_special_tokens=False)[0].ids
-                    b += self.encode_b([part])[0]
-                if i < len(units):
-                    a += self.a.encode_batch_fast([u], add_special_tokens=False)[0].ids
-                    b += self.encode_b([u])[0]
-                at = i + 1
-        return a, b
-
-    def encode_b(self, units: list[str]) -> list[list[int]]:
-        """B adds a space itself: a unit's own first one is left out, the added one taken back."""
-        out = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        for i, u in enumerate(units):
-            if u == " ":
-                out[i] = [self.blank]
-            elif u[0] != " " and out[i][:1] == [self.blank]:
-                out[i] = out[i][1:]
-        return out
+        parts, at = [], 0
+        alone = [i for i, u in enumerate(units) if u[-1] in BLANKS] if self.splits else range(len(units))
+        for i in (*alone, len(units)):
+            parts += ["".join(units[k : min(k + TOGETHER, i)]) for k in range(at, i, TOGETHER)]
+            parts += units[i : i + 1]
+            at = i + 1
+        a = chain.from_iterable(self.a.encode_batch_fast([p], add_special_tokens=False)[0].ids for p in parts)
+        return np.fromiter(a, np.int64), np.concatenate([np.empty(0, np.int64), *map(self.encode_b, parts)])
+
+    def encode_b(self, part: str) -> np.ndarray:
+        """B adds a space itself: a part's own first one is left out, the added one taken back. One text
+        a call, since a list of them starts a pool of threads."""
+        if part == " ":
+            return np.array([self.blank], np.int64)
+        out = self.b.encode_as_numpy(part[1:] if part[0] == " " else part)
+        return (out[1:] if part[0] != " " and len(out) and out[0] == self.blank else out).astype(np.int64)
 
     def windows(self, text: str) -> Iterator[list[str]]:
         """The units of space + text, in order, a bounded number of characters at a time."""
@@ -171,6 +169,10 @@ class Aligner:
             yield UNIT.findall(text[at:end])
             at = end
 
+    def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte offsets at which the tokens of both end."""
+        return np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+
     def align(self, units: list[str]) -> "Aligned":
         return Aligned(self, units)
 
@@ -188,18 +190,9 @@ class Aligned:
 
     def __init__(self, own: Aligner, units: list[str]) -> None:
         raw = [u.encode() for u in units]
-        self.own, self.good = own, np.ones(len(units), bool)
-        last = _ends(map(len, raw), len(raw))
-        a, b = own.encode_joined(units)
-        self._lay(a, b)
-        if not (self._fits(last) and own.has_bytes(a, b, b"".join(raw))):
-            # something differs: one by one
-            each_a = [e.ids for e in own.a.encode_batch_fast(units, add_special_tokens=False)]
-            each_b = own.encode_b(units)
-            self.good = np.array([own.has_bytes(x, y, r) for x, y, r in zip(each_a, each_b, raw)], bool)
-            each_a, each_b, raw = ([x for x, ok in zip(t, self.good) if ok] for t in (each_a, each_b, raw))
-            last = _ends(map(len, raw), len(raw))
-            self._lay(list(chain.from_iterable(each_a)), list(chain.from_iterable(each_b)))
+        self.own, (self.a, self.b, self.good) = own, _tokens(own, units, raw)
+        last = _ends([len(r) for r, ok in zip(raw, self.good.tolist()) if ok])
+        self.ends_a, self.ends_b = own.ends(self.a, self.b)
         every = np.union1d(self.ends_a, self.ends_b)
         self.keys = self.a[np.searchsorted(self.ends_a, every)] << 32 | self.b[np.searchsorted(self.ends_b, every)]
         self.common = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
@@ -207,14 +200,6 @@ class Aligned:
         self.links, self.groups, self.of_a, self.of_b = (upto(x) for x in (every, self.common, self.ends_a, self.ends_b))
         self.n_a, self.n_b, self.n_groups = (np.diff(x) for x in (self.of_a, self.of_b, self.groups))
 
-    def _lay(self, a: list[int], b: list[int]) -> None:
-        self.a, self.b = np.array(a, np.int64), np.array(b, np.int64)
-        self.ends_a, self.ends_b = np.cumsum(self.own.length_a[self.a]), np.cumsum(self.own.length_b[self.b])
-
-    def _fits(self, last: np.ndarray) -> bool:
-        """Whether every unit ends a token of both."""
-        return all(len(x) and x[-1] == last[-1] and np.array_equal(x[np.searchsorted(x, last)], last) for x in (self.ends_a, self.ends_b))
-
     def shown(self) -> list[str]:
         """The groups of each good unit as text."""
         own, n = self.own, self.own.ids
@@ -227,38 +212,85 @@ class Aligned:
         return [text[i : j - 1] for i, j in zip(ends, ends[1:])]
 
 
-def _ends(lengths, n: int) -> np.ndarray:
-    return np.cumsum(np.fromiter(lengths, np.int64, n))
+def _ends(lengths: list[int]) -> np.ndarray:
+    return np.cumsum(np.array(lengths, np.int64))
+
+
+def _tokens(own: Aligner, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of both for the units whose tokens have their bytes, and which units those are. Where the
+    joined tokens differ from the units, fewer are joined, at last one."""
+    a, b = own.encode_joined(units)
+    last = _ends([len(r) for r in raw])
+    if all(len(x) and x[-1] == last[-1] and np.array_equal(x[np.searchsorted(x, last)], last) for x in own.ends(a, b)) and own.has_bytes(a, b, b"".join(raw)):
+        return a, b, np.ones(len(units), bool)
+    if len(units) < 2:
+        return a[:0], b[:0], np.zeros(len(units), bool)
+    step = max(1, len(units) // 16)
+    each = [_tokens(own, units[i : i + step], raw[i : i + step]) for i in range(0, len(units), step)]
+    return tuple(map(np.concatenate, zip(*each)))
+
+
+class Numbers(dict):
+    """Numbers of units, in the order in which they are asked for first; fresh: those asked for first."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        self.fresh.append(unit)
+        return number
 
 
 class Units:
-    """Units met so far, numbered: columns n_a, n_b, n_groups, n_links, their groups and link keys."""
+    """Units met so far, numbered: columns n_a, n_b, n_groups, n_links, their groups and link keys (of
+    units that are not good: none)."""
 
     def __init__(self, own: Aligner) -> None:
-        self.own = own
-        self.number: dict[str, int] = {}  # -1: not good
+        self.own, self.number = own, Numbers()
         self.shown: list[str] = []
-        self.columns, self.first, self.keys = np.zeros((1024, 4), np.int64), np.zeros(1025, np.int64), np.zeros(4096, np.int64)
-
-    def add(self, units: list[str]) -> None:
-        got, n = self.own.align(units), len(self.shown)
-        places = iter(range(n, n + len(got.n_a)))
-        self.number.update((u, next(places) if ok else -1) for u, ok in zip(units, got.good.tolist()))
-        self.shown.extend(got.shown())
-        end, links = len(self.shown), int(self.first[n])
+        self.good, self.columns = np.zeros(1024, bool), np.zeros((1024, 4), np.int64)
+        self.first, self.keys = np.zeros(1025, np.int64), np.zeros(4096, np.int64)
+
+    @property
+    def links(self) -> int:
+        return int(self.first[len(self.shown)])
+
+    def numbers(self, units: Iterator[str], n: int) -> np.ndarray:
+        """Numbers of n units; those not met before are aligned."""
+        at = np.fromiter(map(self.number.__getitem__, units), np.int64, n)
+        if self.number.fresh:
+            self._add(self.number.fresh)
+            self.number.fresh = []
+        return at
+
+    def _add(self, units: list[str]) -> None:
+        got, n, links = self.own.align(units), len(self.shown), self.links
+        end, good = n + len(units), np.flatnonzero(got.good)
         if end > len(self.columns):
-            self.columns, self.first = (np.concatenate([x, np.zeros((max(end, len(x)), *x.shape[1:]), np.int64)]) for x in (self.columns, self.first))
+            self.good, self.columns, self.first = (np.concatenate([x, np.zeros((max(end, len(x)), *x.shape[1:]), x.dtype)]) for x in (self.good, self.columns, self.first))
         if links + len(got.keys) > len(self.keys):
             self.keys = np.concatenate([self.keys, np.zeros(max(len(got.keys), len(self.keys)), np.int64)])
-        self.columns[n:end] = np.stack([got.n_a, got.n_b, got.n_groups, np.diff(got.links)], 1)
-        self.first[n + 1 : end + 1] = links + got.links[1:]
+        size = np.zeros(len(units), np.int64)
+        size[good] = np.diff(got.links)
+        self.good[n:end] = got.good
+        self.columns[n + good] = np.stack([got.n_a, got.n_b, got.n_groups, np.diff(got.links)], 1)
+        self.first[n + 1 : end + 1] = links + np.cumsum(size)
         self.keys[links : links + len(got.keys)] = got.keys
+        shown = iter(got.shown())
+        self.shown.extend(next(shown) if ok else "" for ok in got.good.tolist())
 
-    def linked(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, how often each occurs) of the links of the units `at`."""
+    def linked(self, at: np.ndarray, part: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each part (keys, how often each occurs) of the links of its units; part: that of each unit."""
         size = self.first[at + 1] - self.first[at]
         place = np.arange(int(size.sum())) + np.repeat(self.first[at] - np.cumsum(size) + size, size)
-        return _summed(self.keys[place], np.repeat(times, size))
+        # a link's part stands above its key
+        keys = np.sort(self.keys[place] | np.repeat(part << self.own.bits, size))
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        times, keys = np.diff(first, append=len(keys)), keys[first]
+        cuts = np.searchsorted(keys >> self.own.bits, np.arange(parts + 1)).tolist()
+        keys &= (1 << self.own.bits) - 1
+        return [(keys[i:j], times[i:j]) for i, j in zip(cuts, cuts[1:])]
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -275,42 +307,68 @@ def _known(a: str, b: str) -> list[Units]:
 _LINKS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, keys array<long>, times array<long>"
 
 
+class Rows:
+    """The numbers, groups and link keys of the rows of a batch, from their units in order."""
+
+    def __init__(self, n: int) -> None:
+        self.good, self.numbers = np.ones(n, bool), np.zeros((n, 4), np.int64)
+        self.digests: list = [None] * n
+        self.found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n)]
+
+    def add(self, parts: list[tuple[int, list[str]]], met: Units) -> None:
+        """parts: a row and units of it, each row in one of them."""
+        rows, size = np.array([r for r, _ in parts]), np.array([len(u) for _, u in parts])
+        at = met.numbers(chain.from_iterable(u for _, u in parts), int(size.sum()))
+        ends = np.cumsum(size)
+        self.good[rows] &= np.logical_and.reduceat(met.good[at], ends - size)
+        self.numbers[rows] += np.add.reduceat(met.columns[at], ends - size)
+        shown = list(map(met.shown.__getitem__, at.tolist()))
+        linked = met.linked(at, np.repeat(np.arange(len(parts)), size), len(parts))
+        for row, end, n, found in zip(rows.tolist(), ends.tolist(), size.tolist(), linked):
+            text = ";".join(shown[end - n : end]).encode()
+            if self.digests[row]:
+                self.digests[row].update(b";" + text)
+            else:
+                self.digests[row] = hashlib.sha256(text)
+            self.found[row].append(found)
+
+    def columns(self) -> list[pa.Array]:
+        none = (np.empty(0, np.int64),) * 2
+        self.good &= np.array([d is not None for d in self.digests], bool)
+        good = self.good.tolist()
+        self.numbers[~self.good] = 0
+        hashes = [d.hexdigest() if ok else "" for d, ok in zip(self.digests, good)]
+        both = [none if not ok else f[0] if len(f) == 1 else _summed(*map(np.concatenate, zip(*f))) for f, ok in zip(self.found, good)]
+        lists = (pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, v)]), pa.int32()), np.concatenate([none[0], *v])) for v in ([k for k, _ in both], [n for _, n in both]))
+        return [*(pa.array(self.numbers[:, i]) for i in range(4)), pa.array(hashes, pa.string()), *lists]
+
+
 def _link(a: str, b: str, remembered: int):
     """(doc_id, text) to the text's numbers, groups and link keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = aligner(a, b), _known(a, b)
         for batch in batches:
-            rows, hashes, keys, times = [], [], [], []
-            for t in batch.column("text"):
-                numbers, digest, found = np.zeros(4, np.int64), hashlib.sha256(), []
-                text = t.as_py() or ""
-                begun, good = False, bool(text)
-                for units in own.windows(text) if text else ():
-                    if len(known[0].number) > remembered:
-                        known[0] = Units(own)
-                    met = known[0]
-                    if fresh := [u for u in dict.fromkeys(units) if u not in met.number]:
-                        met.add(fresh)
-                    at = np.fromiter(map(met.number.__getitem__, units), np.int64, len(units))
-                    if at.min() < 0:
-                        good = False
-                        break
-                    digest.update(((";" if begun else "") + ";".join(map(met.shown.__getitem__, at.tolist()))).encode())
-                    begun = True
-                    distinct, often = np.unique(at, return_counts=True)
-                    numbers += often @ met.columns[distinct]
-                    found.append(met.linked(distinct, often))
-                if not good:
-                    numbers, found = np.zeros(4, np.int64), []
-                both = found[0] if len(found) == 1 else _summed(*map(np.concatenate, zip(*found))) if found else (np.empty(0, np.int64),) * 2
-                rows.append(numbers)
-                hashes.append(digest.hexdigest() if good else "")
-                keys.append(both[0])
-                times.append(both[1])
-            numbers = np.array(rows, np.int64).reshape(-1, 4)
-            lists = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in v])]), pa.int32()), np.concatenate([np.empty(0, np.int64), *v])) for v in (keys, times))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(numbers[:, i]) for i in range(4)), pa.array(hashes, pa.string()), *lists], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times"])
+            rows, parts, size = Rows(batch.num_rows), [], 0
+
+            def add() -> None:
+                if len(known[0].number) > remembered or known[0].links > LINKS * remembered:
+                    known[0] = Units(own)
+                rows.add(parts, known[0])
+
+            for row, t in enumerate(batch.column("text")):
+                for units in own.windows(text) if (text := t.as_py()) else ():
+                    parts.append((row, units))
+                    size += min(len(text), WINDOW)
+                    # a row's next window comes after this one was added
+                    if size > GATHERED or len(text) >= WINDOW or len(parts) == own.room:
+                        add()
+                        parts, size = [], 0
+                        if not rows.good[row]:
+                            break
+            if parts:
+                add()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *rows.columns()], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times"])
 
     return run
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -129,3 +130,52 @@ def test_fields():
     assert not alignment.keeps_text(b"\x1a\x00")
     assert not alignment.keeps_text(b"\x1a\x05\x12\x01x\x20\x00")
     assert alignment.keeps_text(b"\x1a\x02\x20\x00")
+
+
+class Counting:
+    """An encoder that counts its calls."""
+
+    def __init__(self, of, calls):
+        self.of, self.calls = of, calls
+
+    def __getattr__(self, name):
+        if name.lower().startswith("encode"):
+            self.calls.append(name)
+        return getattr(self.of, name)
+
+
+def linked(texts, remembered=alignment.UNITS):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts}, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    return [r for out in alignment._link(A, B, remembered)(iter([batch])) for r in out.to_pylist()]
+
+
+def test_texts_are_encoded_together(monkeypatch):
+    """The new units of many texts take one call of each encoder, not one for each text."""
+    own, calls = alignment.aligner(A, B), []
+    monkeypatch.setattr(own, "a", Counting(own.a, calls))
+    monkeypatch.setattr(own, "b", Counting(own.b, calls))
+    alignment._known(A, B)[0] = alignment.Units(own)
+    texts = [f"new{i} other{i} the nation{i}" for i in range(300)]
+    assert len(linked(texts)) == 300
+    assert len(calls) <= 4
+
+
+def test_gathered_texts(brute, monkeypatch):
+    """Texts that are gathered give what each gives alone, also beside texts without tokens, cut into
+    windows or with few rows at a time; tables of units that are full are begun again."""
+    own = alignment.aligner(A, B)
+    texts = [*ODD, *(text(n % 30 + 1, n) for n in range(150)), *(f"{text(9, n)} a▁b {text(9, n + 1)}" for n in range(3)), *(text(12, n) for n in range(40))]
+    want = [brute.links(t) for t in texts]
+    for window, gathered, room, together, remembered in ((1 << 20, 1 << 18, own.room, 1000, 10**6), (50, 300, own.room, 7, 10**6), (1 << 20, 1 << 18, 3, 1, 60), (20, 1, 1, 1000, 5)):
+        for name, value in (("WINDOW", window), ("GATHERED", gathered), ("TOGETHER", together)):
+            monkeypatch.setattr(alignment, name, value)
+        monkeypatch.setattr(own, "room", room)
+        for splits in (True, False):
+            monkeypatch.setattr(own, "splits", splits)
+            alignment._known(A, B)[0] = alignment.Units(own)
+            for row, found in zip(linked(texts, remembered), want, strict=True):
+                links, groups, n_a, n_b = found or ([], [], 0, 0)
+                assert (row["n_a"], row["n_b"], row["n_groups"], row["n_links"]) == (n_a, n_b, len(groups), len(links))
+                assert row["groups_sha256"] == (hashlib.sha256(";".join(groups).encode()).hexdigest() if found else "")
+                assert dict(zip([(k >> 32, k & 0xFFFFFFFF) for k in row["keys"]], row["times"], strict=True)) == Counter(links)
+    alignment._known(A, B)[0] = alignment.Units(own)
