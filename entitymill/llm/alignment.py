@@ -48,7 +48,7 @@ from entitymill.llm.tokencount import SPACE, bounded
 #: Units that a task remembers, rows of a shard (about), characters that are cut into units at a time.
 UNITS, SHARD_ROWS, WINDOW = 500_000, 4_000_000, 1 << 20
 #: Characters of texts that are linked at a time (about), units that are encoded side by side.
-GATHERED, TOGETHER = 1 << 18, 1000
+GATHERED, TOGETHER = 1 << 16, 1000
 #: Link keys that a task remembers for each unit that it may remember.
 LINKS = 16
 #: Keys that a task sums at a time.
