@@ -12,6 +12,8 @@ r of a source takes its block number r. Everything runs in the JVM.
 A source may hold a third of all rows: ranks and stream positions are prefix sums in two levels
 (inside buckets of bounded size, then over buckets), so no task gets a whole source. Buckets are by a
 hash of the whole row; rows that are alike are counted first, and numbered, which is part of the hash.
+Each step that is read more than once is written first: one plan for all of it, with its dozens of
+shuffles at a time, takes more of the driver's memory than the rest of a pipeline.
 
 Defined results: a null or empty text has size 0 and is never taken. A null source is a source,
 ordered last. A null doc_id is a document, and so is each row of those that share a doc_id. Rows that
@@ -89,7 +91,7 @@ def schedule(goal: DataFrame, n_slots: int) -> DataFrame:
     point = (F.pmod(F.pmod("slot", F.lit(MODULUS)) * STEP, F.lit(MODULUS)) / F.lit(float(MODULUS))).alias("u")
     slots = slots.select("slot", point).withColumn("cell", cell(F.col("u")))
     dealt = slots.join(spans, "cell").where("u >= lo AND u < hi").select("slot", "source", F.lit(1).alias("one"))
-    dealt = dealt.withColumn("bucket", F.floor(F.col("slot") / BUCKET_ROWS))
+    dealt = materialize(dealt.withColumn("bucket", F.floor(F.col("slot") / BUCKET_ROWS)), "dealt")
     return prefix_sum(dealt, "source", "bucket", [F.col("slot")], "one", "rank").select("slot", "source", "rank")
 
 
@@ -102,6 +104,7 @@ def full_schedule(goal: DataFrame, per: int) -> DataFrame:
     dealt = materialize(schedule(wanted.select("source", F.col("n").cast("double").alias("target")), n_slots), "schedule")
     have = dealt.groupBy(F.col("source").alias("_s")).agg(F.count("*").alias("have"))
     counts = wanted.join(have, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "n", F.coalesce("have", F.lit(0)).alias("have"))
+    counts = materialize(counts, "counts")
     ranked = dealt.join(counts.select(F.col("source").alias("_s"), "n"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     # a few slots for each source: the only windows without a key stand on these tables
     surplus = ranked.where("rank >= n").select("slot", F.row_number().over(W.orderBy("slot")).alias("i"))
@@ -110,6 +113,7 @@ def full_schedule(goal: DataFrame, per: int) -> DataFrame:
     filled = surplus.join(short, "i").select("slot", "source")
     every = ranked.where("rank < n").select("slot", "source").union(filled)
     every = every.withColumn("one", F.lit(1)).withColumn("bucket", F.floor(F.col("slot") / BUCKET_ROWS))
+    every = materialize(every, "filled")
     return prefix_sum(every, "source", "bucket", [F.col("slot")], "one", "rank").select("slot", "source", "rank")
 
 
@@ -136,7 +140,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     sizes = alike.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("alike").cast("int")))).drop("alike")
     total = share * words
     per = max(1, min(slot_words, math.ceil(total / slots)))
-    plan = full_schedule(goal, per)
+    plan = materialize(full_schedule(goal, per), "plan")
 
     shuffled = row_hash(2, own + ["copy"])
     buckets = max(1, math.ceil(n_rows / BUCKET_ROWS))
@@ -145,6 +149,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     rows = prefix_sum(rows, "source", "bucket", order, "size", "start")
     rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("source", "bucket").orderBy(*order)))
     rows = rows.join(goal.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    rows = materialize(rows, "numbered")
     # the stream is read up to `epochs` times, and no further than the target
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     spans = rows.where("size > 0").withColumn("e", epoch).withColumn("a", F.col("start") + F.col("e") * F.col("source_size")).withColumn("b", F.least(F.col("a") + F.col("size"), target_words())).where("a < b")

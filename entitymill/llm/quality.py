@@ -34,8 +34,9 @@ from entitymill.llm.common import materialize
 SAMPLE, BUCKETS, DIM, HIDDEN, NONZERO = 8000, 1 << 15, 64, 32, 8
 EPOCHS, RATE, BATCH, DECAY, THRESHOLD, FOLDS = 60, 3e-3, 64, 1e-4, 0.3, 5
 SLICE = 1 << 20
-#: Tasks that sum word vectors, and buckets whose sums travel together.
-PARTS, STRIPE = 16, 1024
+#: Tasks that sum word vectors, and buckets whose sums travel together: few enough that no row, nor
+#: what the driver's heap holds of one, is large.
+PARTS, STRIPE = 16, 256
 
 _SHAPE = bytes(ord("A") if 65 <= i <= 90 else ord("9") if 48 <= i <= 57 else ord("a") if 97 <= i <= 122 else i for i in range(256))
 _BEYOND = bytes(range(128, 256))
@@ -141,16 +142,24 @@ def _add_vectors(table: pa.Table) -> pa.Table:
     total = np.zeros((STRIPE, DIM), np.int64)
     for some, sums in zip(table["buckets"], table["sums"]):
         total[np.frombuffer(some.as_py(), np.int32)] += np.frombuffer(sums.as_py(), np.int64).reshape(-1, DIM)
-    return pa.table({"first": table["first"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+    words = total.astype(np.float64)
+    words = (words / np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    return pa.table({"first": table["first"][:1], "words": pa.array([words.tobytes()], pa.binary())})
+
+
+def vector_stripes(texts: DataFrame) -> DataFrame:
+    """first, words: the float32 vectors of STRIPE buckets from the first one on, of length 1 (0 for words
+    not seen), from texts (h, text). Stripes without any word are left out."""
+    return texts.repartition(PARTS, "h").mapInArrow(_partial_vectors, "first int, buckets binary, sums binary").groupBy("first").applyInArrow(_add_vectors, "first int, words binary")
 
 
 def word_vectors(texts: DataFrame) -> np.ndarray:
     """BUCKETS x DIM vectors of length 1 (0 for words not seen) from texts (h, text)."""
-    sums = texts.repartition(PARTS, "h").mapInArrow(_partial_vectors, "first int, buckets binary, sums binary").groupBy("first").applyInArrow(_add_vectors, "first int, sums binary")
-    words = np.zeros((BUCKETS, DIM))
-    for row in sums.collect():  # BUCKETS / STRIPE rows
-        words[row.first : row.first + STRIPE] = np.frombuffer(row.sums, np.int64).reshape(-1, DIM)
-    return (words / np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    words = np.zeros((BUCKETS, DIM), np.float32)
+    table = vector_stripes(texts).toArrow()  # BUCKETS / STRIPE rows
+    for first, part in zip(table["first"].to_pylist(), table["words"]):
+        words[first : first + STRIPE] = np.frombuffer(part.as_buffer(), np.float32).reshape(-1, DIM)
+    return words
 
 
 def fit(words: np.ndarray, x: np.ndarray, labels: np.ndarray, calibrate: np.ndarray, seed: int = 7) -> Model:
@@ -208,12 +217,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "quality", "part")), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "quality", "part", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(pooled, f"doc_id {kind}, quality int, part int, x array<double>").orderBy("doc_id").toArrow()
+    table = rows.mapInArrow(pooled, f"doc_id {kind}, quality int, part int, x array<double>").toArrow().sort_by("doc_id")
     shared.destroy()
     quality, part = table["quality"].to_numpy().astype(float), table["part"].to_numpy()
     if len(quality) < 10 or quality.min() == quality.max():
         return _constant(quality.mean() if len(quality) else 0.5)
-    x = np.array([v for v in table["x"].to_pylist() if v is not None], float).reshape(-1, 2 * DIM)
+    x = np.concatenate([v.flatten().to_numpy() for v in table["x"].chunks]).reshape(-1, 2 * DIM)
     return fit(words, x, quality[part >= 5], part[part >= 5] == 9)
 
 
